@@ -18,7 +18,9 @@ def read_folder(
 
 
 def read_catalog(spark: SparkSession, database: str) -> dict[str, DataFrame]:
-    return {t.name: spark.table(f"{database}.{t.name}") for t in spark.catalog.listTables(database)}
+    """Tables of one database; temporary views belong to the session and are left out."""
+    listed = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+    return {name: spark.table(f"{database}.{name}") for name in listed}
 
 
 @dataclass(frozen=True)
