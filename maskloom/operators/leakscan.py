@@ -191,7 +191,10 @@ def _by_automaton(text_cells: DataFrame, needles: list[str]) -> DataFrame:
                     columns=["needle", "table", "column", "cells"],
                 )
 
-    hits = text_cells.select("table", "column", "value").mapInPandas(search, HITS_DDL)
+    # cells too short for any needle stay in the JVM
+    shortest = min(map(len, needles))
+    long_enough = text_cells.where(F.length("value") >= shortest)
+    hits = long_enough.select("table", "column", "value").mapInPandas(search, HITS_DDL)
     return hits.groupBy("needle", "table", "column").agg(F.sum("cells").alias("cells"))
 
 
