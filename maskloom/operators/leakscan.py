@@ -227,7 +227,10 @@ def _by_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass) -> Data
         "chunk",
         (F.col("piece") * cls.stride).alias("at"),
         F.xxhash64("gram_text").alias("gram"),
-        F.pmod(F.xxhash64("text_id", "chunk", "piece"), F.lit(GRAM_SALT)).cast("int").alias("salt"),
+    )
+    # copies of a text collapse inside each task; what is left of a hot gram spreads by the salt
+    sampled = sampled.distinct().withColumn(
+        "salt", F.pmod(F.xxhash64("text_id", "chunk", "at"), F.lit(GRAM_SALT)).cast("int")
     )
     # the gram may lie up to one stride behind the start of the needle, hence the lead of a chunk
     places = (
@@ -243,18 +246,20 @@ def _by_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass) -> Data
     places = places.checkpoint()
     total = places.agg(F.sum(F.size("places"))).first()[0] or 0
     near = F.broadcast(places) if total <= MAX_BROADCAST_PLACES else places
+    ids = places.select("text_id").distinct()
+    matched = keyed.join(F.broadcast(ids) if total <= MAX_BROADCAST_PLACES else ids, "text_id", "left_semi")
     cut = F.array_distinct(
         F.transform("places", lambda p: F.substr("around", p["start"] + (cls.stride + 1), p["length"]))
     )
     candidates = (
-        _chunks(keyed, step, cls)
+        _chunks(matched, step, cls)
         .join(near, ["text_id", "chunk"])
         .select("text_id", F.explode(cut).alias("candidate"))
         .groupBy("text_id", "candidate")
         .agg(F.lit(1).alias("one"))
     )
     hits = candidates.join(needles, candidates["candidate"] == needles["needle"]).select("text_id", "needle")
-    copies = keyed.groupBy("table", "column", "text_id").agg(F.count(F.lit(1)).alias("copies"))
+    copies = matched.groupBy("table", "column", "text_id").agg(F.count(F.lit(1)).alias("copies"))
     return (
         hits.join(copies, "text_id").groupBy("needle", "table", "column").agg(F.sum("copies").alias("cells"))
     )

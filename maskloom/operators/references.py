@@ -1,8 +1,9 @@
 """Infer references between columns by inclusion of their values.
 
-Tables on Spark carry no foreign keys. One pass over all key-like columns finds every inclusion:
-values are counted per column, columns that share a value are grouped, and only the (few) distinct
-column sets are expanded into pairs.
+Tables on Spark carry no foreign keys. One pass finds every inclusion: each distinct value gets a
+bit mask of the columns it occurs in, and a column's possible parents are the bits left when the
+masks of all its values are and-ed. Work is linear in the distinct values per column; pairs of
+columns are written out only where the inclusion holds.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,61 +25,80 @@ def key_like_columns(dataset: Mapping[str, DataFrame]) -> list[tuple[str, str]]:
     ]
 
 
+WORD = 63
+
+
 def infer_references(
     dataset: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]] | None = None
 ) -> DataFrame:
     """``child_table, child_column, parent_table, parent_column, child_values``.
 
     A pair is reported when all non-null child values occur in the parent and the parent column is
-    unique. Only columns of one type family are compared.
+    unique. Numbers are compared with numbers and text with text.
     """
-    chosen = columns if columns is not None else key_like_columns(dataset)
+    chosen = list(columns if columns is not None else key_like_columns(dataset))
+    spark = next(iter(dataset.values())).sparkSession
+    words = range(-(-len(chosen) // WORD))
+    number = {attribute: i for i, attribute in enumerate(chosen)}
     by_table: dict[str, list[str]] = {}
     for table, column in chosen:
         by_table.setdefault(table, []).append(column)
     # values of one column collapse inside each task, so a hot value costs one row per task
     counted = reduce(
-        DataFrame.unionByName, [_value_counts(table, dataset[table], names) for table, names in by_table.items()]
+        DataFrame.unionByName, [_value_counts(table, dataset[table], names, number) for table, names in by_table.items()]
     )
-    stats = counted.groupBy("family", "attribute").agg(
-        F.count(F.lit(1)).alias("values"), F.max("n").alias("most")
+    values = counted.groupBy("family", "value").agg(
+        *[F.bit_or(_bits(F.col("id"), w)).alias(f"in{w}") for w in words],
+        *[F.bit_or(F.when(F.col("n") > 1, _bits(F.col("id"), w)).otherwise(F.lit(0))).alias(f"rep{w}") for w in words],
     )
-    shared = (
-        counted.groupBy("family", "value")
-        .agg(F.sort_array(F.collect_list("attribute")).alias("attributes"))
-        .groupBy("family", "attributes")
-        .agg(F.count(F.lit(1)).alias("n"))
+    masks = [f"{kind}{w}" for kind in ("in", "rep") for w in words]
+    # few distinct column sets remain, whatever the number of values
+    sets = values.groupBy(*masks).agg(F.count(F.lit(1)).alias("n"))
+    children = sets.select("*", F.explode(_ids(len(chosen), "in")).alias("child")).groupBy("child").agg(
+        F.sum("n").alias("child_values"),
+        *[F.bit_and(f"in{w}").alias(f"in{w}") for w in words],
+        F.max(_has_bit(F.col("child"), "rep", words)).alias("repeats"),
     )
-    overlap = (
-        shared.select("family", "n", F.explode("attributes").alias("child"), "attributes")
-        .select("family", "n", "child", F.explode("attributes").alias("parent"))
-        .where(F.col("child") != F.col("parent"))
-        .groupBy("family", "child", "parent")
-        .agg(F.sum("n").alias("shared"))
+    names = spark.createDataFrame([(i, t, c) for (t, c), i in number.items()], "id int, table string, column string")
+    pairs = children.select("child", "child_values", F.explode(_ids(len(chosen), "in")).alias("parent")).where(
+        F.col("child") != F.col("parent")
     )
-    child = stats.select("family", F.col("attribute").alias("child"), F.col("values").alias("child_values"))
-    parent = stats.where(F.col("most") == 1).select("family", F.col("attribute").alias("parent"))
+    unique = children.where(~F.col("repeats")).select(F.col("child").alias("parent"))
+    child = names.select(F.col("id").alias("child"), F.col("table").alias("child_table"), F.col("column").alias("child_column"))
+    parent = names.select(F.col("id").alias("parent"), F.col("table").alias("parent_table"), F.col("column").alias("parent_column"))
     return (
-        overlap.join(child, ["family", "child"])
-        .join(parent, ["family", "parent"])
-        .where(F.col("shared") == F.col("child_values"))
-        .select(
-            F.col("child.table").alias("child_table"),
-            F.col("child.column").alias("child_column"),
-            F.col("parent.table").alias("parent_table"),
-            F.col("parent.column").alias("parent_column"),
-            "child_values",
-        )
+        pairs.join(unique, "parent", "left_semi")
+        .join(child, "child")
+        .join(parent, "parent")
+        .select("child_table", "child_column", "parent_table", "parent_column", "child_values")
+    )
+
+
+def _bits(identifier: Column, word: int) -> Column:
+    """The bit of a column number within one word of the mask, 0 in all other words."""
+    inside = F.floor(identifier / WORD) == word
+    return F.when(inside, F.call_function("shiftleft", F.lit(1).cast("bigint"), (identifier % WORD).cast("int"))).otherwise(
+        F.lit(0).cast("bigint")
     )
 
 
-def _value_counts(table: str, frame: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``family, attribute, value, n`` for the columns of one table, read once."""
+def _has_bit(identifier: Column, kind: str, words: Sequence[int]) -> Column:
+    return reduce(Column.__or__, [F.col(f"{kind}{w}").bitwiseAND(_bits(identifier, w)) != 0 for w in words])
+
+
+def _ids(count: int, kind: str) -> Column:
+    """The column numbers whose bits are set."""
+    words = range(-(-count // WORD))
+    return F.filter(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: _has_bit(i, kind, words))
+
+
+def _value_counts(table: str, frame: DataFrame, names: Sequence[str], number: Mapping[tuple[str, str], int]) -> DataFrame:
+    """``family, id, value, n`` for the columns of one table, read once."""
     entries = F.array(
         *[
             F.struct(
                 F.lit("text" if isinstance(frame.schema[c].dataType, T.StringType) else "number").alias("family"),
-                F.struct(F.lit(table).alias("table"), F.lit(c).alias("column")).alias("attribute"),
+                F.lit(number[(table, c)]).alias("id"),
                 F.col(c).cast("string").alias("value"),
             )
             for c in names
@@ -87,7 +107,7 @@ def _value_counts(table: str, frame: DataFrame, names: Sequence[str]) -> DataFra
     return (
         frame.select(F.inline(entries))
         .where(F.col("value").isNotNull())
-        .groupBy("family", "attribute", "value")
+        .groupBy("family", "id", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 

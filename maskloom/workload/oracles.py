@@ -118,11 +118,12 @@ IBAN = (
 )
 
 CUSTOMER_SEGMENTS = shuffled("customer", ["c_custkey"], "c_mktsegment")
+RULED_SEGMENTS = shuffled("customer", ["c_custkey"], "c_mktsegment", salt="c_mktsegment:")
 
 # --- masking whole tables ---------------------------------------------------------------------
 
 ORACLES["mask_customer"] = (
-    f"WITH {CUSTOMER_SEGMENTS} SELECT c.c_custkey, {person('c.c_name')} AS c_name, c.c_nationkey, "
+    f"WITH {RULED_SEGMENTS} SELECT c.c_custkey, {person('c.c_name')} AS c_name, c.c_nationkey, "
     f"{noisy('c.c_acctbal', 'c_acctbal', 'c.c_custkey')} AS c_acctbal, m.v AS c_mktsegment "
     "FROM customer c JOIN moved m USING (c_custkey)"
 )
@@ -154,7 +155,7 @@ def _fingerprint(name: str, source: str, *columns: str) -> str:
     )
 
 
-ORACLES["mask_dataset"] = f"WITH {CUSTOMER_SEGMENTS} " + " UNION ALL ".join(
+ORACLES["mask_dataset"] = f"WITH {RULED_SEGMENTS} " + " UNION ALL ".join(
     [
         _fingerprint("customer", "customer c JOIN moved m USING (c_custkey)", person("c.c_name"), "m.v"),
         _fingerprint("supplier", "supplier", company("s_name")),

@@ -96,7 +96,7 @@ def test_every_known_value_is_gone(spark, rules):
 
 
 def test_row_metrics_count_what_was_touched(spark, rules):
-    result = mask({"ir_attachment": live_system(spark)["ir_attachment"]}, rules)
+    result = mask({"ir_attachment": live_system(spark)["ir_attachment"]}, rules, observe=True)
     result.dataset["ir_attachment"].collect()
     assert result.row_metrics()["ir_attachment"] == {
         "rows": 3, "rows_content_dropped": 3, "rows_index_dropped": 2, "filenames_scrubbed": 1,
@@ -205,6 +205,16 @@ def test_neutralize(spark):
     assert "fetchmail_server" not in calm
 
 
+def test_shuffled_columns_do_not_stay_linked(spark):
+    frame = spark.range(200).select("id", F.col("id").alias("a"), F.col("id").alias("b"))
+    book = rulebook_from(
+        {"00_strategies": {"strategies": {"shuffle_within_column": None}}, "10": {"t": {"fields": {c: "shuffle_within_column" for c in "ab"}}}}
+    )
+    rows = mask({"t": frame}, book).dataset["t"].collect()
+    assert sorted(r["a"] for r in rows) == sorted(r["b"] for r in rows) == list(range(200))
+    assert sum(r["a"] == r["b"] for r in rows) < 10
+
+
 def test_source_is_never_changed(spark, rules):
     source = live_system(spark)
     before = {name: frame.collect() for name, frame in source.items()}
