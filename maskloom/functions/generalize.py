@@ -32,9 +32,7 @@ def partial_keep_last4(value: Column) -> Column:
 
 def generalize_year(value: Column, dtype: T.DataType) -> Column:
     """January 1 of the same year, in the type of the column."""
-    if isinstance(dtype, T.DateType):
-        return F.trunc(value, "year")
-    return F.date_trunc("year", value).cast(dtype)
+    return F.make_date(F.year(value), F.lit(1), F.lit(1)).cast(dtype)
 
 
 def numeric_band(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,23 @@ def test_equals_brute_force(spark, seed, alphabet, longest, budget):
     assert scan(spark, rows, needles, max_needles=budget) == brute_force(rows, needles)
 
 
+@pytest.mark.parametrize("shortest", [4, 9])
+def test_rows_ruled_out_by_first_bytes(spark, monkeypatch, shortest):
+    """The filter of large needle sets, switched on for a small one."""
+    monkeypatch.setattr(leakscan._Finder, "LARGE_CHARS", 0)
+    monkeypatch.setattr(leakscan._Finder, "BLOCK", 64)
+    rows, needles = sample(7, "abé漢 ", 300)
+    needles = [n for n in needles if n and len(n) >= shortest]
+    finder = leakscan._Finder(needles)
+    assert finder.filters
+    texts = [value for _, _, value in rows]
+    batch = pa.RecordBatch.from_pydict({"table": ["t"] * len(texts), "column": ["c"] * len(texts), "value": texts})
+    kept = set(finder.rows(batch.column("value").slice(3)) + 3)
+    assert all(i in kept for i, text in enumerate(texts) if i >= 3 and any(n in text for n in needles))
+    got = finder.count(batch).to_pylist()
+    assert {tuple(hit.values()) for hit in got} == brute_force([("t", "c", text) for text in texts], needles)
+
+
 def test_classes_split_between_the_forms(spark):
     rows, needles = sample(4, "abc", 400)
     small = sum(1 for n in set(needles) if n and len(n) < 4)
