@@ -171,10 +171,14 @@ ORACLES["mask_dataset"] = f"WITH {RULED_SEGMENTS} " + " UNION ALL ".join(
 ALL_COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in TABLES)
 # eleven row rules find their column, one (s_website) does not; four keeps, six columns by pattern
 # alone and four more that a rule overrides
+COUNTERS = {
+    "applied": 11, "kept": 4, "pattern_applied": 6, "pattern_overlap": 4, "policies_applied": 2, "policies_skipped": 0,
+    "rotate_applied": 0, "rotate_skipped": 1, "shuffle_applied": 1, "shuffle_skipped": 0, "skipped": 1,
+}
 ORACLES["mask_counters"] = (
-    "SELECT CAST(sum(rows) AS BIGINT) AS rows, 11 AS applied, 4 AS kept, 6 AS pattern_applied, 4 AS pattern_overlap, "
-    "2 AS policies_applied, 0 AS policies_skipped, 0 AS rotate_applied, 1 AS rotate_skipped, 1 AS shuffle_applied, "
-    f"0 AS shuffle_skipped, 1 AS skipped FROM ({ALL_COUNTS})"
+    "SELECT CAST(sum(rows) AS BIGINT) AS rows, "
+    + ", ".join(f"CAST({n} AS BIGINT) AS {name}" for name, n in COUNTERS.items())
+    + f" FROM ({ALL_COUNTS})"
 )
 ORACLES["redact_documents"] = f"SELECT doc_id, {redact('text')} AS text, lang, source, n_chars FROM documents"
 ORACLES["redact_conversations"] = f"SELECT conv_id, turn, role, {redact('text')} AS text FROM conversations"
@@ -395,7 +399,7 @@ ORACLES["leak_scan_clean"] = (
 # --- coverage ---------------------------------------------------------------------------------
 
 BOOK = shop_rulebook()
-INFO = "SELECT table_name AS \"table\", column_name AS \"column\", data_type, ordinal_position - 1 AS ordinal FROM information_schema.columns WHERE table_name IN (" + ", ".join(quoted(t) for t in TABLES) + ")"
+INFO = "SELECT table_name AS \"table\", column_name AS \"column\", data_type, CAST(ordinal_position - 1 AS INTEGER) AS ordinal FROM information_schema.columns WHERE table_name IN (" + ", ".join(quoted(t) for t in TABLES) + ")"
 CELLS = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count({c}) AS cells FROM {t}" for t, c, _, _ in COLUMNS)
 RULES = " UNION ALL ".join(
     f"SELECT {quoted(r.table)} AS \"table\", {quoted(r.field)} AS \"column\", {quoted(r.strategy)} AS rule" for r in BOOK.rules

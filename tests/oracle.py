@@ -31,9 +31,17 @@ def sorted_rows(columns, rows):
     return sorted(columns), sorted(picked, key=repr)
 
 
+SPARK_TYPES = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "BOOLEAN": "boolean", "DATE": "date"}
+
+
 def difference(frame, connection, sql: str) -> str | None:
     """None when both sides agree, else a short account of the first difference."""
     result = connection.execute(sql)
+    types = {d[0]: SPARK_TYPES.get(str(d[1]), str(d[1])) for d in result.description}
+    spark_types = dict(frame.dtypes)
+    wrong = {name: (spark_types.get(name), kind) for name, kind in types.items() if spark_types.get(name, kind) != kind}
+    if wrong:
+        return f"types {wrong}"
     names, expected = sorted_rows([d[0] for d in result.description], result.fetchall())
     got_names, got = sorted_rows(frame.columns, [tuple(row) for row in frame.collect()])
     if names != got_names:
