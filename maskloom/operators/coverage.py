@@ -54,11 +54,16 @@ def analyze(columns: DataFrame, book: rb.Rulebook, ignore_models: Iterable[str]
     ignored = [(rb.table_of(model),) for model in ignore_models]
     if ignored:
         columns = columns.join(F.broadcast(spark.createDataFrame(ignored, "table string")), "table", "left_anti")
+    # the rulebook comes from the driver, so it is small enough to broadcast by construction
     rules = book.rules_frame(spark).select("table", "column", F.col("strategy").alias("rule"))
+    whole = rules.select("table", F.col("column").alias("top"), F.col("rule").alias("top_rule"))
     declared = [(rb.table_of(model), model) for model in book.models]
     models = spark.createDataFrame(declared, "table string, declared string")
     joined = (
-        columns.join(F.broadcast(rules), ["table", "column"], "left")
+        columns.withColumn("top", F.substring_index("column", ".", 1))
+        .join(F.broadcast(rules), ["table", "column"], "left")
+        .join(F.broadcast(whole), ["table", "top"], "left")
+        .withColumn("rule", F.coalesce("rule", "top_rule"))
         .join(F.broadcast(models), "table", "left")
         .withColumn("pattern", first_match(F.col("column"), F.col("shape"), book.patterns))
     )

@@ -98,12 +98,12 @@ def build_plan(dataset: Mapping[str, DataFrame], book: rb.Rulebook) -> MaskPlan:
     )
     explicit: set[tuple[str, str]] = set()
     for rule in book.rules:
-        explicit.add((rule.table, _path(rule.field)))
+        explicit.add((rule.table, rule.path))
         _place_rule(rule, book, dataset, leaves, plans, counters)
     for name, columns in leaves.items():
         for path, dtype in columns.items():
             pattern = first_pattern(path, _shape(book, name, path, dtype), book.patterns)
-            if (name, path) in explicit:
+            if _ruled(explicit, name, path):
                 counters["pattern_overlap"] += pattern is not None
             elif pattern is not None:
                 rule = rb.FieldRule(name, path, pattern.strategy, file=pattern.file)
@@ -130,16 +130,17 @@ def _shape(book: rb.Rulebook, table: str, path: str, dtype: T.DataType) -> str:
     return sc.type_shape(dtype)
 
 
-def _path(text: str) -> str:
-    """``items[].name`` and ``items.[].name`` are the same path."""
-    return text.replace("[]", ".[]").replace("{}", ".{}").replace("..", ".")
+def _ruled(explicit: set[tuple[str, str]], table: str, path: str) -> bool:
+    """Whether a rule names the column or a column it is nested in."""
+    parts = path.split(".")
+    return any((table, ".".join(parts[:n])) in explicit for n in range(1, len(parts) + 1))
 
 
 def _place_rule(rule, book, dataset, leaves, plans, counters) -> None:
     if rule.strategy not in book.strategies:
         raise MaskError(f"{rule.file}: {rule.model}.{rule.field} uses unknown strategy {rule.strategy!r}")
     chosen = st.strategy(rule.strategy)
-    table, path = rule.table, _path(rule.field)
+    table, path = rule.table, rule.path
     if chosen.kind == st.KEEP:
         counters["kept"] += 1
         return

@@ -4,7 +4,8 @@ import pytest
 
 from maskloom.operators import coverage
 from maskloom.plans import schema
-from maskloom.plans.rulebook import default_rules_dir, load_and_validate
+from maskloom.plans.mask import mask
+from maskloom.plans.rulebook import default_rules_dir, load_and_validate, rulebook_from
 
 pytest.importorskip("yaml")
 
@@ -115,3 +116,15 @@ def test_composite_references_pair_by_position(spark, columns):
     )
     got = {r["column"]: r["fk_target"] for r in schema.resolve_references(columns, constraints).where("table = 'crm_lead'").collect()}
     assert got == {"id": "pair.i", "name": None, "partner_id": "res_partner.id", "stage_id": "pair.s"}
+
+
+def test_nested_columns_are_covered_by_their_own_or_their_parents_rule(spark):
+    frame = spark.sql("select named_struct('a_name', 'x', 'b', 'y') as s, array(named_struct('c', 'z', 'd', 'w')) as l")
+    vocabulary = {"strategies": {"redact_freetext": None, "drop": None}}
+    pattern = {"column_patterns": [{"match": "_name$", "strategy": "redact_freetext"}]}
+    book = rulebook_from({"00_strategies": vocabulary, "05": pattern, "10": {"t": {"fields": {"s": "drop", "l[].c": "redact_freetext"}}}})
+    report = coverage.analyze(schema.scan_schema(spark, {"t": frame}), book)
+    assert {r["column"]: r["outcome"] for r in report.collect()} == {
+        "s.a_name": "explicit", "s.b": "explicit", "l.[].c": "explicit", "l.[].d": "uncovered",
+    }
+    assert mask({"t": frame}, book).dataset["t"].first() == (None, [("l", "w")])
