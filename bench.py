@@ -45,7 +45,7 @@ def leak_scan_of(count: int):
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = local_session(cpus, app="maskloom-bench")
     spark.sparkContext.setLogLevel("ERROR")
     queries = {name: QUERIES[name] for name in NAMED}

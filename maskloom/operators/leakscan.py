@@ -117,10 +117,13 @@ def find_values(
 
     ``needles`` holds the values in its first column; empty ones are ignored. Needles shorter than
     ``min_length`` must equal a whole cell, so generic short values do not flood the report.
-    Sizes are counted first (one small job over the needles) to choose the form.
+    The needles are stored and counted first, which chooses the form.
     """
     spark = text_cells.sparkSession
     wanted = needles.select(F.col(needles.columns[0]).cast("string").alias("needle")).where(F.length("needle") > 0).distinct()
+    # read several times below, and often the distinct values of whole source columns
+    ensure_checkpoint_dir(spark)
+    wanted = wanted.checkpoint()
     parts = []
     if min_length > 1:
         parts.append(_whole_cells(text_cells, wanted.where(F.length("needle") < min_length)))
@@ -301,7 +304,6 @@ def _by_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass) -> Data
         .agg(F.collect_set("place").alias("places"))
     )
     # cut here: in clean data almost no place is left, and the size decides the next join
-    ensure_checkpoint_dir(text_cells.sparkSession)
     places = places.checkpoint()
     total = places.agg(F.sum(F.size("places"))).first()[0] or 0
     near = F.broadcast(places) if total <= MAX_BROADCAST_PLACES else places

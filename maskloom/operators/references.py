@@ -37,7 +37,16 @@ def infer_references(
     unique. Numbers are compared with numbers and text with text.
     """
     chosen = list(columns if columns is not None else key_like_columns(dataset))
-    spark = next(iter(dataset.values())).sparkSession
+    families = [
+        [(t, c) for t, c in chosen if isinstance(dataset[t].schema[c].dataType, kind)]
+        for kind in (T.IntegralType, T.StringType)
+    ]
+    return reduce(DataFrame.unionByName, [_inclusions(dataset, family) for family in families if family])
+
+
+def _inclusions(dataset: Mapping[str, DataFrame], chosen: Sequence[tuple[str, str]]) -> DataFrame:
+    """:func:`infer_references` for columns of one type family."""
+    spark = dataset[chosen[0][0]].sparkSession
     words = range(-(-len(chosen) // WORD))
     number = {attribute: i for i, attribute in enumerate(chosen)}
     by_table: dict[str, list[str]] = {}
@@ -47,7 +56,7 @@ def infer_references(
     counted = reduce(
         DataFrame.unionByName, [_value_counts(table, dataset[table], names, number) for table, names in by_table.items()]
     )
-    values = counted.groupBy("family", "value").agg(
+    values = counted.groupBy("value").agg(
         *[F.bit_or(_bits(F.col("id"), w)).alias(f"in{w}") for w in words],
         *[F.bit_or(F.when(F.col("n") > 1, _bits(F.col("id"), w)).otherwise(F.lit(0))).alias(f"rep{w}") for w in words],
     )
@@ -93,21 +102,18 @@ def _ids(count: int, kind: str) -> Column:
 
 
 def _value_counts(table: str, frame: DataFrame, names: Sequence[str], number: Mapping[tuple[str, str], int]) -> DataFrame:
-    """``family, id, value, n`` for the columns of one table, read once."""
+    """``id, value, n`` for the columns of one table, read once."""
+    text = isinstance(frame.schema[names[0]].dataType, T.StringType)
     entries = F.array(
         *[
-            F.struct(
-                F.lit("text" if isinstance(frame.schema[c].dataType, T.StringType) else "number").alias("family"),
-                F.lit(number[(table, c)]).alias("id"),
-                F.col(c).cast("string").alias("value"),
-            )
+            F.struct(F.lit(number[(table, c)]).alias("id"), F.col(f"`{c}`").cast("string" if text else "bigint").alias("value"))
             for c in names
         ]
     )
     return (
         frame.select(F.inline(entries))
         .where(F.col("value").isNotNull())
-        .groupBy("family", "id", "value")
+        .groupBy("id", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
