@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
-from maskloom.llm import url_filter
+from maskloom.llm import orc_tokens, quality, simhash, url_filter
 from maskloom.llm.tables import table
+from maskloom.session import scratch_dir
+
+#: Where the public vocabularies lie on every machine.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 #: The rules of the URL contract.
 URL_RULES = ("block net/", "allow example.net/en/", "block example.com/de/", "allow org/fr/")
@@ -17,5 +23,20 @@ def op1_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, rules, model)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter,)}
+def op2_orc_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark, "token-ids")
+    orc_tokens.write_ids(table(spark, folder, "documents"), path, f"{TOKENIZERS}/word_bpe_49k.json")
+    return orc_tokens.with_crc32(orc_tokens.read_ids(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score(docs, quality.fit_table(docs, table(spark, folder, "labels")))
+
+
+def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_orc_token_ids, op3_quality_classifier, op9_simhash_near_dedup)}
 ORACLES: dict[str, str] = {}
