@@ -20,14 +20,36 @@ from maskloom.llm.tables import map_batches, text_blocks
 SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
+def shapes(word: np.ndarray, word_row: np.ndarray, count: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(hash, text number) of what invented words cannot show: which of five words in a row repeat the one before,
+    and, in sixteenths, how many words do so and how many come twice in their text."""
+    again = np.zeros(len(word), bool)
+    again[1:] = (word[1:] == word[:-1]) & (word_row[1:] == word_row[:-1])
+    run = np.zeros(max(len(word) - 4, 0), np.uint64)
+    for place in range(5):
+        run = run * np.uint64(2) + again[place : place + len(run)]
+    whole = word_row[: len(run)] == word_row[4:] if len(run) else np.zeros(0, bool)
+    held = np.maximum(np.bincount(word_row, minlength=count), 1)
+    order = np.lexsort((word, word_row))
+    twice = (word[order][1:] == word[order][:-1]) & (word_row[order][1:] == word_row[order][:-1])
+    shares = [np.bincount(word_row, again, count) / held, np.bincount(word_row[order][1:], twice, count) / held]
+    size = np.minimum(np.log2(held).astype(np.uint64), 6)
+    rows = np.arange(count)
+    found = [(mixed(run[whole] + np.uint64(1000)), word_row[: len(run)][whole])]
+    for at, share in enumerate(shares):
+        level = np.uint64(2000 * (at + 1)) + size * np.uint64(100 * at) + (share * 16).astype(np.uint64)
+        found.append((mixed(level), rows))
+    return found
+
+
 def indicators(texts: list[bytes], bits: int) -> list[np.ndarray]:
-    """For each text the sorted buckets of its words, word pairs and 3-byte runs."""
+    """For each text the sorted buckets of its words, word pairs, 3-byte runs and repeat shapes."""
     word, word_row, _ = word_hashes(texts, SPACES)
     paired = word_row[1:] == word_row[:-1]
     pair = mixed(word[:-1] * np.uint64(0x9E3779B97F4A7C15) + word[1:])[paired]
     gram, gram_row = gram_hashes(texts, 3)
     shift = np.uint64(64 - bits)
-    parts = [(word, word_row), (pair, word_row[1:][paired]), (gram, gram_row)]
+    parts = [(word, word_row), (pair, word_row[1:][paired]), (gram, gram_row), *shapes(word, word_row, len(texts))]
     parts = [((h >> shift).astype(np.int32), np.searchsorted(row, np.arange(len(texts) + 1))) for h, row in parts]
     seen, found = np.zeros(1 << bits, bool), []
     for i in range(len(texts)):
@@ -108,8 +130,11 @@ def _calibrated(margins: np.ndarray, labels: np.ndarray, steps: int = 50) -> tup
     return max(float(at[0]), 1e-3), float(at[1])
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int) -> QualityModel:
-    """A fifth of the rows is kept aside to turn margins into chances. Without both classes the score is constant."""
+def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int, share: float | None = None) -> QualityModel:
+    """A fifth of the rows is kept aside to turn margins into chances; ``share`` is that of label 1 outside the sample.
+
+    Without both classes the score is constant.
+    """
     labels = np.asarray(labels, int)
     aside = np.arange(len(labels)) % 5 == 4
     if len(labels) < 10 or not all(0 < labels[part].sum() < part.sum() for part in (aside, ~aside)):
@@ -120,7 +145,11 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int) -> QualityModel:
     inner, bias = dual_descent(train, scale, labels[~aside])
     weights = inner * scale
     margins = np.array([weights[r].sum() / np.sqrt(max(len(r), 1)) + bias for r, a in zip(rows, aside) if a])
-    return QualityModel(weights, bias, *_calibrated(margins, labels[aside]), bits)
+    slope, shift = _calibrated(margins, labels[aside])
+    if share is not None and 0 < share < 1:
+        here = labels[aside].mean()
+        shift += float(np.log(share / (1 - share)) - np.log(here / (1 - here)))
+    return QualityModel(weights, bias, slope, shift, bits)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -146,7 +175,8 @@ def fit_table(docs: DataFrame, labels: DataFrame, limit: int = 4_000, bits: int
 
     joined = texts.join(F.broadcast(sample), "id").select("id", "label", "text")
     found = map_batches(joined, rows_of, "id string, label int, held binary").orderBy(F.xxhash64("id"), "id").limit(2 * limit).collect()
-    return fit([np.frombuffer(r.held, np.int32) for r in found], np.array([r.label for r in found]), bits)
+    share = known.agg(F.avg("label")).first()[0]
+    return fit([np.frombuffer(r.held, np.int32) for r in found], np.array([r.label for r in found]), bits, share)
 
 
 def score(docs: DataFrame, model: QualityModel, cut: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
