@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from maskloom.llm import orc_tokens, quality, simhash, url_filter
+from maskloom.llm import byte_bpe, decontam, orc_tokens, quality, secret_ledger, simhash, url_filter
 from maskloom.llm.tables import table
 from maskloom.session import scratch_dir
 
@@ -34,9 +35,24 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.fit_table(docs, table(spark, folder, "labels")))
 
 
+def op5_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("items")
+
+
+def op7_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_ledger.report(secret_ledger.scan(spark, table(spark, folder, "documents"), scratch_dir(spark, "ledger")))
+
+
+def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
+    ids = byte_bpe.encode(table(spark, folder, "documents"), ranks)
+    both = byte_bpe.decode(ids, ranks)
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), byte_bpe.ids_digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_orc_token_ids, op3_quality_classifier, op9_simhash_near_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_orc_token_ids, op3_quality_classifier, op5_winnowing_decontamination, op7_secret_ledger, op8_byte_bpe, op9_simhash_near_dedup)}
+ORACLES: dict[str, str] = {"op5_winnowing_decontamination": decontam.ORACLE}
