@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import byte_bpe, decontam, orc_tokens, quality, secret_ledger, simhash, url_filter
+from maskloom.llm import byte_bpe, decontam, flat_graph, lm_score, orc_tokens, piece_counts, quality, secret_ledger, simhash, url_filter
 from maskloom.llm.tables import table
 from maskloom.session import scratch_dir
 
@@ -35,10 +35,20 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(docs, quality.fit_table(docs, table(spark, folder, "labels")))
 
 
+def op4_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
+    """The target is the documents labelled as good; the background is all of them."""
+    good = table(spark, folder, "labels").where("quality = 1")
+    return lm_score.score(table(spark, folder, "documents"), good)
+
+
 def op5_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("items")
 
 
+def op6_viterbi_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_counts.count_pieces(table(spark, folder, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op7_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
     return secret_ledger.report(secret_ledger.scan(spark, table(spark, folder, "documents"), scratch_dir(spark, "ledger")))
 
@@ -54,5 +64,23 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_orc_token_ids, op3_quality_classifier, op5_winnowing_decontamination, op7_secret_ledger, op8_byte_bpe, op9_simhash_near_dedup)}
+def op10_flat_graph_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return flat_graph.near_duplicates(table(spark, folder, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_url_filter,
+        op2_orc_token_ids,
+        op3_quality_classifier,
+        op4_cross_entropy_difference,
+        op5_winnowing_decontamination,
+        op6_viterbi_token_counts,
+        op7_secret_ledger,
+        op8_byte_bpe,
+        op9_simhash_near_dedup,
+        op10_flat_graph_near_dedup,
+    )
+}
 ORACLES: dict[str, str] = {"op5_winnowing_decontamination": decontam.ORACLE}
