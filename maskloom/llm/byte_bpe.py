@@ -8,7 +8,7 @@ ordered aggregation puts each document's bytes together.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +16,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskloom.llm.tables import blocks, map_batches
+from maskloom.llm.tables import blocks, fresh_name, map_batches, schema_text
 
 #: Fixed value: the pattern that splits a text into pieces before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -155,8 +155,8 @@ def codec(path: str) -> Codec:
     return _loaded[path]
 
 
-def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", out: str = "ids") -> DataFrame:
-    """One row per document: id and ``ids``, array<int>; null text counts as empty, an empty text has no ids.
+def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", out: str = "ids", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per document: id, the columns named in ``keep``, and ``ids``, array<int>; null text counts as empty, an empty text has no ids.
 
     Special tokens are ordinary text. Repeated rows stay; other columns are not read. ``ranks`` is a rank file that
     lies at this path on every executor.
@@ -164,15 +164,16 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).fill_null("")
+            texts = batch.column(0).fill_null("")
             for start, end in blocks(np.asarray(pa.compute.binary_length(texts)), 8_000_000):
                 found = codec(ranks).encode(texts.slice(start, end - start).to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])])
                 ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, end - start), ids], [id_col, out])
+                yield pa.RecordBatch.from_arrays([*batch.slice(start, end - start).columns[1:], ids], [*batch.schema.names[1:], out])
 
-    rows = docs.select(id_col, text_col)
-    return map_batches(rows, encoded, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, `{out}` array<int>")
+    kept = docs.select(id_col, *keep)
+    rows = docs.select(F.col(text_col).alias(fresh_name(kept, "encoded_text")), id_col, *keep)
+    return map_batches(rows, encoded, f"{schema_text(kept)}, `{out}` array<int>")
 
 
 def decode(rows: DataFrame, ranks: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
@@ -188,8 +189,7 @@ def decode(rows: DataFrame, ranks: str, ids_col: str = "ids", out: str = "decode
                 found += codec(ranks).decode(np.repeat(np.arange(end - start, dtype=np.int32), sizes[start:end]), values, end - start)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, out])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return map_batches(rows, decoded, f"{fields}, `{out}` binary")
+    return map_batches(rows, decoded, f"{schema_text(rows)}, `{out}` binary")
 
 
 def ids_digest(ids) -> F.Column:

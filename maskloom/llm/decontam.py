@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskloom.llm.tables import ascii_lower, stored
+from maskloom.llm.tables import ascii_lower, fresh_name, stored
 
 WINDOW = 13
 GRAM = 5
@@ -47,7 +47,7 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", share: int = 20) -> DataFrame:
-    """One row per document: id, ``n_words``, ``n_hit``, ``n_items``, ``items``, ``items_sha256``, ``contaminated``.
+    """One row per document: id, ``key`` (of id and text), ``n_words``, ``n_hit``, ``n_items``, ``items``, ``items_sha256``, ``contaminated``.
 
     A word is hit inside any 13 words in a row that an item has too, or inside a whole shorter item. A document is
     contaminated if some word is hit and at least one in ``share`` is. Null and empty texts have no words; items
@@ -65,6 +65,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         marks = marks.unionByName(at.where(F.xxhash64("word") == F.col("anchor")).select("ikey", F.col("anchor").alias("hash"), "ipos"))
     marks = stored(marks, "benchmark-marks")
 
+    result = _hits(docs, items, marks, short, id_col, text_col)
+    listed = F.sort_array(F.coalesce("items", F.array().cast("array<string>")))
+    n_hit = F.coalesce("n_hit", F.lit(0))
+    return result.select(
+        F.col("id").alias(id_col), "key", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("bigint").alias("n_items"), listed.alias("items"),
+        F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
+    )
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents that are not contaminated, with all their columns."""
+    bad = contamination(docs, benchmark, id_col, text_col, **options).where("contaminated").select("key").distinct()
+    name = fresh_name(docs, "key")
+    marked = docs.withColumn(name, _key(F.col(id_col), F.col(text_col)))
+    return marked.join(bad, marked[name] == bad["key"], "left_anti").drop(name)
+
+
+def _hits(docs: DataFrame, items: DataFrame, marks: DataFrame, short: bool, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, n_words, n_hit, items) of every document; the last two are null where nothing is hit."""
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     cut = read.select("id", _key(F.col("id"), F.col("text")).alias("key"), words(F.col("text")).alias("dwords"))
     prints = cut.select("id", "key", F.size("dwords").cast("bigint").alias("n_words"), "dwords", _grams("dwords").alias("g"))
@@ -88,13 +107,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hits = starts.where("size(starts) > 0").select("key", "item", F.explode(F.expr("array_distinct(flatten(transform(starts, s -> sequence(low + s, low + s + span - 1))))")).alias("place"))
     totals = hits.groupBy("key").agg(F.countDistinct("place").alias("n_hit"), F.collect_set("item").alias("items"))
 
-    result = prints.select("id", "key", "n_words").join(totals, "key", "left")
-    listed = F.sort_array(F.coalesce("items", F.array().cast("array<string>")))
-    n_hit = F.coalesce("n_hit", F.lit(0))
-    return result.select(
-        F.col("id").alias(id_col), "n_words", n_hit.alias("n_hit"), F.size(listed).cast("bigint").alias("n_items"), listed.alias("items"),
-        F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"),
-    )
+    return prints.select("id", "key", "n_words").join(totals, "key", "left")
 
 
 #: The same in DuckDB, by comparing all windows.

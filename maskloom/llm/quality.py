@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskloom.llm.hashing import gram_hashes, mixed, word_hashes
-from maskloom.llm.tables import map_batches, text_blocks
+from maskloom.llm.tables import map_batches, schema_text, text_blocks
 
 SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
@@ -194,3 +194,15 @@ def score(docs: DataFrame, model: QualityModel, cut: float = 0.3, id_col: str =
     rows = docs.select(id_col, text_col)
     found = map_batches(rows, scored, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, score double")
     return found.select(id_col, held_out(F.col(id_col)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, model: QualityModel, cut: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The documents whose score is ``cut`` or more, with all their columns."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, block in text_blocks(batch.column(at)):
+                yield batch.slice(start, len(block)).filter(pa.array(shared.value.score(block) >= cut))
+
+    return map_batches(docs, chosen, schema_text(docs))

@@ -42,7 +42,7 @@ def op4_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("items")
+    return decontam.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("items", "key")
 
 
 def op6_viterbi_token_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm.tables import map_batches, stored
+from maskloom.llm.tables import fresh_name, map_batches, stored
 
 
 @dataclass(frozen=True)
@@ -122,3 +122,14 @@ def redacted(text: F.Column, found: F.Column, mark: str = "[secret]") -> F.Colum
         )
     )
     return F.aggregate(found, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)))
+
+
+def redact(spark: SparkSession, docs: DataFrame, ledger: str, rules: Sequence[SecretRule] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents with their secrets replaced; all columns stay, and null texts stay null."""
+    found = scan(spark, docs, ledger, rules, id_col, text_col).where("size(found) > 0").select(F.col(id_col).alias("id"), "blob", "found").dropDuplicates(["id", "blob"])
+    spans, blob = fresh_name(docs, "found"), fresh_name(docs, "blob")
+    marked = docs.withColumn(blob, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
+    found = found.withColumnsRenamed({"found": spans, "blob": f"{blob}_", "id": f"{blob}_id"})
+    both = marked.join(found, marked[id_col].eqNullSafe(found[f"{blob}_id"]) & (marked[blob] == found[f"{blob}_"]), "left")
+    text = F.when(F.col(spans).isNotNull(), redacted(F.col(text_col), F.col(spans))).otherwise(F.col(text_col))
+    return both.withColumn(text_col, text).select(docs.columns)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskloom.llm.components import components, spanning
-from maskloom.llm.tables import map_batches, stored
+from maskloom.llm.tables import fresh_name, map_batches, schema_text, stored
 
 SHINGLE = 3
 SEED = 42
@@ -183,3 +183,30 @@ def near_duplicates(docs: DataFrame, reach: int = DISTANCE, id_col: str = "doc_i
     # A fingerprint on very many rows is one row on this side; the optimizer splits the other.
     answer = rooted.join(smallest, "component").select("fp", "component_id")
     return prints.join(answer, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, reach: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group, with all its columns: that of the smallest id, and one row if the id repeats.
+
+    A document without an id stays only if no document with one is in its group, and then once per fingerprint.
+    """
+    found = stored(near_duplicates(docs, reach, id_col, text_col), "groups")
+    rest = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct()
+    lone = docs.join(rest, docs[id_col] == rest["gone"], "left_anti").where(F.col(id_col).isNotNull())
+    twice = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("twice")).count().where("count > 1").select("twice")
+    if twice.limit(1).count():
+        repeated = lone.join(twice, lone[id_col] == twice["twice"], "left_semi").dropDuplicates([id_col])
+        lone = lone.join(twice, lone[id_col] == twice["twice"], "left_anti").unionByName(repeated)
+    nameless = found.where(F.col(id_col).isNull() & F.col("component_id").isNull()).select("fingerprint").distinct()
+    if nameless.limit(1).count():
+        name, at = fresh_name(docs, "fingerprint"), docs.columns.index(text_col)
+
+        def with_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                prints = [f"{fingerprint(t.as_py() or b''):016x}" for t in batch.column(at).cast(pa.large_binary())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints, pa.string())], [*batch.schema.names, name])
+
+        marked = map_batches(docs.where(F.col(id_col).isNull()), with_print, f"{schema_text(docs)}, `{name}` string")
+        chosen = marked.join(nameless, marked[name] == nameless["fingerprint"], "left_semi").dropDuplicates([name])
+        lone = lone.unionByName(chosen.drop(name))
+    return lone

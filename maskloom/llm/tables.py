@@ -24,6 +24,16 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def fresh_name(frame: DataFrame, stem: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in frame.columns}
+    return next(n for n in (f"{stem}{i or ''}" for i in range(len(taken) + 1)) if n not in taken)
+
+
+def schema_text(frame: DataFrame) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in frame.schema)
+
+
 def map_batches(frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with this package at hand in the Python workers."""
     ship_package(frame.sparkSession)
