@@ -82,7 +82,7 @@ def fake_vat(value: Column, seed_text: Column | None = None, salt: str = "") ->
     start = F.struct(digest(source, "vat:", salt).alias("seed"), F.lit("").alias("out"))
     in_place = F.aggregate(F.split(text, ""), start, step, lambda state: state["out"])
     fake = F.when(text.rlike(COUNTRY_PREFIX), prefixed).otherwise(in_place)
-    return bind(fake, lambda out: F.when(out == text, redact_text(text)).otherwise(out))
+    return bind(fake, lambda out: F.when(F.upper(out) == F.upper(text), redact_text(text)).otherwise(out))
 
 
 def _or(column: Column | None, default: Column) -> Column:

@@ -43,8 +43,24 @@ def numeric_band(
     unit = hex_number(code, 1, 8) / F.lit(float(2**32))
     factor = F.lit(1.0) + F.lit(ratio) * (F.lit(2.0) * unit - F.lit(1.0))
     if isinstance(dtype, T.DecimalType):
-        return (value.cast(T.DecimalType(min(38, dtype.precision + 2), dtype.scale)) * factor.cast("decimal(14,12)")).cast(dtype)
+        top = F.lit("9" * (dtype.precision - dtype.scale) + "." + "9" * dtype.scale).cast(dtype)
+        wide = value.cast(T.DecimalType(min(38, dtype.precision + 2), dtype.scale)) * factor.cast("decimal(14,12)")
+        # what would round to one digit too many, with room for a double's own error
+        limit = (10.0 ** (dtype.precision - dtype.scale) - 0.5 * 10.0**-dtype.scale) * (1 - 1e-15)
+        size = wide.cast("double")
+        return F.when(size >= limit, top).when(size <= -limit, -top).otherwise(wide.cast(dtype))
     noisy = value.cast("double") * factor
     if isinstance(dtype, T.IntegralType):
-        return F.round(noisy).cast(dtype)
+        return _within(F.round(noisy), dtype)
     return noisy.cast(dtype)
+
+
+def _within(noisy: Column, dtype: T.IntegralType) -> Column:
+    """A rounded double as an integer type, at the type's limit where the noise goes beyond it."""
+    bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32}.get(type(dtype), 64)
+    # 2**63 - 1 is no double, so the limit itself is never cast from one
+    return (
+        F.when(noisy >= float(2 ** (bits - 1)), F.lit(2 ** (bits - 1) - 1).cast(dtype))
+        .when(noisy < -float(2 ** (bits - 1)), F.lit(-(2 ** (bits - 1))).cast(dtype))
+        .otherwise(noisy.cast(dtype))
+    )

@@ -32,7 +32,7 @@ def matching_patterns(column: Column, shape: Column, patterns: Sequence[rb.Colum
     name = F.substring_index(column, ".", -1)
     tests = []
     for pattern in patterns:
-        admits = name.rlike(pattern.match)
+        admits = name.rlike(rb.java_regex(pattern.match))
         if pattern.shapes:
             admits = shape.isin(list(pattern.shapes)) & admits
         entry = F.struct(
@@ -55,15 +55,19 @@ def analyze(columns: DataFrame, book: rb.Rulebook, ignore_models: Iterable[str]
     if ignored:
         columns = columns.join(F.broadcast(spark.createDataFrame(ignored, "table string")), "table", "left_anti")
     # the rulebook comes from the driver, so it is small enough to broadcast by construction
-    rules = book.rules_frame(spark).select("table", "column", F.col("strategy").alias("rule"))
-    whole = rules.select("table", F.col("column").alias("top"), F.col("rule").alias("top_rule"))
+    rules: dict[str, dict[str, str]] = {}
+    for rule in book.rules:
+        rules.setdefault(rule.table, {})[rule.path] = rule.strategy
+    ruled = spark.createDataFrame(list(rules.items()), "table string, rules map<string, string>")
+    # the column itself, then what it is nested in, as the masking plan places rules
+    parts = F.split("column", r"\.")
+    above = F.transform(F.sequence(F.size(parts), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "."))
+    named = F.filter(above, lambda path: F.col("rules")[path].isNotNull())
     declared = [(rb.table_of(model), model) for model in book.models]
     models = spark.createDataFrame(declared, "table string, declared string")
     joined = (
-        columns.withColumn("top", F.substring_index("column", ".", 1))
-        .join(F.broadcast(rules), ["table", "column"], "left")
-        .join(F.broadcast(whole), ["table", "top"], "left")
-        .withColumn("rule", F.coalesce("rule", "top_rule"))
+        columns.join(F.broadcast(ruled), "table", "left")
+        .withColumn("rule", F.col("rules")[F.get(named, F.lit(0))])
         .join(F.broadcast(models), "table", "left")
         .withColumn("pattern", first_match(F.col("column"), F.col("shape"), book.patterns))
     )
@@ -123,9 +127,11 @@ def undeclared_models(report: DataFrame) -> DataFrame:
 
 def gate(report: DataFrame, shown: int = 20) -> None:
     """Raise when any column lacks a rule."""
-    rows = findings(report).limit(shown).collect()
+    found = findings(report)
+    rows = found.limit(shown).collect()
     if rows:
-        raise CoverageError("; ".join(f"{row['table']}.{row['column']}: {row['reason']}" for row in rows))
+        listed = "; ".join(f"{row['table']}.{row['column']}: {row['reason']}" for row in rows)
+        raise CoverageError(f"{found.count()} columns without a rule: {listed}")
 
 
 def diff(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskloom.plans.schema import node_type
 from maskloom.session import ensure_checkpoint_dir, ship_package
 
 try:
@@ -69,18 +70,62 @@ GRAM_CLASSES = (
 
 
 def as_text(column: Column, dtype: T.DataType) -> Column:
+    """A value as text. Binary content is compared by its digest: a cell of it may be a whole file."""
     if isinstance(dtype, T.BinaryType):
-        return F.hex(column)
-    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-        return F.to_json(column)
-    return column.cast("string")
+        return F.concat(F.lit("sha256:"), F.sha2(column, 256))
+    return F.to_json(column) if isinstance(dtype, T.VariantType) else column.cast("string")
+
+
+def _nested(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
+
+
+def leaf_texts(path: str, value: Column, dtype: T.DataType) -> list[tuple[str, Column]]:
+    """``(path, array of texts)`` of every leaf below a value, map keys included.
+
+    Leaves are taken as they are: in JSON a quote or a line break would be escaped, and missed.
+    """
+    if isinstance(dtype, T.StructType):
+        return [leaf for child in dtype.fields for leaf in leaf_texts(f"{path}.{child.name}", value.getField(child.name), child.dataType)]
+    if isinstance(dtype, T.MapType):
+        keys = leaf_texts(f"{path}.{{key}}", F.map_keys(value), T.ArrayType(dtype.keyType))
+        return keys + leaf_texts(f"{path}.{{}}", F.map_values(value), T.ArrayType(dtype.valueType))
+    if not isinstance(dtype, T.ArrayType):
+        return [(path, F.array(as_text(value, dtype)))]
+    if isinstance(dtype.elementType, (T.NumericType, T.BooleanType)):
+        return [(path, F.array(F.to_json(value)))]  # nothing in it needs escaping, and a vector stays one cell
+    if not _nested(dtype.elementType):
+        return [(path, F.transform(value, lambda item: as_text(item, dtype.elementType)))]
+    names = [name for name, _ in leaf_texts(path, F.col("x"), dtype.elementType)]
+    return [(name, _each(value, lambda item: leaf_texts(path, item, dtype.elementType), n)) for n, name in enumerate(names)]
+
+
+def _each(items: Column, leaves: Callable[[Column], list], number: int) -> Column:
+    """One leaf of every item, in one array."""
+
+    def one(item: Column) -> Column:
+        found = leaves(item)[number]
+        return F.coalesce(found[1] if isinstance(found, tuple) else found, F.array().cast("array<string>"))
+
+    return F.flatten(F.transform(items, one))
+
+
+def _named(name: str, texts: Column) -> Column:
+    return F.transform(F.coalesce(texts, F.array().cast("array<string>")), lambda text: F.struct(F.lit(name).alias("column"), text.alias("value")))
 
 
 def cells_of(table: str, frame: DataFrame) -> DataFrame:
-    """``table, column, value``: every non-null cell of a table as text."""
-    texts = frame.select(*[as_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in frame.schema.fields])
-    melted = texts.unpivot([], [F.col(f"`{c}`") for c in texts.columns], "column", "value")
-    return melted.where(F.col("value").isNotNull()).select(F.lit(table).alias("table"), "column", "value")
+    """``table, column, value``: every non-null cell of a table as text, and every leaf of nested ones."""
+    flat = [f for f in frame.schema.fields if not _nested(f.dataType)]
+    parts = []
+    if flat:
+        texts = frame.select(*[as_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in flat])
+        parts.append(texts.unpivot([], [F.col(f"`{c}`") for c in texts.columns], "column", "value"))
+    leaves = [leaf for f in frame.schema.fields if _nested(f.dataType) for leaf in leaf_texts(f.name, F.col(f"`{f.name}`"), f.dataType)]
+    if leaves:
+        parts.append(frame.select(F.inline(F.concat(*[_named(name, texts) for name, texts in leaves]))))
+    cells_ = reduce(DataFrame.unionByName, parts)
+    return cells_.where(F.col("value").isNotNull()).select(F.lit(table).alias("table"), "column", "value")
 
 
 def cells(dataset: Mapping[str, DataFrame]) -> DataFrame:
@@ -88,15 +133,18 @@ def cells(dataset: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def original_values(dataset: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]]) -> DataFrame:
-    """``value, table, column``: distinct non-null values of the named source columns."""
+    """``value, table, column``: distinct non-null values of the named source columns or nested paths.
+
+    What is left out because the dataset has no such column is the caller's to know; none at all is an error.
+    """
     parts = []
     for table, path in columns:
-        if table not in dataset or path not in dataset[table].columns:
+        if table not in dataset or (dtype := node_type(dataset[table].schema, path)) is None:
             continue
         frame = dataset[table]
-        text = as_text(F.col(f"`{path}`"), frame.schema[path].dataType)
+        texts = F.flatten(F.array(*[F.coalesce(t, F.array().cast("array<string>")) for t in _texts_at(frame, path, dtype)]))
         parts.append(
-            frame.select(text.alias("value"))
+            frame.select(F.explode(texts).alias("value"))
             .where(F.col("value").isNotNull())
             .distinct()
             .select("value", F.lit(table).alias("table"), F.lit(path).alias("column"))
@@ -106,6 +154,23 @@ def original_values(dataset: Mapping[str, DataFrame], columns: Sequence[tuple[st
     return reduce(DataFrame.unionByName, parts)
 
 
+def _texts_at(frame: DataFrame, path: str, dtype: T.DataType) -> list[Column]:
+    """The texts of all leaves at or below a path."""
+    if path in frame.columns:
+        return [texts for _, texts in leaf_texts(path, F.col(f"`{path}`"), dtype)]
+
+    def down(value: Column, kind: T.DataType, rest: list[str]) -> list[Column]:
+        if not rest:
+            return [texts for _, texts in leaf_texts("", value, kind)]
+        if rest[0] not in ("[]", "{}"):
+            return down(value.getField(rest[0]), kind[rest[0]].dataType, rest[1:])
+        items, inner = (value, kind.elementType) if rest[0] == "[]" else (F.map_values(value), kind.valueType)
+        return [_each(items, lambda item: down(item, inner, rest[1:]), n) for n in range(len(down(F.col("x"), inner, rest[1:])))]
+
+    head, *rest = path.split(".")
+    return down(F.col(f"`{head}`"), frame.schema[head].dataType, rest)
+
+
 def find_values(
     text_cells: DataFrame,
     needles: DataFrame,
@@ -156,8 +221,9 @@ def _class_number() -> Column:
 
 
 def _whole_cells(text_cells: DataFrame, needles: DataFrame) -> DataFrame:
-    # equal cells collapse before they are shuffled, so a hot value is one row per task
-    counted = text_cells.groupBy("table", "column", "value").agg(F.count(F.lit(1)).alias("cells"))
+    # longer cells cannot be equal and stay out of the shuffle; equal ones collapse before it
+    limit = needles.agg(F.coalesce(F.max(F.length("needle")), F.lit(0)).alias("n")).first()["n"]
+    counted = text_cells.where(F.length("value") <= limit).groupBy("table", "column", "value").agg(F.count(F.lit(1)).alias("cells"))
     return counted.join(needles, counted["value"] == needles["needle"]).select("needle", "table", "column", "cells")
 
 
@@ -362,20 +428,25 @@ def with_canary(spark: SparkSession, text_cells: DataFrame) -> DataFrame:
     return text_cells.unionByName(probe)
 
 
-def leak_scan(
-    dataset: Mapping[str, DataFrame], needles: DataFrame, min_length: int = 1, limit: int = 100, **options
-) -> list[tuple[str, str, str, int]]:
-    """Scan a masked dataset and return surviving values (at most ``limit`` of them, for a report).
+def leak_scan(dataset: Mapping[str, DataFrame], needles: DataFrame, min_length: int = 1, **options) -> DataFrame:
+    """Scan a masked dataset: ``needle, table, column, cells`` of every surviving value, written once.
 
-    A canary cell is scanned along; not finding it means the scan itself is broken.
+    A canary cell is scanned along; not finding the canary in it means the scan itself is broken.
     """
     spark = needles.sparkSession
     wanted = needles.select(F.col(needles.columns[0]).alias("needle")).unionByName(
         spark.createDataFrame([(CANARY,)], "needle string")
     )
-    hits = find_values(with_canary(spark, cells(dataset)), wanted, min_length, **options)
-    ranked = hits.orderBy(F.col("table") != "__canary__", "needle", "table", "column").limit(limit + 1)
-    rows = [tuple(row) for row in ranked.collect()]
-    if not any(row[1] == "__canary__" for row in rows):
+    hits = find_values(with_canary(spark, cells(dataset)), wanted, min_length, **options).checkpoint()
+    probe = F.col("table") == "__canary__"
+    if not hits.where(probe & (F.col("needle") == CANARY)).limit(1).count():
         raise LeakError("the leak scan did not find its canary")
-    return [row for row in rows if row[1] != "__canary__"]
+    return hits.where(~probe)
+
+
+def assert_no_leak(hits: DataFrame, shown: int = 10) -> None:
+    """Raise when anything survived; the message names a few and counts them all."""
+    rows = hits.orderBy("needle", "table", "column").limit(shown).collect()
+    if rows:
+        listed = "; ".join(f"{needle!r} in {table}.{column} ({n})" for needle, table, column, n in rows)
+        raise LeakError(f"{hits.count()} surviving values: {listed}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maskloom.functions.secrets import FRESH
-from maskloom.functions.text import extension, replace_each, replace_in_json, rewrite_strings
+from maskloom.functions.text import extension, replace_each, replace_in_json, rewrite_path, rewrite_strings
 from maskloom.plans.strategies import MaskError
 from maskloom.session import scratch_dir, ship_package
 
@@ -55,17 +56,32 @@ def rotation_for(model: str, column: str, declared: Any = None) -> Rotation:
 
 
 def rotate_columns(frame: DataFrame, rotations: Mapping[str, Rotation]) -> DataFrame:
-    return frame.select(
-        *[
-            rotations[f.name].value(f.dataType).alias(f.name) if f.name in rotations else F.col(f"`{f.name}`")
-            for f in frame.schema.fields
-        ]
-    )
+    """New values at the given paths; below a nested path every text leaf is replaced."""
+
+    def rotated(rotation: Rotation, value: Column, dtype: T.DataType) -> Column:
+        if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+            return rewrite_strings(value, dtype, lambda _text: rotation.value(T.StringType()))
+        return rotation.value(dtype)
+
+    columns = []
+    for f in frame.schema.fields:
+        value = F.col(f"`{f.name}`")
+        for path, rotation in rotations.items():
+            if path == f.name:
+                value = rotated(rotation, value, f.dataType)
+            elif path not in frame.columns and path.split(".")[0] == f.name:
+                value = rewrite_path(value, f.dataType, path.split(".")[1:], lambda old, dtype, r=rotation: rotated(r, old, dtype))
+        columns.append(value.alias(f.name))
+    return frame.select(*columns)
 
 
 @dataclass(frozen=True)
 class KeyValuePolicy:
-    """Values masked by the key of their row: named rotations first, then the regex drop."""
+    """Values masked by the key of their row: named rotations first, then the regex drop.
+
+    ``distinctive: false`` says that rows left alone may well hold the same values, so that a leak scan
+    must not look for them.
+    """
 
     table: str
     key: str = "key"
@@ -73,6 +89,7 @@ class KeyValuePolicy:
     drop_regex: str | None = None
     rotations: Mapping[str, Rotation] = field(default_factory=dict)
     nullable: bool | None = None
+    distinctive: bool = True
 
     def apply(self, frame: DataFrame) -> DataFrame:
         dtype = frame.schema[self.value].dataType
@@ -91,6 +108,16 @@ class KeyValuePolicy:
         return frame.select(*[masked.alias(c) if c == self.value else F.col(f"`{c}`") for c in frame.columns])
 
 
+    def hidden_values(self, frame: DataFrame) -> DataFrame | None:
+        """``value, column``: what the policy drops or rotates to something new."""
+        key = F.col(self.key)
+        hits = [key == name for name, rotation in self.rotations.items() if rotation.fresh]
+        hits += [key.rlike(self.drop_regex)] if self.drop_regex else []
+        if not hits or not self.distinctive:
+            return None
+        return frame.where(reduce(Column.__or__, hits)).select(F.col(self.value).alias("value"), F.lit(self.value).alias("column"))
+
+
 @dataclass(frozen=True)
 class ContentPolicy:
     """Attached files: content columns nulled, names scrubbed and rows left out by parent type."""
@@ -121,6 +148,12 @@ class ContentPolicy:
             columns.append(column.alias(f.name))
         return frame.select(*columns)
 
+    def hidden_values(self, frame: DataFrame) -> DataFrame | None:
+        """``value, column``: the file names that are scrubbed."""
+        if not self._can_scrub(frame):
+            return None
+        return frame.where(self.scrubs()).select(F.col(self.filename).alias("value"), F.lit(self.filename).alias("column"))
+
     def metrics(self, frame: DataFrame) -> list[Column]:
         """Aggregates that count what :meth:`apply` changes."""
         present = [c for c in self.drop_columns if c in frame.columns]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ def shuffle_column(
     within: Sequence[str] = (),
     salt: str = "",
     bucket_digits: int = BUCKET_DIGITS,
+    order_by: str | None = None,
 ) -> DataFrame:
     """Give every row the value of the next row in one keyed random order (a cyclic shift).
 
@@ -32,12 +33,12 @@ def shuffle_column(
     order. ``lead`` serves every row but the last of a bucket; that one takes the first value of
     the next bucket that has rows, from a table of one row per bucket. One shuffle of the data, no
     global window over rows. ``within`` permutes inside groups; a hot group spreads over all its
-    buckets. The outcome does not depend on partitioning nor on ``bucket_digits``.
+    buckets. The outcome does not depend on partitioning nor on ``bucket_digits``. ``order_by`` names a
+    column that already holds the digest.
     """
     group = [F.col(name) for name in within]
-    spread = frame.withColumn("__hash", F.md5(F.concat(F.lit(salt), row_key(keys)))).withColumn(
-        "__bucket", F.substring("__hash", 1, bucket_digits)
-    )
+    hashed = F.col(order_by) if order_by else F.md5(F.concat(F.lit(salt), row_key(keys)))
+    spread = frame.withColumn("__hash", hashed).withColumn("__bucket", F.substring("__hash", 1, bucket_digits))
     # a struct, so that a NULL value differs from "no such row"
     boxed = F.struct(F.col(column).alias("v"))
     order = [F.col("__hash"), *[F.col(key) for key in keys]]
@@ -54,6 +55,35 @@ def shuffle_column(
     return joined.select(*[value.alias(column) if c == column else F.col(c) for c in frame.columns])
 
 
+def shuffle_columns(
+    source: DataFrame, target: DataFrame, salts: Mapping[str, str], keys: Sequence[str], bucket_digits: int = BUCKET_DIGITS
+) -> DataFrame:
+    """:func:`shuffle_column` of several columns of ``source`` at once, put into the rows of ``target``.
+
+    ``target`` has the rows of ``source``, perhaps with masked keys; its column ``__row`` keeps what
+    :func:`row_key` was before, and is left out of the result. All columns travel together, as one narrow row per row and column, so the
+    number of scans does not grow with the columns.
+    """
+    names = list(salts)
+    own = Window.partitionBy("__row").orderBy(F.lit(0))
+    given = source.select(row_key(keys).alias("__row"), *[F.col(f"`{c}`").alias(f"__v{i}") for i, c in enumerate(names)]).withColumn("__copy", F.row_number().over(own))
+    values = [
+        F.struct(
+            F.lit(i).alias("__column"),
+            F.md5(F.concat(F.lit(salts[c]), "__row")).alias("__hash"),
+            F.struct(*[F.col(f"__v{j}") if j == i else F.lit(None).cast(source.schema[n].dataType).alias(f"__v{j}") for j, n in enumerate(names)]).alias("__value"),
+        )
+        for i, c in enumerate(names)
+    ]
+    long = given.select("__row", "__copy", F.inline(F.array(*values)))
+    moved = shuffle_column(long, "__value", ["__row", "__copy"], within=["__column"], bucket_digits=bucket_digits, order_by="__hash")
+    wide = moved.groupBy("__row", "__copy").agg(*[F.first(F.when(F.col("__column") == i, F.struct(f"__value.__v{i}")), ignorenulls=True).alias(f"__n{i}") for i in range(len(names))])
+    numbered = target.withColumn("__copy", F.row_number().over(own))
+    joined = numbered.join(wide, ["__row", "__copy"])
+    new = {c: F.col(f"__n{i}")[f"__v{i}"] for i, c in enumerate(names)}
+    return joined.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in target.columns if c != "__row"])
+
+
 def _next_first(heads: DataFrame, within: Sequence[str]) -> DataFrame:
     """First value of the following bucket, the last bucket wrapping to the first one.
 

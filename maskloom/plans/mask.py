@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maskloom.functions.text import rewrite_path, rewrite_strings
+from maskloom.operators.leakscan import original_values
 from maskloom.operators.policies import (
     ContentPolicy,
     KeyValuePolicy,
@@ -20,7 +22,7 @@ from maskloom.operators.policies import (
     rotation_for,
     scoped_replace,
 )
-from maskloom.operators.shuffle import row_key, shuffle_column
+from maskloom.operators.shuffle import row_key, shuffle_columns
 from maskloom.plans import rulebook as rb
 from maskloom.plans import schema as sc
 from maskloom.plans import strategies as st
@@ -45,13 +47,14 @@ class ScopedReplace:
 class TablePlan:
     table: str
     rewrites: dict[str, rb.FieldRule] = field(default_factory=dict)
-    shuffles: list[str] = field(default_factory=list)
+    shuffles: dict[str, rb.FieldRule] = field(default_factory=dict)
     rotations: dict[str, Rotation] = field(default_factory=dict)
     key_values: list[KeyValuePolicy] = field(default_factory=list)
     contents: list[ContentPolicy] = field(default_factory=list)
     scoped: list[ScopedReplace] = field(default_factory=list)
 
 
+SALTED_STRATEGIES = ("generalize_numeric_band", "shuffle_within_column")
 SOFT_STRATEGIES = ("generalize_year", "generalize_numeric_band")
 
 
@@ -69,8 +72,24 @@ class MaskPlan:
         for name, plan in self.tables.items():
             found += [(name, path) for path, rule in plan.rewrites.items() if rule.strategy not in SOFT_STRATEGIES]
             found += [(name, path) for path, rotation in plan.rotations.items() if rotation.fresh]
+            found += [(name, column) for policy in plan.contents for column in policy.drop_columns]
         return found
 
+    def secret_values(self, dataset: Mapping[str, DataFrame]) -> DataFrame | None:
+        """``value, table, column``: the originals of :meth:`secret_columns` and what the row policies hide.
+
+        None when the plan hides nothing.
+        """
+        columns = [(t, c) for t, c in self.secret_columns() if sc.node_type(dataset[t].schema, c) is not None]
+        parts = [original_values(dataset, columns)] if columns else []
+        for name, plan in self.tables.items():
+            for policy in [*plan.key_values, *plan.contents]:
+                hidden = policy.hidden_values(dataset[name])
+                parts += [] if hidden is None else [hidden.select(F.col("value").cast("string").alias("value"), F.lit(name).alias("table"), "column")]
+        if not parts:
+            return None
+        return reduce(DataFrame.unionByName, parts).where("value is not null and value <> ''").distinct()
+
 
 @dataclass
 class Masked:
@@ -96,10 +115,8 @@ def build_plan(dataset: Mapping[str, DataFrame], book: rb.Rulebook) -> MaskPlan:
         "rotate_applied rotate_skipped policies_applied policies_skipped".split(),
         0,
     )
-    explicit: set[tuple[str, str]] = set()
-    for rule in book.rules:
-        explicit.add((rule.table, rule.path))
-        _place_rule(rule, book, dataset, leaves, plans, counters)
+    # only rules that handle a column here keep a pattern from it
+    explicit = {(rule.table, rule.path) for rule in book.rules if _place_rule(rule, book, dataset, plans, counters)}
     for name, columns in leaves.items():
         for path, dtype in columns.items():
             pattern = first_pattern(path, _shape(book, name, path, dtype), book.patterns)
@@ -136,35 +153,40 @@ def _ruled(explicit: set[tuple[str, str]], table: str, path: str) -> bool:
     return any((table, ".".join(parts[:n])) in explicit for n in range(1, len(parts) + 1))
 
 
-def _place_rule(rule, book, dataset, leaves, plans, counters) -> None:
+def _place_rule(rule, book, dataset, plans, counters) -> bool:
+    """Put one rule into its table's plan; False when the dataset has nothing for it.
+
+    A path may end at a nested value; the rule then holds for everything below it.
+    """
     if rule.strategy not in book.strategies:
         raise MaskError(f"{rule.file}: {rule.model}.{rule.field} uses unknown strategy {rule.strategy!r}")
     chosen = st.strategy(rule.strategy)
     table, path = rule.table, rule.path
-    if chosen.kind == st.KEEP:
-        counters["kept"] += 1
-        return
     rotation = None
     if chosen.kind == st.ROTATE:
         rotation = rotation_for(rule.model, rule.field, rule.params.get("rotate"))
+    dtype = sc.node_type(dataset[table].schema, path) if table in dataset else None
+    present = dtype is not None
+    if chosen.kind == st.CROSS_ROW and present:
+        if path not in dataset[table].columns:
+            raise MaskError(f"{rule.file}: {rule.model}.{rule.field} is nested, and only whole columns can be shuffled")
+        present = bool(table_key(book, table, dataset[table]))
+    if chosen.kind == st.KEEP:
+        counters["kept"] += 1
+        return present
     prefix = {st.ROTATE: "rotate_", st.CROSS_ROW: "shuffle_"}.get(chosen.kind, "")
-    top_level = table in dataset and path in dataset[table].columns
-    present = top_level or path in leaves.get(table, {})
-    if chosen.kind == st.CROSS_ROW:
-        present = top_level and bool(table_key(book, table, dataset[table]))
-    elif chosen.kind == st.ROTATE:
-        present = top_level
     counters[prefix + ("applied" if present else "skipped")] += 1
     if not present:
-        return
+        return False
     plan = plans[table]
     if chosen.kind == st.ROTATE:
         plan.rotations[path] = rotation
     elif chosen.kind == st.CROSS_ROW:
-        plan.shuffles.append(path)
+        plan.shuffles[path] = rule
     else:
-        _check_type(rule, dataset[table].schema[path].dataType if top_level else leaves[table][path])
+        _check_type(rule, dtype)
         plan.rewrites[path] = rule
+    return True
 
 
 def _check_type(rule: rb.FieldRule, dtype: T.DataType) -> None:
@@ -192,8 +214,7 @@ def table_key(book: rb.Rulebook, table: str, frame: DataFrame) -> list[str]:
 
 def _place_policies(book, dataset, plans, counters) -> None:
     for policy in policies_of(book):
-        needs = {policy.table} | ({policy.names_table} if isinstance(policy, ScopedReplace) else set())
-        if not needs <= set(dataset):
+        if not _has_columns(policy, dataset):
             counters["policies_skipped"] += 1
             continue
         counters["policies_applied"] += 1
@@ -206,33 +227,44 @@ def _place_policies(book, dataset, plans, counters) -> None:
             plan.scoped.append(policy)
 
 
+def _has_columns(policy, dataset: Mapping[str, DataFrame]) -> bool:
+    """Whether the dataset has what a policy works on."""
+    columns = set(dataset[policy.table].columns) if policy.table in dataset else set()
+    if isinstance(policy, KeyValuePolicy):
+        return {policy.key, policy.value} <= columns
+    if isinstance(policy, ContentPolicy):
+        return bool(columns & {*policy.drop_columns, policy.parent})
+    names = set(dataset[policy.names_table].columns) if policy.names_table in dataset else set()
+    return {policy.column, policy.key} <= columns and {policy.names_column, *policy.names_key} <= names
+
+
 def policies_of(book: rb.Rulebook) -> list[KeyValuePolicy | ContentPolicy | ScopedReplace]:
     """The policies a rulebook declares beside its field rules, whichever form it uses."""
     found: list = []
-    config = book.find(rb.CONFIG_MODEL) or {}
+    config = book.setting(rb.CONFIG_MODEL) or {}
     regex = config.get("match_by_key_regex")
     named = config.get("always_rotate_regardless_of_match") or {}
     if regex or named:
         rotations = {str(key): rotation_for(rb.CONFIG_MODEL, str(key), how) for key, how in dict(named).items()}
         found.append(KeyValuePolicy(rb.table_of(rb.CONFIG_MODEL), "key", "value", regex, rotations))
-    for entry in book.find("key_value_policies") or []:
+    for entry in book.entries("key_value_policies"):
         rotations = {k: rotation_for(entry["table"], k, how) for k, how in (entry.get("rotate") or {}).items()}
         found.append(
             KeyValuePolicy(
                 entry["table"], entry.get("key", "key"), entry.get("value", "value"), entry.get("drop_regex"), rotations,
-                entry.get("nullable"),
+                entry.get("nullable"), bool(entry.get("distinctive", True)),
             )
         )
-    default = book.find("default_policy")
+    default = book.setting("default_policy")
     if default is not None:
         found.append(attachment_policy(book))
-    for entry in book.find("content_policies") or []:
+    for entry in book.entries("content_policies"):
         found.append(ContentPolicy(**entry))
-    views = (book.find(rb.VIEW_MODEL) or {}).get("scoped_arch_replace") or []
+    views = (book.setting(rb.VIEW_MODEL) or {}).get("scoped_arch_replace") or []
     keys = [str(entry["view_key"]) for entry in views if entry.get("view_key")]
     if keys:
         found.append(ScopedReplace("ir_ui_view", "arch_db", "key", keys, "res_company", "name"))
-    for entry in book.find("scoped_replace") or []:
+    for entry in book.entries("scoped_replace"):
         found.append(ScopedReplace(**entry))
     return found
 
@@ -248,14 +280,14 @@ ATTACHMENT_COLUMNS = {
 
 
 def attachment_policy(book: rb.Rulebook) -> ContentPolicy:
-    default = book.find("default_policy") or {}
+    default = book.setting("default_policy") or {}
     dropped = [c for part, columns in ATTACHMENT_COLUMNS.items() if default.get(part) == "drop" for c in columns]
     if default.get("filename") == "drop":
         dropped.append("name")
     return ContentPolicy(
         drop_columns=tuple(dropped),
-        scrub_parents=tuple(book.find("full_scrub_filename_for_models") or ()),
-        exclude_parents=tuple(book.find("exclude_rows_entirely_for_models") or ()),
+        scrub_parents=tuple(book.entries("full_scrub_filename_for_models")),
+        exclude_parents=tuple(book.entries("exclude_rows_entirely_for_models")),
     )
 
 
@@ -268,6 +300,7 @@ def mask(dataset: Mapping[str, DataFrame], book: rb.Rulebook, salt: str = "", ob
     generated code, so it is off by default.
     """
     plan = build_plan(dataset, book)
+    require_salt(plan.tables.values(), salt)
     observations: dict[str, Observation] = {}
     result: dict[str, DataFrame] = {}
     for name, frame in dataset.items():
@@ -277,10 +310,12 @@ def mask(dataset: Mapping[str, DataFrame], book: rb.Rulebook, salt: str = "", ob
             observations[name] = Observation(f"mask-{name}")
             touched = [metric for policy in table.contents for metric in policy.metrics(frame)]
             frame = frame.observe(observations[name], F.count(F.lit(1)).alias("rows"), *touched)
-        masked = rewrite_table(frame, table, keys, salt)
-        for column in table.shuffles:
+        named = frame.withColumn("__row", row_key(keys)) if table.shuffles else frame
+        masked = rewrite_table(named, table, keys, salt)
+        if table.shuffles:
             # each column has an order of its own, or shuffled columns would stay linked
-            masked = shuffle_column(masked, column, keys, salt=f"{salt}{column}:")
+            salts = {column: f"{rule.params.get('salt', salt)}{column}:" for column, rule in table.shuffles.items()}
+            masked = shuffle_columns(frame, masked, salts, keys)
         masked = rotate_columns(masked, table.rotations) if table.rotations else masked
         for policy in [*table.key_values, *table.contents]:
             masked = policy.apply(masked)
@@ -294,6 +329,14 @@ def mask(dataset: Mapping[str, DataFrame], book: rb.Rulebook, salt: str = "", ob
     return Masked(result, plan, observations)
 
 
+def require_salt(plans: Iterable[TablePlan], salt: str) -> None:
+    """Noise and orders drawn from public keys alone can be drawn again by anyone, and undone."""
+    for plan in plans:
+        for rule in [*plan.rewrites.values(), *plan.shuffles.values()]:
+            if rule.strategy in SALTED_STRATEGIES and not rule.params.get("salt", salt):
+                raise MaskError(f"{rule.file}: {rule.strategy} of {rule.model}.{rule.field} needs a secret salt")
+
+
 def rewrite_table(frame: DataFrame, plan: TablePlan, keys: Sequence[str] = (), salt: str = "") -> DataFrame:
     """All per-column rewrites of one table in a single projection."""
     if not plan.rewrites:

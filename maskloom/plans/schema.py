@@ -46,6 +46,23 @@ def leaf_columns(schema: T.StructType) -> list[tuple[str, T.DataType, bool]]:
     return found
 
 
+def node_type(schema: T.StructType, path: str) -> T.DataType | None:
+    """The type at a path, whether a leaf or a nested value on the way to one; None where there is nothing."""
+    if path in schema.fieldNames():
+        return schema[path].dataType
+    node: T.DataType | None = schema
+    for part in path.split("."):
+        if part == "[]":
+            node = node.elementType if isinstance(node, T.ArrayType) else None
+        elif part == "{}":
+            node = node.valueType if isinstance(node, T.MapType) else None
+        else:
+            node = node[part].dataType if isinstance(node, T.StructType) and part in node.fieldNames() else None
+        if node is None:
+            return None
+    return node
+
+
 def type_shape(dtype: T.DataType) -> str:
     """Shape of a leaf column by what it can hold."""
     if isinstance(dtype, T.ArrayType):

@@ -59,6 +59,8 @@ def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
         root = spark.sparkContext.getCheckpointDir()
+    if root is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     if root is None:
         root = tempfile.mkdtemp(prefix="maskloom-")
         spark.sparkContext.setCheckpointDir(root)

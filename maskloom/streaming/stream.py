@@ -10,17 +10,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from maskloom.operators.policies import rotate_columns
 from maskloom.plans import rulebook as rb
-from maskloom.plans.mask import build_plan, rewrite_table, table_key
+from maskloom.plans.mask import build_plan, require_salt, rewrite_table, table_key
 from maskloom.plans.strategies import MaskError
 
 
 def mask_stream(stream: DataFrame, table: str, book: rb.Rulebook, salt: str = "") -> DataFrame:
-    """Mask a streaming table by its row rules, patterns and key/value policies."""
+    """Mask a streaming table by its row rules, patterns, rotations, key/value and content policies."""
     plan = build_plan({table: stream}, book).tables[table]
     if plan.shuffles or plan.scoped:
         raise MaskError(f"{table}: shuffled and scoped-replace columns need all rows; mask them in batch")
+    require_salt([plan], salt)
     masked = rewrite_table(stream, plan, table_key(book, table, stream), salt)
+    masked = rotate_columns(masked, plan.rotations) if plan.rotations else masked
     for policy in [*plan.key_values, *plan.contents]:
         masked = policy.apply(masked)
     return masked

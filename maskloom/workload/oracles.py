@@ -5,7 +5,7 @@ from __future__ import annotations
 from maskloom.functions import words
 from maskloom.functions.words import FILLER
 from maskloom.operators.leakscan import CANARY
-from maskloom.workload.rules import TABLES, shop_rulebook
+from maskloom.workload.rules import SALT, TABLES, shop_rulebook
 
 ORACLES: dict[str, str] = {}
 
@@ -70,9 +70,9 @@ def partial_or_null(value: str) -> str:
     return f"CASE WHEN {value} IS NOT NULL THEN {partial(value)} END"
 
 
-def noisy(value: str, column: str, *keys: str) -> str:
+def noisy(value: str, column: str, *keys: str, salt: str = "") -> str:
     key = f"concat_ws(chr(31), {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)})"
-    code = f"md5(concat('band:', {key}, ':{column}'))"
+    code = f"md5(concat('{salt}band:', {key}, ':{column}'))"
     unit = f"CAST({number(code, 1)} AS DOUBLE) / CAST(4294967296 AS DOUBLE)"
     one, two, ratio = "CAST(1 AS DOUBLE)", "CAST(2 AS DOUBLE)", "CAST(0.15 AS DOUBLE)"
     return f"CAST({value} AS DOUBLE) * ({one} + {ratio} * ({two} * ({unit}) - {one}))"
@@ -118,26 +118,26 @@ IBAN = (
 )
 
 CUSTOMER_SEGMENTS = shuffled("customer", ["c_custkey"], "c_mktsegment")
-RULED_SEGMENTS = shuffled("customer", ["c_custkey"], "c_mktsegment", salt="c_mktsegment:")
+RULED_SEGMENTS = shuffled("customer", ["c_custkey"], "c_mktsegment", salt=SALT + "c_mktsegment:")
 
 # --- masking whole tables ---------------------------------------------------------------------
 
 ORACLES["mask_customer"] = (
     f"WITH {RULED_SEGMENTS} SELECT c.c_custkey, {person('c.c_name')} AS c_name, c.c_nationkey, "
-    f"{noisy('c.c_acctbal', 'c_acctbal', 'c.c_custkey')} AS c_acctbal, m.v AS c_mktsegment "
+    f"{noisy('c.c_acctbal', 'c_acctbal', 'c.c_custkey', salt=SALT)} AS c_acctbal, m.v AS c_mktsegment "
     "FROM customer c JOIN moved m USING (c_custkey)"
 )
 ORACLES["mask_supplier"] = (
     f"SELECT s_suppkey, {company('s_name')} AS s_name, s_nationkey, "
-    f"{noisy('s_acctbal', 's_acctbal', 's_suppkey')} AS s_acctbal FROM supplier"
+    f"{noisy('s_acctbal', 's_acctbal', 's_suppkey', salt=SALT)} AS s_acctbal FROM supplier"
 )
 ORACLES["mask_orders"] = (
-    f"SELECT o_orderkey, o_custkey, o_orderstatus, {noisy('o_totalprice', 'o_totalprice', 'o_orderkey')} AS o_totalprice, "
+    f"SELECT o_orderkey, o_custkey, o_orderstatus, {noisy('o_totalprice', 'o_totalprice', 'o_orderkey', salt=SALT)} AS o_totalprice, "
     f"{year('o_orderdate')} AS o_orderdate, {partial('o_orderpriority')} AS o_orderpriority FROM orders"
 )
 ORACLES["mask_lineitem"] = (
     "SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, "
-    f"{noisy('l_extendedprice', 'l_extendedprice', 'l_orderkey', 'l_linenumber')} AS l_extendedprice, "
+    f"{noisy('l_extendedprice', 'l_extendedprice', 'l_orderkey', 'l_linenumber', salt=SALT)} AS l_extendedprice, "
     f"l_discount, l_tax, l_returnflag, l_linestatus, {year('l_shipdate')} AS l_shipdate FROM lineitem"
 )
 

@@ -27,6 +27,9 @@ PATTERNS = {
     ]
 }
 
+SALT = "shop-"
+BAND = {"strategy": "generalize_numeric_band", "salt": SALT}
+
 SHOP = {
     "customer": {
         "key": ["c_custkey"],
@@ -34,13 +37,13 @@ SHOP = {
         "fields": {
             "c_name": "fake_person_name",
             "c_nationkey": "keep",
-            "c_acctbal": "generalize_numeric_band",
-            "c_mktsegment": "shuffle_within_column",
+            "c_acctbal": BAND,
+            "c_mktsegment": {"strategy": "shuffle_within_column", "salt": SALT},
         },
     },
     "supplier": {
         "key": ["s_suppkey"],
-        "fields": {"s_name": "fake_company_name", "s_acctbal": "generalize_numeric_band", "s_website": "drop"},
+        "fields": {"s_name": "fake_company_name", "s_acctbal": BAND, "s_website": "drop"},
     },
     "nation": {"key": ["n_nationkey"], "fields": {"n_name": "fake_company_name"}},
     "orders": {
@@ -48,7 +51,7 @@ SHOP = {
         "refs": {"o_custkey": "customer.c_custkey"},
         "fields": {
             "o_orderdate": "generalize_year",
-            "o_totalprice": "generalize_numeric_band",
+            "o_totalprice": BAND,
             "o_orderpriority": "partial_keep_last4",
         },
     },
@@ -56,7 +59,7 @@ SHOP = {
         "key": ["l_orderkey", "l_linenumber"],
         "fields": {
             "l_shipdate": "generalize_year",
-            "l_extendedprice": "generalize_numeric_band",
+            "l_extendedprice": BAND,
             "l_returnflag": "keep",
         },
     },
@@ -73,6 +76,7 @@ POLICIES = {
             "value": "props",
             "drop_regex": "(?i)(sign|purchase|error)",
             "rotate": {"error": {"constant": "{}"}},
+            "distinctive": False,
         }
     ],
     "content_policies": [

@@ -6,11 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from maskloom.functions.secrets import fresh_secret
+from maskloom.operators.leakscan import LeakError
+from maskloom.operators.verify import VerificationError
 from maskloom.plans.rulebook import rulebook_from
 from maskloom.plans.strategies import MaskError
 from maskloom.session import scratch_dir
 from maskloom.sources import tables
 from maskloom.sources.bundle import BundleError, read_bundle, read_manifest, row_counts, schema_hash, write_bundle
+from maskloom.sources.snapshot import snapshot
 from maskloom.streaming.stream import mask_available, mask_stream
 from maskloom.workload.rules import shop_rulebook
 
@@ -119,3 +122,35 @@ def test_cross_row_rules_are_refused_on_streams(spark, shop_folder):
         mask_stream(stream, "customer", shop_rulebook())
     empty = rulebook_from({"00_strategies": {"strategies": {"keep": None}}})
     assert mask_stream(stream, "customer", empty).isStreaming
+
+
+def test_streams_rotate_secrets(spark, tmp_path):
+    spark.createDataFrame([(1, "live-secret"), (2, "live-secret")], "id int, tok string").write.parquet(f"{tmp_path}/t")
+    book = rulebook_from({"00_strategies": {"strategies": {"rotate_secret": None}}, "1": {"t": {"fields": {"tok": {"strategy": "rotate_secret", "rotate": "token"}}}}})
+    mask_available(spark, f"{tmp_path}/t", f"{tmp_path}/out", f"{tmp_path}/progress", "t", book).awaitTermination()
+    tokens = {r.tok for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert len(tokens) == 2 and "live-secret" not in tokens
+
+
+def test_the_course_always_checks_known_secrets(spark, tmp_path):
+    rules = {"00_strategies": {"strategies": {"drop": None}}, "1": {"payment_token": {"fields": {"other": "drop"}}}}
+    data = {"payment_token": spark.createDataFrame([(1, "tok_live", "x")], "id int, provider_ref string, other string")}
+    with pytest.raises(VerificationError, match="payment_token_provider_ref_null"):
+        snapshot(spark, data, rulebook_from(rules), f"{tmp_path}/out", [])
+    secrets = {"00_strategies": {"strategies": {"drop": None}}, "1": {"key_value_policies": [{"table": "kv", "drop_regex": "api"}]}}
+    leaky = {"kv": spark.createDataFrame([("api", "sk-123"), ("note", "see sk-123")], "key string, value string")}
+    with pytest.raises(LeakError, match="sk-123"):
+        snapshot(spark, leaky, rulebook_from(secrets), f"{tmp_path}/out", [])
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="share"):
+        scratch_dir(Cluster, "x")

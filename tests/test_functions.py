@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import decimal
 import hashlib
 import re
 
@@ -204,3 +205,15 @@ def test_versions_and_extensions(spark):
 def test_base_type_strips_modifiers(spark):
     rows = apply(spark, ["VARCHAR(20)", "numeric(15,8)", "Text", "character varying(255)"], t=text.base_type(F.col("v")))
     assert [rows[v]["t"] for v in rows] == ["varchar", "numeric", "text", "character varying"]
+
+
+def test_band_stays_inside_the_type(spark):
+    frame = spark.sql("select id, 120Y as b, -120Y as c, cast(99.99 as decimal(4,2)) as d, 9223372036854775807L as l, cast(null as tinyint) as n from range(60)")
+    kinds = {c: frame.schema[c].dataType for c in "bcdln"}
+    out = frame.select(*[generalize.numeric_band(F.col(c), F.col("id").cast("string"), c, kind, salt="s").alias(c) for c, kind in kinds.items()]).collect()
+    assert {r.n for r in out} == {None} and max(r.b for r in out) == 127 and min(r.c for r in out) == -128
+    assert max(r.d for r in out) == decimal.Decimal("99.99") and max(r.l for r in out) == 2**63 - 1 and len({r.b for r in out}) > 5
+
+
+def test_tax_numbers_never_come_out_as_themselves_in_another_case(spark):
+    assert spark.range(1).select(accounts.fake_vat(F.lit("xy"))).first()[0].lower() != "xy"

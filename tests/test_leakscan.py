@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import Counter
 
@@ -123,8 +124,35 @@ def test_cells_of_all_types(spark):
     )
     got = {row["column"]: row["value"] for row in cells({"t": frame}).collect()}
     assert got == {
-        "i": "1", "s": "txt", "b": "BEEF", "a": '["in",null]', "m": '{"k":"v"}', "st": '{"x":"deep"}', "d": "2020-01-02", "f": "true",
-    }
+        "i": "1", "s": "txt", "b": "sha256:" + hashlib.sha256(b"\xbe\xef").hexdigest(), "a": "in", "m.{key}": "k", "m.{}": "v", "st.x": "deep",
+        "d": "2020-01-02", "f": "true",
+    }
+
+
+def test_nested_leaves_are_scanned_as_they_are(spark):
+    text = 'say "Ann Lee"\nand go'
+    frame = spark.createDataFrame([((text, 1), [([text], {text: "x"})], None)], "p struct<name: string, n: int>, l array<struct<w: array<string>, m: map<string, string>>>, none array<string>")
+    needles = spark.createDataFrame([('"Ann Lee"\nand',), ("Ann\\",)], "v string")
+    assert {(r["column"], r["cells"]) for r in leak_scan({"t": frame}, needles).collect()} == {("p.name", 1), ("l.w", 1), ("l.m.{key}", 1)}
+    values = original_values({"t": frame}, [("t", "p.name"), ("t", "l.[].w"), ("t", "l.[].m")])
+    assert {tuple(r) for r in values.collect()} == {(text, "t", "p.name"), (text, "t", "l.[].w"), (text, "t", "l.[].m"), ("x", "t", "l.[].m")}
+
+
+def test_only_the_canary_itself_proves_the_scan(spark, monkeypatch):
+    data = {"t": spark.createDataFrame([("x",)], "v string")}
+    monkeypatch.setattr(leakscan, "CANARY", "maskloom-canary")
+    probe = spark.createDataFrame([("__canary__", "probe", "a canary of another kind")], "table string, column string, value string")
+    monkeypatch.setattr(leakscan, "with_canary", lambda spark, text_cells: text_cells.unionByName(probe))
+    with pytest.raises(LeakError, match="its canary"):
+        leak_scan(data, spark.createDataFrame([("canary",)], "v string"))
+
+
+def test_all_leaks_are_returned_and_counted(spark):
+    data = {"t": spark.createDataFrame([(f"value{n:04}",) for n in range(250)], "v string")}
+    hits = leak_scan(data, data["t"])
+    assert hits.count() == 250
+    with pytest.raises(LeakError, match="250 surviving values"):
+        leakscan.assert_no_leak(hits)
 
 
 def test_original_values_are_distinct_and_tagged(spark):
@@ -138,8 +166,8 @@ def test_original_values_are_distinct_and_tagged(spark):
 def test_gate_finds_leaks_and_checks_itself(spark, monkeypatch):
     data = {"leak": spark.createDataFrame([(1, "an UNMASKED value")], "id int, secret string")}
     needles = spark.createDataFrame([("UNMASKED",), ("unmasked",), ("ABSENT",)], "v string")
-    assert leak_scan(data, needles) == [("UNMASKED", "leak", "secret", 1)]
-    assert leak_scan(data, needles.where(F.col("v") == "ABSENT")) == []
+    assert leak_scan(data, needles).collect() == [("UNMASKED", "leak", "secret", 1)]
+    assert leak_scan(data, needles.where(F.col("v") == "ABSENT")).count() == 0
     monkeypatch.setattr(leakscan, "with_canary", lambda spark, text_cells: text_cells)
     with pytest.raises(LeakError, match="canary"):
         leak_scan(data, needles)
