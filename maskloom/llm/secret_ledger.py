@@ -85,7 +85,8 @@ def scan(spark: SparkSession, docs: DataFrame, ledger: str, rules: Sequence[Secr
     unseen = blobs.join(done, "blob", "left").select("id", "blob", missing.alias("missing")).where("size(missing) > 0")
     same = rows["id"].eqNullSafe(F.col("u.id")) & (rows["blob"] == F.col("u.blob"))
     texts = rows.join(unseen.alias("u"), same).select(rows["blob"], rows["text"], "u.missing")
-    _scanned(texts, rules).write.mode("append").parquet(ledger)
+    # A row given twice is read twice, and its blob is still written once.
+    _scanned(texts, rules).dropDuplicates(["blob"]).write.mode("append").parquet(ledger)
     spans = _ledger(spark, ledger).select("blob", F.explode("spans").alias("s")).where(F.col("s.version").isin(versions))
     # Kinds are numbered as listed here and now, whatever the list was when the blob was read.
     number = F.create_map(*(F.lit(x) for v, r in enumerate(versions) for x in (r, v)))
@@ -107,11 +108,15 @@ def report(found: DataFrame, rules: Sequence[SecretRule] = RULES, id_col: str =
     kinds = F.array(*(F.lit(r.kind) for r in rules))
     said = F.transform("found", lambda s: F.concat_ws(":", kinds[s["kind"]], s["start"].cast("string"), s["end"].cast("string")))
     base = F.filter("found", lambda s: s["kind"] < len(BASE))
-    counts = [F.size(F.filter("found", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{r.kind}") for k, r in enumerate(BASE)]
+    counts = [F.size(F.filter("found", _is_kind(k))).cast("bigint").alias(f"n_{r.kind}") for k, r in enumerate(BASE)]
     base_said = F.transform(base, lambda s: F.concat_ws(":", kinds[s["kind"]], s["start"].cast("string"), s["end"].cast("string")))
     return found.select(id_col, *counts, F.sha2(F.array_join(base_said, ","), 256).alias("base_sha256"), F.array_join(said, ",").alias("spans"))
 
 
+def _is_kind(number: int):
+    return lambda span: span["kind"] == number
+
+
 def redacted(text: F.Column, found: F.Column, mark: str = "[secret]") -> F.Column:
     """The text with every span replaced; overlapping spans become one mark."""
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
