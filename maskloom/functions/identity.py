@@ -95,3 +95,14 @@ def fake_city(value: Column, salt: str = "", cities: Sequence[str] = words.CITIE
 def fake_zip(value: Column, salt: str = "") -> Column:
     number = hex_number(digest(value, "zip:", salt), 1, 8) % F.lit(100000)
     return F.lpad(number.cast("string"), 5, "0")
+
+
+def told_apart(fake: Column, value: Column, salt: str = "") -> Column:
+    """A fake with 16 digits of its original's digest, so that different originals stay different.
+
+    An address gets them before its ``@``; anything else gets them at the end.
+    """
+    suffix = F.substring(digest(value, "unique:", salt), 1, 16)
+    return F.when(fake.contains("@"), F.concat(F.substring_index(fake, "@", 1), F.lit("."), suffix, F.lit("@"), F.substring_index(fake, "@", -1))).otherwise(
+        F.concat(fake, F.lit(" "), suffix)
+    )

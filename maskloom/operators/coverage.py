@@ -110,15 +110,19 @@ def uncovered(columns: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def summary(report: DataFrame) -> DataFrame:
+    return report.agg(*counters())
+
+
+def counters() -> list[Column]:
     def number(*outcomes: str) -> Column:
         return F.count_if(F.col("outcome").isin(*outcomes))
 
-    return report.agg(
+    return [
         F.count(F.lit(1)).alias("considered"),
         number(EXPLICIT).alias("covered"),
         number(PATTERN).alias("by_pattern"),
         number(UNDECLARED, UNCOVERED).alias("flagged"),
-    )
+    ]
 
 
 def undeclared_models(report: DataFrame) -> DataFrame:

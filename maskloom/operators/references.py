@@ -102,11 +102,11 @@ def _ids(count: int, kind: str) -> Column:
 
 
 def _value_counts(table: str, frame: DataFrame, names: Sequence[str], number: Mapping[tuple[str, str], int]) -> DataFrame:
-    """``id, value, n`` for the columns of one table, read once."""
+    """``id, value, n`` for the columns of one table, read once; a text stands as its digest."""
     text = isinstance(frame.schema[names[0]].dataType, T.StringType)
     entries = F.array(
         *[
-            F.struct(F.lit(number[(table, c)]).alias("id"), F.col(f"`{c}`").cast("string" if text else "bigint").alias("value"))
+            F.struct(F.lit(number[(table, c)]).alias("id"), (F.md5(F.col(f"`{c}`")) if text else F.col(f"`{c}`").cast("bigint")).alias("value"))
             for c in names
         ]
     )

@@ -61,7 +61,13 @@ def _null(target: Target) -> Column:
 
 
 def _from_seed(fake: Callable[..., Column]) -> Callable[[Target], Column]:
-    return lambda target: fake(target.seed_text, salt=target.salt)
+    """``unique: true`` in a rule keeps different values apart, for columns used as keys."""
+
+    def apply(target: Target) -> Column:
+        plain = fake(target.seed_text, salt=target.salt)
+        return identity.told_apart(plain, target.seed_text, target.salt) if target.params.get("unique") else plain
+
+    return apply
 
 
 def _format_preserving(fake: Callable[..., Column]) -> Callable[[Target], Column]:

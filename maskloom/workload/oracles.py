@@ -148,7 +148,7 @@ EVENT_PROPS = (
 
 
 def _fingerprint(name: str, source: str, *columns: str) -> str:
-    joined = " || '|' || ".join(f"coalesce({c}, '-')" for c in columns)
+    joined = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
     seed = number(md5(joined), 1, 15)
     return (
         f"SELECT '{name}' AS \"table\", count(*) AS rows, CAST(sum({seed} % 1000003) AS BIGINT) AS fingerprint FROM {source}"
@@ -166,6 +166,14 @@ ORACLES["mask_dataset"] = f"WITH {RULED_SEGMENTS} " + " UNION ALL ".join(
         _fingerprint("documents", "documents", redact("text")),
         _fingerprint("conversations", "conversations", redact("text")),
         _fingerprint("events", "events", EVENT_PROPS),
+        _fingerprint(
+            "lineitem", "lineitem", "l_returnflag", "year(l_shipdate)",
+            f"CAST(floor({noisy('l_extendedprice', 'l_extendedprice', 'l_orderkey', 'l_linenumber', salt=SALT)}) AS BIGINT)",
+        ),
+        _fingerprint("pages", "pages", "url", "NULL"),
+        _fingerprint("benchmark", "benchmark", redact("text")),
+        _fingerprint("labels", "labels", "doc_id", "quality", "toxic"),
+        _fingerprint("embeddings", "embeddings", "vec_id", "label"),
     ]
 )
 ALL_COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in TABLES)
@@ -481,14 +489,25 @@ ORACLES["resolve_references"] = " UNION ALL ".join(
         ("customer", "c_nationkey", "nation.n_nationkey", "other"),
     )
 )
-KEYS = [(t, c) for t, c, _, _ in COLUMNS if c.endswith("key") and t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")]
+# columns that hold neither whole numbers nor text
+FRACTIONS = (
+    "c_acctbal s_acctbal p_retailprice o_totalprice o_orderdate l_quantity l_extendedprice l_discount l_tax l_shipdate ts value embedding"
+).split()
+
+
+def inclusions(family: list[tuple[str, str]]) -> str:
+    """Pairs of columns by counting shared values."""
+    values = " UNION ALL ".join(f"SELECT '{t}' AS t, '{c}' AS c, CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY 3" for t, c in family)
+    return (
+        f"(WITH v AS MATERIALIZED ({values}), s AS (SELECT t, c, count(*) AS d, max(n) AS most FROM v GROUP BY t, c) "
+        "SELECT a.t AS child_table, a.c AS child_column, b.t AS parent_table, b.c AS parent_column, s.d AS child_values "
+        "FROM v a JOIN v b ON a.v = b.v AND (a.t, a.c) <> (b.t, b.c) JOIN s ON s.t = a.t AND s.c = a.c JOIN s p ON p.t = b.t AND p.c = b.c "
+        "WHERE p.most = 1 GROUP BY 1, 2, 3, 4, 5 HAVING count(*) = s.d)"
+    )
+
+
 ORACLES["infer_references"] = " UNION ALL ".join(
-    f"SELECT '{ct}' AS child_table, '{cc}' AS child_column, '{pt}' AS parent_table, '{pc}' AS parent_column, (SELECT count(DISTINCT {cc}) FROM {ct}) AS child_values "
-    f"WHERE NOT EXISTS (SELECT 1 FROM {ct} WHERE {cc} IS NOT NULL AND {cc} NOT IN (SELECT {pc} FROM {pt} WHERE {pc} IS NOT NULL)) "
-    f"AND (SELECT count({pc}) = count(DISTINCT {pc}) FROM {pt})"
-    for ct, cc in KEYS
-    for pt, pc in KEYS
-    if (ct, cc) != (pt, pc)
+    inclusions([(t, c) for t, c, is_text, _ in COLUMNS if is_text == text and c not in FRACTIONS]) for text in (False, True)
 )
 
 # --- verification -----------------------------------------------------------------------------
@@ -514,7 +533,7 @@ ORACLES["join_consistency"] = (
 )
 ORACLES["mapping_conflicts"] = (
     f"WITH pairs AS (SELECT {ORDER_NAME} AS original, {person(ORDER_NAME)} AS masked FROM orders UNION ALL "
-    f"SELECT c_name, {person('c_name', 'x')} FROM customer WHERE c_mktsegment = 'BUILDING') "
+    f"SELECT c_name, {person('c_name', 'x')} FROM customer) "
     "SELECT original, count(DISTINCT masked) AS fakes, count(*) AS rows FROM pairs GROUP BY 1 HAVING count(DISTINCT masked) > 1"
 )
 ORACLES["fake_collisions"] = (
@@ -537,7 +556,7 @@ MODULES = (
     "WITH mods AS (SELECT concat('mod_', CAST(p_partkey AS VARCHAR)) AS name, CASE WHEN p_partkey % 10 = 3 THEN concat('saas~', "
     f"{VERSION}) WHEN p_partkey % 10 <> 4 THEN {VERSION} END AS latest_version, p_size > 5 AS installed FROM part), "
     "found AS (SELECT l_linenumber AS path_ordinal, concat('/code/', CAST(l_suppkey AS VARCHAR)) AS path, concat('mod_', CAST(l_partkey AS VARCHAR)) AS name, "
-    "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS version FROM lineitem WHERE l_quantity >= 48), "
+    "CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS version FROM lineitem), "
     "firsts AS (SELECT name, path, version FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY path_ordinal, path, version) AS rn FROM found) WHERE rn = 1) "
 )
 SERIES = (
@@ -554,7 +573,7 @@ ORACLES["module_reconcile"] = MODULES + (
     "FROM mods m LEFT JOIN firsts f ON f.name = m.name WHERE installed"
 )
 ORACLES["module_missing"] = MODULES + "SELECT name FROM mods WHERE installed AND name NOT IN (SELECT name FROM found)"
-ORACLES["module_undeclared"] = MODULES + "SELECT name FROM mods WHERE name NOT IN (SELECT name FROM found WHERE CAST(version AS INTEGER) > 25)"
+ORACLES["module_undeclared"] = MODULES + "SELECT name FROM mods WHERE name NOT IN (SELECT name FROM found)"
 ORACLES["search_path"] = (
     "SELECT concat('/code/', CAST(l_suppkey AS VARCHAR)) AS path, min(l_orderkey * 10 + l_linenumber) AS ordinal FROM lineitem GROUP BY 1"
 )
@@ -562,14 +581,50 @@ ORACLES["search_path"] = (
 # --- bundles ----------------------------------------------------------------------------------
 
 ORACLES["manifest_counts"] = ALL_COUNTS
-HASHED = ("region", "nation", "customer", "supplier", "part", "labels", "benchmark", "documents")
 ORACLES["manifest_schema"] = (
-    "WITH cols AS (SELECT table_name AS t, string_agg(column_name || ':' || CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' "
+    "WITH cols AS (SELECT table_name AS t, string_agg(column_name || ':' || CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
     "ELSE lower(data_type) END, ',' ORDER BY ordinal_position) AS line FROM information_schema.columns GROUP BY 1) "
     f"SELECT \"table\", sha256(line) AS schema_hash, rows FROM cols JOIN ({ALL_COUNTS}) ON t = \"table\" "
-    f"WHERE t IN ({', '.join(quoted(t) for t in HASHED)})"
+    f"WHERE t IN ({', '.join(quoted(t) for t in TABLES)})"
 )
 ORACLES["bundle_publish"] = " UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", count(*) AS rows, count(DISTINCT {k}) AS keys FROM {t}"
     for t, k in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("orders", "o_orderkey"), ("events", "event_id"))
 )
+
+# --- rules on nested values, several files, several shuffles ------------------------------------
+
+ORACLES["mask_nested_rotation"] = "SELECT page_id, 'rotated' AS token, CAST(length(html) AS INTEGER) AS size FROM pages"
+ORACLES["mask_subtree_rule"] = f"SELECT conv_id, turn, {redact('text')} AS body, turn AS at, {redact('role')} AS who, CAST(NULL AS VARCHAR) AS full_text FROM conversations"
+ORACLES["stream_rotation"] = "SELECT page_id, 'rotated' AS url, CAST(NULL AS VARCHAR) AS html FROM pages"
+ORACLES["policies_of_two_files"] = (
+    "SELECT 'events' AS \"table\", event_type AS key, count(*) AS rows, count(props) FILTER (event_type NOT LIKE '%purchase%') AS \"left\" FROM events GROUP BY 2 "
+    "UNION ALL SELECT 'chat', role, count(*), count(text) FILTER (role <> 'user') FROM conversations GROUP BY 2"
+)
+THREE = ("o_orderstatus", "o_totalprice", "o_orderpriority")
+ORACLES["mask_three_shuffles"] = (
+    "WITH "
+    + ", ".join(shuffled("orders", ["o_orderkey"], c, salt=f"s3-{c}:").replace("ranked", f"ranked{i}").replace("moved", f"moved{i}") for i, c in enumerate(THREE))
+    + " SELECT CAST(NULL AS BIGINT) AS o_orderkey, o.o_custkey, "
+    + ", ".join(f"m{i}.v AS {c}" for i, c in enumerate(THREE))
+    + " FROM orders o "
+    + " ".join(f"JOIN moved{i} m{i} ON m{i}.o_orderkey = o.o_orderkey" for i in range(3))
+)
+ORACLES["band_edge_types"] = (
+    f"SELECT o_orderkey, CAST(least(127, round({noisy('120', 'tiny', 'o_orderkey', salt='edge-')})) AS INTEGER) AS tiny, true AS price_near, "
+    f"CAST(greatest(-32768, round({noisy('-32000', 'small', 'o_orderkey', salt='edge-')})) AS INTEGER) AS small FROM orders"
+)
+ORACLES["leak_scan_nested"] = (
+    "SELECT b.text AS needle, 'documents' AS \"table\", c AS \"column\", count(*) AS cells FROM (SELECT DISTINCT text FROM benchmark) b "
+    "JOIN documents d ON contains(d.text, b.text), (SELECT unnest(['m.parts.body', 'm.by_text.{key}']) AS c) GROUP BY 1, 3"
+)
+ORACLES["join_consistency_unique"] = (
+    f"SELECT s AS stage, count(*) AS matches FROM orders JOIN customer ON c_name = {ORDER_NAME}, (SELECT unnest(['before', 'after']) AS s) GROUP BY 1"
+)
+ORACLES["null_binary_column"] = "SELECT doc_id, true AS gone, lang FROM documents"
+ORACLES["base_types"] = "SELECT p_partkey, lower(p_brand) AS base FROM part"
+ORACLES["schema_snapshot"] = f"SELECT c.\"table\", c.\"column\", ordinal, cells FROM ({INFO}) c JOIN ({CELLS}) n ON n.\"table\" = c.\"table\" AND n.\"column\" = c.\"column\""
+ORACLES["manifest_rows"] = f"SELECT * FROM ({ALL_COUNTS}) WHERE \"table\" IN ('customer', 'documents', 'labels')"
+ORACLES["coverage_gate"] = REPORT + (
+    "SELECT count(*) AS columns, CAST(sum(cells) AS BIGINT) AS cells, count(*) = 0 AS passed FROM report WHERE outcome IN ('undeclared_model', 'uncovered')"
+)
