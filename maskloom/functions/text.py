@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -74,27 +75,62 @@ def rewrite_json(text: Column, schema: T.DataType, rewrite: Callable[[Column], C
     return F.to_json(rewrite_strings(F.from_json(text, schema), schema, rewrite))
 
 
-@F.pandas_udf(T.StringType())
-def replace_in_json(texts: pd.Series, pairs: pd.Series) -> pd.Series:
-    """Pairwise replacement in the string values of JSON of any shape; keys stay as they are."""
+class PairReplacer:
+    """The replacements of a list of pairs, one pair after the other, without trying those that cannot apply.
 
-    def rewritten(node, swaps):
-        if isinstance(node, str):
-            for swap in swaps:
-                node = node.replace(swap["old"], swap["new"])
-            return node
-        if isinstance(node, dict):
-            return {key: rewritten(item, swaps) for key, item in node.items()}
-        if isinstance(node, list):
-            return [rewritten(item, swaps) for item in node]
-        return node
+    An automaton tells which pairs a text holds; the first of them in list order is applied, and the changed text
+    is looked at again for the pairs after it. That is the outcome of trying every pair in turn.
+    """
 
-    def one(text, swaps):
-        if text is None or swaps is None:
-            return text
-        return json.dumps(rewritten(json.loads(text), swaps), ensure_ascii=False)
+    def __init__(self, pairs: list[tuple[str, str]]):
+        import ahocorasick
 
-    return pd.Series([one(text, swaps) for text, swaps in zip(texts, pairs)], dtype=object)
+        self.pairs = pairs
+        self.automaton = ahocorasick.Automaton()
+        for number, (old, _) in reversed(list(enumerate(pairs))):
+            self.automaton.add_word(old, number)  # of equal names the first counts
+        if pairs:
+            self.automaton.make_automaton()
+
+    def text(self, text: str) -> str:
+        done = -1
+        while self.pairs:
+            number = min((n for _, n in self.automaton.iter(text) if n > done), default=None)
+            if number is None:
+                break
+            text, done = text.replace(*self.pairs[number]), number
+        return text
+
+    def json(self, text: str) -> str:
+        """String values of JSON of any shape; keys stay as they are."""
+
+        def rewritten(node):
+            if isinstance(node, str):
+                return self.text(node)
+            if isinstance(node, dict):
+                return {key: rewritten(item) for key, item in node.items()}
+            return [rewritten(item) for item in node] if isinstance(node, list) else node
+
+        return json.dumps(rewritten(json.loads(text)), ensure_ascii=False)
+
+
+_replacers: dict[int, PairReplacer] = {}
+
+
+def pair_replacer(shared, json_text: bool = False):
+    """A column function that replaces the pairs of a broadcast list in texts, or in the values of JSON texts."""
+    token = uuid.uuid4().int
+
+    @F.pandas_udf(T.StringType())
+    def replaced(texts: pd.Series) -> pd.Series:
+        if token not in _replacers:
+            while len(_replacers) >= 4:
+                _replacers.pop(next(iter(_replacers)))
+            _replacers[token] = PairReplacer(shared.value)
+        one = _replacers[token].json if json_text else _replacers[token].text
+        return pd.Series([None if text is None else one(text) for text in texts], dtype=object)
+
+    return replaced
 
 
 def rewrite_path(

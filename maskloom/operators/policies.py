@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maskloom.functions.secrets import FRESH
-from maskloom.functions.text import extension, replace_each, replace_in_json, rewrite_path, rewrite_strings
+from maskloom.functions.text import extension, pair_replacer, replace_each, rewrite_path, rewrite_strings
 from maskloom.plans.strategies import MaskError
 from maskloom.session import scratch_dir, ship_package
 
@@ -222,8 +222,8 @@ def neutralize(dataset: Mapping[str, DataFrame], updates: Sequence[Update] | Non
 
 # --- scoped replacement -----------------------------------------------------------------------
 
-# Pairs held by one row of the plan; more pairs are applied in ordered chunks of about this size.
-MAX_PAIRS = 10_000
+# Pairs that one pass holds in each Python worker, at some 200 bytes each; longer lists take several passes.
+MAX_PAIRS = 200_000
 
 
 def name_pairs(before: DataFrame, after: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -247,26 +247,29 @@ def scoped_replace(
 ) -> DataFrame:
     """Replace names in one column of the listed rows only; all other rows stay verbatim.
 
-    Strings, nested values and JSON text are supported. The pair list reaches the executors as a
-    scalar subquery while it is small. A longer list is written once in longest-first ranges, and
-    the ranges are applied one after the other, which is the same sequence of replacements.
+    Strings, nested values and JSON text are supported. The counted pair list reaches each worker once and
+    becomes one automaton, so the work on a text does not grow with the pairs it does not hold. A list
+    beyond ``max_pairs`` is written once in longest-first ranges, and the ranges are applied one after
+    the other, which is the same sequence of replacements.
     """
     if pairs.limit(max_pairs + 1).count() <= max_pairs:
-        return _replace_once(frame, column, where, pair_array(pairs), json_text)
+        return _replace_once(frame, column, where, pairs, json_text)
     return _replace_in_ranges(frame, column, where, pairs, json_text, max_pairs)
 
 
-def _replace_once(frame: DataFrame, column: str, where: Column, one_row: DataFrame, json_text: bool) -> DataFrame:
+def _replace_once(frame: DataFrame, column: str, where: Column, pairs: DataFrame, json_text: bool) -> DataFrame:
     dtype = frame.schema[column].dataType
     names = frame.columns
-    # a subquery may not stand inside a lambda, so it becomes a column first
-    frame = frame.select("*", one_row.scalar().alias("__pairs"))
-    ordered = F.col("__pairs")
-    if json_text:
+    if isinstance(dtype, T.StringType):
         ship_package(frame.sparkSession)
-        rewritten = replace_in_json(F.when(where, F.col(column)), ordered)
+        ordered = pairs.orderBy(-F.length("old"), "old", "new").select("old", "new").collect()
+        shared = frame.sparkSession.sparkContext.broadcast([tuple(row) for row in ordered])
+        # rows that are not listed reach the function as nulls
+        rewritten = pair_replacer(shared, json_text)(F.when(where, F.col(column)))
     else:
-        rewritten = rewrite_strings(F.col(column), dtype, lambda text: replace_each(text, ordered))
+        # a subquery may not stand inside a lambda, so it becomes a column first
+        frame = frame.select("*", pair_array(pairs).scalar().alias("__pairs"))
+        rewritten = rewrite_strings(F.col(column), dtype, lambda text: replace_each(text, F.col("__pairs")))
     value = F.when(where, rewritten).otherwise(F.col(column))
     return frame.select(*[value.alias(c) if c == column else F.col(f"`{c}`") for c in names])
 
@@ -288,5 +291,5 @@ def _replace_in_ranges(
     stored = spark.read.parquet(path)
     for number in range(ranges):
         chunk = stored.where(F.col("range") == number).select("old", "new")
-        frame = _replace_once(frame, column, where, pair_array(chunk), json_text)
+        frame = _replace_once(frame, column, where, chunk, json_text)
     return frame

@@ -92,3 +92,27 @@ def test_json_of_any_shape_stays_json_and_keeps_its_keys(spark):
 def test_no_pairs_change_nothing(spark):
     frame = spark.createDataFrame([(1, "Acme")], "id int, t string")
     assert scoped_replace(frame, "t", F.lit(True), names(spark).where("old = 'none'")).first() == (1, "Acme")
+
+
+def test_pairs_are_replaced_one_after_the_other(spark):
+    import random
+
+    from maskloom.functions.text import PairReplacer
+
+    draw = random.Random(5)
+    word = lambda low, high: "".join(draw.choice("ab ") for _ in range(draw.randint(low, high)))
+    for _ in range(300):
+        pairs = sorted({word(1, 4): word(0, 4) for _ in range(8)}.items(), key=lambda p: (-len(p[0]), p[0]))
+        text = expected = word(0, 25)
+        for old, new in pairs:
+            expected = expected.replace(old, new)
+        assert PairReplacer(pairs).text(text) == expected
+    assert PairReplacer([]).text("x") == "x" and PairReplacer([("a", "b")]).json('{"a": ["a", {"x": "ca"}, 1, null]}') == '{"a": ["b", {"x": "cb"}, 1, null]}'
+
+
+def test_a_long_pair_list_is_one_job_over_the_rows(spark):
+    names = spark.range(100_000).select(F.concat(F.lit("Name "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("old"), F.concat(F.lit("N"), F.col("id").cast("string")).alias("new"))
+    frame = spark.range(2_000).select("id", F.concat(F.lit("seen Name "), F.lpad(F.col("id").cast("string"), 6, "0"), F.lit(" here")).alias("text"))
+    out = scoped_replace(frame, "text", F.col("id") % 2 == 0, names)
+    got = {r.id: r.text for r in out.collect()}
+    assert got[40] == "seen N40 here" and got[41] == "seen Name 000041 here" and len(got) == 2_000
