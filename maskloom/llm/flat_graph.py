@@ -28,7 +28,7 @@ class Settings:
     indexed); ``overlap``: clusters a vector is put into; ``degree`` and ``beam`` of the graph; ``slack``: how far below
     the threshold a search still widens."""
 
-    shard: int = 1_500
+    shard: int = 500
     sample: int = 65_536
     overlap: int = 2
     degree: int = 16
