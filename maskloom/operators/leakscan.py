@@ -22,11 +22,6 @@ from pyspark.sql import types as T
 from maskloom.plans.schema import node_type
 from maskloom.session import ensure_checkpoint_dir, ship_package
 
-try:
-    import ahocorasick
-except ImportError:  # the join form needs no automaton
-    ahocorasick = None
-
 HITS_DDL = "needle string, table string, column string, cells bigint"
 
 # Budget of the automaton: every Python worker builds its own, at some 50 bytes per character.
@@ -177,12 +172,14 @@ def find_values(
     min_length: int = 1,
     max_needles: int = MAX_AUTOMATON_NEEDLES,
     max_chars: int = MAX_AUTOMATON_CHARS,
+    automaton: bool = True,
 ) -> DataFrame:
     """``needle, table, column, cells``: the needles that occur, and in how many cells of a column.
 
     ``needles`` holds the values in its first column; empty ones are ignored. Needles shorter than
     ``min_length`` must equal a whole cell, so generic short values do not flood the report.
-    The needles are stored and counted first, which chooses the form.
+    The needles are stored and counted first, which chooses the form; ``automaton=False`` keeps to
+    joins, for clusters whose Python workers lack the automaton's library.
     """
     spark = text_cells.sparkSession
     wanted = needles.select(F.col(needles.columns[0]).cast("string").alias("needle")).where(F.length("needle") > 0).distinct()
@@ -195,18 +192,18 @@ def find_values(
         wanted = wanted.where(F.length("needle") >= min_length)
 
     sizes = {row["class"]: row for row in wanted.groupBy(_class_number().alias("class")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("needle")).alias("chars")).collect()}
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("needle")).alias("chars"), F.max(F.length("needle")).alias("longest")).collect()}
     small, large = [], []
     count = chars = 0
     for number in sorted(sizes, key=lambda k: sizes[k]["n"]):
         count, chars = count + sizes[number]["n"], chars + sizes[number]["chars"]
-        fits = ahocorasick is not None and count <= max_needles and chars <= max_chars
+        fits = automaton and count <= max_needles and chars <= max_chars
         (small if fits else large).append(number)
     if small:
         chosen = wanted.where(_class_number().isin(small))
         parts.append(_by_automaton(text_cells, [row["needle"] for row in chosen.collect()]))
     for number in large:
-        parts.append(_by_grams(text_cells, wanted.where(_class_number() == number), GRAM_CLASSES[number]))
+        parts.append(_by_grams(text_cells, wanted.where(_class_number() == number), GRAM_CLASSES[number], sizes[number]["longest"]))
     if not parts:
         return spark.createDataFrame([], HITS_DDL)
     return reduce(DataFrame.unionByName, parts)
@@ -243,6 +240,8 @@ class _Finder:
     LARGE_CHARS = 200_000
 
     def __init__(self, needles: list[str]):
+        import ahocorasick
+
         self.needles = needles
         self.automaton = ahocorasick.Automaton()
         starts: dict[int, set[int]] = {}
@@ -302,7 +301,8 @@ class _Finder:
 
 def _finder(run: str, needles: list[str]) -> _Finder:
     if run not in _finders:
-        _finders.clear()
+        while len(_finders) >= 2:  # two scans of one job must not push each other out
+            _finders.pop(next(iter(_finders)))
         _finders[run] = _Finder(needles)
     return _finders[run]
 
@@ -326,7 +326,7 @@ def _by_automaton(text_cells: DataFrame, needles: list[str]) -> DataFrame:
     return hits.groupBy("needle", "table", "column").agg(F.sum("cells").alias("cells"))
 
 
-def _by_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass) -> DataFrame:
+def _by_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass, longest: int) -> DataFrame:
     """Sampled-gram join for a needle set of any size.
 
     1. Texts are cut into overlapping chunks, so later cuts inside them are cheap.
@@ -347,7 +347,7 @@ def _by_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass) -> Data
     step = max(512, 4 * cls.low)
     step -= step % cls.stride
     keyed = text_cells.where(F.length("value") >= cls.low).withColumn("text_id", F.md5("value"))
-    chunks = _chunks(keyed, step, cls)
+    chunks = _chunks(keyed, step, cls, longest)
     sampled = chunks.select(
         "text_id", "chunk", F.posexplode(_every(F.col("text"), cls.size, cls.stride, step)).alias("piece", "gram_text")
     ).select(
@@ -379,7 +379,7 @@ def _by_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass) -> Data
         F.transform("places", lambda p: F.substr("around", p["start"] + (cls.stride + 1), p["length"]))
     )
     candidates = (
-        _chunks(matched, step, cls)
+        _chunks(matched, step, cls, longest)
         .join(near, ["text_id", "chunk"])
         .select("text_id", F.explode(cut).alias("candidate"))
         .groupBy("text_id", "candidate")
@@ -399,7 +399,7 @@ def _every(text: Column, size: int, stride: int, step: int) -> Column:
     )
 
 
-def _chunks(keyed: DataFrame, step: int, cls: GramClass) -> DataFrame:
+def _chunks(keyed: DataFrame, step: int, cls: GramClass, longest: int) -> DataFrame:
     """``text_id, chunk, text, around``.
 
     ``text`` begins at ``chunk * step`` and holds what its grams need; ``around`` begins one stride
@@ -407,7 +407,7 @@ def _chunks(keyed: DataFrame, step: int, cls: GramClass) -> DataFrame:
     """
     # a lead keeps the positions of the first chunk regular; no candidate may begin inside it
     lead = F.lit("\u0001" * cls.stride)
-    reach = f"{{1,{cls.stride + step + cls.high}}}" if cls is not GRAM_CLASSES[-1] else "+"
+    reach = f"{{1,{cls.stride + step + longest}}}"
     pieces = F.regexp_extract_all(F.concat(lead, "value"), F.lit(f"(?s)(?=(.{reach})).{{1,{step}}}"), F.lit(1))
     return keyed.select("text_id", F.posexplode(pieces).alias("chunk", "around")).withColumn(
         "text", F.substr("around", F.lit(cls.stride + 1), F.lit(step + cls.size))
