@@ -1,24 +1,27 @@
 """Cross-entropy difference: two matched n-gram models, a target's and the background's, over one vocabulary.
 
 Both are interpolated bigram models of the same form over the same hashed words. Counting is one pass of
-map-side sums and a grouping; every word of every document is counted.
+map-side sums and an exchange of packed counts; every word of every document is counted.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from maskloom.llm.hashing import mixed, word_hashes
 from maskloom.llm.quality import SPACES
 from maskloom.llm.tables import map_batches, text_blocks
 
 
+BLOCK = 4_096
+
+
 @dataclass(frozen=True)
 class Shape:
     """Slots of the vocabulary and of the pair table, as bits; words that share a slot are one vocabulary entry."""
@@ -51,65 +54,68 @@ class Counts:
         return -np.log2((seen * (context > 0) + weight * chance) / (np.maximum(context, 0) + weight))
 
 
-def count(docs: DataFrame, shape: Shape, text_col: str = "text", flag_col: str = "target") -> DataFrame:
-    """(slot, n_all, n_target): the non-zero counts of both tables, slots of words first and then of pairs.
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype("<i8").tobytes(), 1)
+
+
+def count(texts: DataFrame, shape: Shape, text_col: str = "text") -> DataFrame:
+    """(block, counts): the counts of BLOCK slots a row, packed; slots of words come first and then those of pairs.
 
-    ``flag_col`` says whether a document belongs to the target. Each task adds its documents up before anything
-    is sent; what is sent grows with the words of the corpus.
+    Each task adds its texts up before anything is sent, and what it sends grows with the different words it met.
+    The sums are made one block at a time as the parts arrive, so no group is ever held whole.
     """
     slots = (1 << shape.word_bits) + (1 << shape.pair_bits)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((2, slots), np.int32)
+        table = np.zeros(slots, np.int64)
         for batch in batches:
-            flags = np.asarray(batch.column(1).fill_null(False).to_numpy(zero_copy_only=False), bool)
-            for start, block in text_blocks(batch.column(0)):
-                word, pair, row = tokens(block, shape)
-                chosen = flags[start + row]
-                for kind, use in enumerate((slice(None), chosen)):
-                    for slot in (word[use], pair[use] + (1 << shape.word_bits)):
-                        at, times = np.unique(slot, return_counts=True)
-                        table[kind, at] += times.astype(np.int32)
-        used = np.flatnonzero(table[0])
-        for at in range(0, len(used), 100_000):
-            some = used[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(table[0, some].astype(np.int64)), pa.array(table[1, some].astype(np.int64))], ["slot", "n_all", "n_target"])
+            for _, block in text_blocks(batch.column(0)):
+                word, pair, _ = tokens(block, shape)
+                for slot in (word, pair + (1 << shape.word_bits)):
+                    at, times = np.unique(slot, return_counts=True)
+                    table[at] += times
+        rows = table.reshape(-1, BLOCK)
+        yield _blocks(np.flatnonzero(rows.any(1)), rows)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = np.frombuffer(zlib.decompress(counts.as_py()), "<i8")
+                sums[block] = sums[block] + part if block in sums else part
+        yield _blocks(np.array(sorted(sums), np.int64), sums)
 
-    parts = map_batches(docs.select(text_col, flag_col), counted, "slot int, n_all bigint, n_target bigint")
-    return parts.groupBy("slot").agg(F.sum("n_all").alias("n_all"), F.sum("n_target").alias("n_target"))
+    schema = "block int, counts binary"
+    return map_batches(map_batches(texts.select(text_col), counted, schema).repartition("block"), added, schema)
 
 
-def _model(counts: DataFrame, shape: Shape) -> tuple[Counts, Counts]:
-    """(background, target). The tables have a fixed number of slots, so what reaches the driver is bounded by ``shape``."""
-    slots, words = (1 << shape.word_bits) + (1 << shape.pair_bits), 1 << shape.word_bits
+def _blocks(numbers: np.ndarray, rows) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array([_packed(rows[n]) for n in numbers.tolist()], pa.binary())], ["block", "counts"])
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            arrays = [np.asarray(c, kind).tobytes() for c, kind in zip(batch.columns, ("<i4", "<i8", "<i8"))]
-            yield pa.RecordBatch.from_arrays([pa.array([a], pa.binary()) for a in arrays], ["slot", "n_all", "n_target"])
 
-    table = np.zeros((2, slots), np.int64)
-    for row in map_batches(counts, packed, "slot binary, n_all binary, n_target binary").collect():
-        at = np.frombuffer(row.slot, "<i4")
-        table[0, at], table[1, at] = np.frombuffer(row.n_all, "<i8"), np.frombuffer(row.n_target, "<i8")
-    return tuple(Counts(t[:words].astype(np.float32), t[words:].astype(np.float32), int(t[:words].sum())) for t in table)  # type: ignore[return-value]
+def model(texts: DataFrame, shape: Shape, text_col: str = "text") -> Counts:
+    """The model of a corpus. Its tables have a fixed number of slots, so what reaches the driver is bounded by ``shape``."""
+    words = 1 << shape.word_bits
+    table = np.zeros((words + (1 << shape.pair_bits)) // BLOCK * BLOCK, np.int64).reshape(-1, BLOCK)
+    for row in count(texts, shape, text_col).collect():
+        table[row.block] = np.frombuffer(zlib.decompress(row.counts), "<i8")
+    flat = table.ravel()
+    return Counts(flat[:words].astype(np.float32), flat[words:].astype(np.float32), int(flat[:words].sum()))
 
 
 def score(docs: DataFrame, target: DataFrame, shape: Shape = Shape(), weight: float = 8.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``n_words``, ``loss_target`` and ``loss_background`` (bits per word), ``score``.
 
-    ``target`` names the documents of the target by the same id column. ``score`` is the target's loss less the
-    background's: the lower, the more like the target. Documents without words (null or empty text) have null
+    ``target`` holds the texts of the target; all ``docs`` are the background. ``score`` is the target's loss less
+    the background's: the lower, the more like the target. Documents without words (null or empty text) have null
     losses and score; an empty target makes its model uniform. Repeated documents count and are scored as often
-    as they come; a null id is never in the target. Other columns are not read.
+    as they come, null ids stay. Other columns are not read.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    named = target.select(F.col(id_col).alias("id")).where("id is not null").distinct().withColumn("target", F.lit(True))
-    marked = rows.join(named, "id", "left").select("text", "target")
-    model = docs.sparkSession.sparkContext.broadcast(_model(count(marked, shape), shape))
+    rows = docs.select(id_col, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast((model(docs, shape, text_col), model(target, shape, text_col)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        background, wanted = model.value
+        background, wanted = shared.value
         for batch in batches:
             found = []
             for _, block in text_blocks(batch.column(1)):

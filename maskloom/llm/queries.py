@@ -36,9 +36,8 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_cross_entropy_difference(spark: SparkSession, folder: str) -> DataFrame:
-    """The target is the documents labelled as good; the background is all of them."""
-    good = table(spark, folder, "labels").where("quality = 1")
-    return lm_score.score(table(spark, folder, "documents"), good)
+    """How much like conversation each document is: the target is all turns, the background all documents."""
+    return lm_score.score(table(spark, folder, "documents"), table(spark, folder, "conversations"))
 
 
 def op5_winnowing_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,8 +54,7 @@ def op7_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
-    ids = byte_bpe.encode(table(spark, folder, "documents"), ranks)
-    both = byte_bpe.decode(ids, ranks)
+    both = byte_bpe.encode(table(spark, folder, "documents"), ranks, decoded="decoded")
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), byte_bpe.ids_digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
