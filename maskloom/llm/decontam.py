@@ -85,15 +85,16 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 def _hits(docs: DataFrame, items: DataFrame, marks: DataFrame, short: bool, id_col: str, text_col: str) -> DataFrame:
     """(id, key, n_words, n_hit, items) of every document; the last two are null where nothing is hit."""
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    cut = read.select("id", _key(F.col("id"), F.col("text")).alias("key"), words(F.col("text")).alias("dwords"))
-    prints = cut.select("id", "key", F.size("dwords").cast("bigint").alias("n_words"), "dwords", _grams("dwords").alias("g"))
+    keyed = read.withColumn("key", _key(F.col("id"), F.col("text")))
+    prints = keyed.select("id", "key", words(F.col("text")).alias("dwords")).select("id", "key", F.size("dwords").cast("bigint").alias("n_words"), "dwords", _grams("dwords").alias("g"))
     hashes = _kept("g")
     if short:
         hashes = F.concat(hashes, F.expr("transform(array_distinct(dwords), w -> xxhash64(w))"))
     prints = stored(prints.select("id", "key", "n_words", hashes.alias("hashes")), "fingerprints")
 
     found = prints.select("key", F.explode("hashes").alias("hash")).join(marks.select("hash").distinct(), "hash", "left_semi").select("key").distinct()
-    suspects = stored(cut.join(found, "key", "left_semi").select("key", "dwords").dropDuplicates(["key"]), "suspects")
+    # Texts are joined as they are and cut into words after that: words take more room.
+    suspects = stored(keyed.join(found, "key", "left_semi").dropDuplicates(["key"]).select("key", words(F.col("text")).alias("dwords")), "suspects")
     anchors = suspects.select("key", F.posexplode(_grams("dwords")).alias("dpos", "hash"))
     if short:
         single = suspects.select("key", F.posexplode("dwords").alias("dpos", "word"))
