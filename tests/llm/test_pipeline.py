@@ -44,6 +44,15 @@ def test_run_is_registered_and_ends_like_its_stages(spark, shop_folder):
     assert {"doc_id", "text", "ids", "n_tokens", "round_trip"} <= set(out.columns) and 0 < out.count() < 200
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_take_odd_rows_and_clashing_columns(spark, odd_docs, shop_folder, empty):
+    docs = odd_docs.limit(0) if empty else odd_docs
+    for _, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stored(stage(spark, docs, shop_folder), "stage")
+        assert docs.columns[: len(before.columns)] == before.columns
+    assert docs.count() == docs.where("round_trip").count()
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_equal_their_sql(spark, shop_folder, name):
     con = duckdb.connect()
