@@ -8,6 +8,7 @@ ordered aggregation puts each document's bytes together.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -20,10 +21,36 @@ from maskloom.llm.tables import blocks, fresh_name, map_batches, schema_text
 
 #: Fixed value: the pattern that splits a text into pieces before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-CACHE_LIMIT = 400_000
+CACHE_LIMIT = 500_000
 ROUNDS = 64
+SHORT = 64
+_single_space = re.compile(r"(?<=\S) (?=\S)")
+_other_space = re.compile(r"[^\S \n]").search
+
+# Pieces of up to SHORT bytes: a token's key is piece * SHORT + place, and every row knows the next token. One round
+# takes the leftmost pair of the lowest rank of each piece, and looks up the pairs that this makes.
+_CONTRACT_SHORT = f"""
+with recursive step(k, t, next_k, next_t, made, n) as (
+    select k, t, next_k, next_t, made, 0 from pieces left join merges on l = t and r = next_t
+    union all
+    select k, t, next_k, next_t, merges.made, n from (
+        with best as (
+            select k // {SHORT} as w, min((made::bigint << 32) | k) & 4294967295 as spot from step where made is not null group by all
+        ), pair as (
+            select w, a.k as spot, a.made, b.k as gone, b.next_k as beyond, b.next_t as beyond_t
+            from best join step a on a.k = spot join step b on b.k = a.next_k
+        )
+        select k, case when k = spot then pair.made else t end as t, case when k = spot then beyond else next_k end as next_k,
+            case when k = spot then beyond_t when next_k = spot then pair.made else next_t end as next_t, n + 1 as n
+        from step join pair on k // {SHORT} = w where k <> gone
+    ) moved left join merges on l = t and r = next_t
+), done as (
+    select k // {SHORT} as w, n from step group by all having count(made) = 0
+)
+select w, t from step join done on k // {SHORT} = w and step.n = done.n order by k
+"""
 
-# One round takes, in each piece, the leftmost pair of the lowest rank, and with it the further pairs of that rank
+# Longer pieces: one round takes, in each piece, the leftmost pair of the lowest rank, and with it the further pairs of that rank
 # as far as no contraction before them makes a pair of a still lower rank. That is the order of one leftmost pair at
 # a time, with fewer rounds for long pieces. In a run of equal tokens every other pair counts.
 _CONTRACT = f"""
@@ -66,7 +93,7 @@ class Codec:
 
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         pairs = [(self.ranks[t[:k]], self.ranks[t[k:]], rank) for t, rank in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
         left, right, made = (pa.array(x, pa.int32()) for x in zip(*pairs))
         self._table("merges", {"l": left, "r": right, "made": made})
@@ -83,8 +110,21 @@ class Codec:
     def contracted(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece, as little-endian 32-bit integers."""
         found: list[bytes] = [b""] * len(pieces)
-        order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
-        for start, end in blocks(np.array([min(len(pieces[i]), 4_000) * max(1, len(pieces[i]) // 32) for i in order]), 400_000):
+        short = [i for i, piece in enumerate(pieces) if len(piece) <= SHORT]
+        for start in range(0, len(short), 20_000):
+            part = short[start : start + 20_000]
+            sizes = np.array([len(pieces[i]) for i in part])
+            w = np.repeat(np.arange(len(part)), sizes)
+            k = w * SHORT + np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            t = self.single[np.frombuffer(b"".join(pieces[i] for i in part), np.uint8)]
+            last = np.append(w[1:] != w[:-1], True)
+            self._table("pieces", {"k": pa.array(k), "t": pa.array(t), "next_k": pa.array(k + 1, mask=last), "next_t": pa.array(np.append(t[1:], np.int32(0)), mask=last)})
+            got = self.db.execute(_CONTRACT_SHORT).fetchnumpy()
+            ids, bounds = np.asarray(got["t"], "<i4").tobytes(), 4 * np.searchsorted(np.asarray(got["w"]), np.arange(len(part) + 1))
+            for i, low, high in zip(part, bounds[:-1].tolist(), bounds[1:].tolist()):
+                found[i] = ids[low:high]
+        order = sorted((i for i, piece in enumerate(pieces) if len(piece) > SHORT), key=lambda i: len(pieces[i]))
+        for start, end in blocks(np.array([min(len(pieces[i]), 4_000) * max(1, len(pieces[i]) // 32) for i in order]), 200_000):
             part = order[start:end]
             sizes = np.array([len(pieces[i]) for i in part])
             w = np.repeat(np.arange(len(part), dtype=np.int32), sizes)
@@ -102,36 +142,29 @@ class Codec:
                 w, p, t = w[~over], p[~over], t[~over]  # long pieces go on from where they are
         return found
 
-    def learn(self, parts: list[str]) -> None:
+    def learn(self, parts: set[str]) -> None:
         """Encode strings between spaces that are not in the cache; every distinct piece once."""
         if len(self.cache) > CACHE_LIMIT:
             self.cache = {"": b""}
-        parts = [p for p in parts if p not in self.cache]
-        split = [self.split(p) for p in parts]
-        pieces = list({x for s in split for x in s})
+        new = list(parts.difference(self.cache))
+        split = [self.split(p) for p in new]
+        pieces = list({x for s in split for x in s}.difference(self.cache))
         ids = dict(zip(pieces, self.contracted([x.encode() for x in pieces])))
-        self.cache.update(zip(parts, (b"".join(map(ids.__getitem__, s)) for s in split)))
+        known = self.cache
+        self.cache.update((p, b"".join([ids[x] if x in ids else known[x] for x in s])) for p, s in zip(new, split))
 
     @staticmethod
     def parts(text: str) -> list[str]:
         """The text cut before every space that follows a non-space and comes before one: no piece crosses there."""
-        cut = text.split(" ")
-        if "" in cut or not text.isprintable() and any(c.isspace() and c not in " \n" for c in text):
+        if "\0" in text or _other_space(text):
             return [text]
-        if "\n" in text:
-            # A space next to a line break belongs to a run of white space: such cuts are closed again.
-            joined = [cut[0]]
-            for part in cut[1:]:
-                if part[0] == "\n" or joined[-1][-1] == "\n":
-                    joined[-1] += " " + part
-                else:
-                    joined.append(" " + part)
-            return joined
-        return [cut[0], *(" " + c for c in cut[1:])]
+        if "  " in text or " \n" in text or "\n " in text:
+            return _single_space.sub("\0 ", text).split("\0")
+        return text.replace(" ", "\0 ").split("\0")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.parts(t) for t in texts]
-        self.learn(list(set().union(*cut)) if cut else [])
+        self.learn(set().union(*cut))
         return [b"".join(map(self.cache.__getitem__, c)) for c in cut]
 
     def decode(self, owner: np.ndarray, ids: np.ndarray, count: int) -> list[bytes]:
@@ -155,41 +188,48 @@ def codec(path: str) -> Codec:
     return _loaded[path]
 
 
-def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", out: str = "ids", keep: Sequence[str] = ()) -> DataFrame:
-    """One row per document: id, the columns named in ``keep``, and ``ids``, array<int>; null text counts as empty, an empty text has no ids.
+def _encoded(batches: Iterator[pa.RecordBatch], ranks: str, out: str) -> Iterator[pa.RecordBatch]:
+    """The first column, a text, is left out, and the ids come last."""
+    for batch in batches:
+        texts = batch.column(0).fill_null("")
+        for start, end in blocks(np.asarray(pa.compute.binary_length(texts)), 2_000_000):
+            found = codec(ranks).encode(texts.slice(start, end - start).to_pylist())
+            offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])])
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
+            yield pa.RecordBatch.from_arrays([*batch.slice(start, end - start).columns[1:], ids], [*batch.schema.names[1:], out])
 
-    Special tokens are ordinary text. Repeated rows stay; other columns are not read. ``ranks`` is a rank file that
-    lies at this path on every executor.
-    """
 
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(0).fill_null("")
-            for start, end in blocks(np.asarray(pa.compute.binary_length(texts)), 8_000_000):
-                found = codec(ranks).encode(texts.slice(start, end - start).to_pylist())
-                offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])])
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
-                yield pa.RecordBatch.from_arrays([*batch.slice(start, end - start).columns[1:], ids], [*batch.schema.names[1:], out])
+def _decoded(batches: Iterator[pa.RecordBatch], ranks: str, ids_col: str, out: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column(batch.schema.get_field_index(ids_col))
+        sizes = np.asarray(pa.compute.list_value_length(ids).fill_null(0)).astype(np.int64)
+        found: list[bytes] = []
+        for start, end in blocks(sizes, 250_000):
+            values = np.asarray(ids.slice(start, end - start).flatten(), np.int32)
+            found += codec(ranks).decode(np.repeat(np.arange(end - start, dtype=np.int32), sizes[start:end]), values, end - start)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, out])
 
+
+def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", out: str = "ids", keep: Sequence[str] = (), decoded: str | None = None) -> DataFrame:
+    """One row per document: id, the columns named in ``keep``, and ``ids``, array<int>; null text counts as empty, an empty text has no ids.
+
+    ``decoded`` names a further column with the bytes that the ids decode to, made in the same task. Special tokens
+    are ordinary text. Repeated rows stay; other columns are not read. ``ranks`` is a rank file that lies at this
+    path on every executor.
+    """
     kept = docs.select(id_col, *keep)
     rows = docs.select(F.col(text_col).alias(fresh_name(kept, "encoded_text")), id_col, *keep)
-    return map_batches(rows, encoded, f"{schema_text(kept)}, `{out}` array<int>")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = _encoded(batches, ranks, out)
+        return _decoded(ids, ranks, out, decoded) if decoded else ids
+
+    return map_batches(rows, run, f"{schema_text(kept)}, `{out}` array<int>" + (f", `{decoded}` binary" if decoded else ""))
 
 
 def decode(rows: DataFrame, ranks: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns of the rows, and ``out``: the bytes of ``ids_col`` (null ids: none). An unknown id is an error."""
-
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(ids_col))
-            sizes = np.asarray(pa.compute.list_value_length(ids).fill_null(0)).astype(np.int64)
-            found: list[bytes] = []
-            for start, end in blocks(sizes, 1_000_000):
-                values = np.asarray(ids.slice(start, end - start).flatten(), np.int32)
-                found += codec(ranks).decode(np.repeat(np.arange(end - start, dtype=np.int32), sizes[start:end]), values, end - start)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, out])
-
-    return map_batches(rows, decoded, f"{schema_text(rows)}, `{out}` binary")
+    return map_batches(rows, lambda batches: _decoded(batches, ranks, ids_col, out), f"{schema_text(rows)}, `{out}` binary")
 
 
 def ids_digest(ids) -> F.Column:
