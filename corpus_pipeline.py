@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from maskloom.llm import byte_bpe, decontam, quality, secret_ledger, simhash
 from maskloom.llm.queries import TOKENIZERS
-from maskloom.llm.tables import stored, table
+from maskloom.llm.tables import fresh_name, stored, table
 from maskloom.session import scratch_dir
 
 
@@ -29,6 +29,8 @@ def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its secrets replaced by a mark; ``n_chars`` follows the text."""
     clean = secret_ledger.redact(spark, docs, scratch_dir(spark, "ledger"))
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -36,9 +38,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its token ids; ``round_trip`` says that they decode to the text."""
     ranks = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
     rest = [c for c in docs.columns if c != "doc_id"]
-    both = byte_bpe.decode(byte_bpe.encode(docs, ranks, keep=rest), ranks)
-    same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return both.select("doc_id", *rest, "ids", F.size("ids").cast("bigint").alias("n_tokens"), same.alias("round_trip"))
+    ids, decoded = fresh_name(docs, "ids"), fresh_name(docs, "decoded")
+    both = byte_bpe.encode(docs, ranks, out=ids, keep=rest, decoded=decoded, cache_limit=200_000)
+    same = F.col(decoded) == F.coalesce("text", F.lit("")).cast("binary")
+    n_tokens = F.size(ids).cast("bigint").alias(fresh_name(docs, "n_tokens"))
+    return both.select("doc_id", *rest, ids, n_tokens, same.alias(fresh_name(docs, "round_trip")))
 
 
 STAGES = [

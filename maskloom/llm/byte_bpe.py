@@ -87,7 +87,7 @@ select w, p, t, n from step qualify n = max(n) over (partition by w) order by w,
 class Codec:
     """Merge and byte tables of one rank file in a DuckDB of this process, and the pieces encoded so far."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_limit: int = CACHE_LIMIT):
         import duckdb
         import regex
 
@@ -101,6 +101,7 @@ class Codec:
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.split = regex.compile(PATTERN).findall
         self.cache: dict[str, bytes] = {"": b""}
+        self.cache_limit = cache_limit
 
     def _table(self, name: str, columns: dict) -> None:
         self.db.register("given", pa.table(columns))
@@ -144,7 +145,7 @@ class Codec:
 
     def learn(self, parts: set[str]) -> None:
         """Encode strings between spaces that are not in the cache; every distinct piece once."""
-        if len(self.cache) > CACHE_LIMIT:
+        if len(self.cache) > self.cache_limit:
             self.cache = {"": b""}
         new = list(parts.difference(self.cache))
         split = [self.split(p) for p in new]
@@ -188,11 +189,20 @@ def codec(path: str) -> Codec:
     return _loaded[path]
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], ranks: str, out: str) -> Iterator[pa.RecordBatch]:
+def _released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; then the tables and the cache go, as the worker process may be kept for other work."""
+    yield from batches
+    while _loaded:
+        _loaded.popitem()[1].db.close()
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], ranks: str, out: str, cache_limit: int) -> Iterator[pa.RecordBatch]:
     """The first column, a text, is left out, and the ids come last."""
+    if ranks not in _loaded:
+        _loaded[ranks] = Codec(ranks, cache_limit)
     for batch in batches:
         texts = batch.column(0).fill_null("")
-        for start, end in blocks(np.asarray(pa.compute.binary_length(texts)), 2_000_000):
+        for start, end in blocks(np.asarray(pa.compute.binary_length(texts)), 1_000_000):
             found = codec(ranks).encode(texts.slice(start, end - start).to_pylist())
             offsets = np.concatenate([[0], np.cumsum([len(f) // 4 for f in found])])
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i4")))
@@ -210,26 +220,26 @@ def _decoded(batches: Iterator[pa.RecordBatch], ranks: str, ids_col: str, out: s
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, out])
 
 
-def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", out: str = "ids", keep: Sequence[str] = (), decoded: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str = "text", out: str = "ids", keep: Sequence[str] = (), decoded: str | None = None, cache_limit: int = CACHE_LIMIT) -> DataFrame:
     """One row per document: id, the columns named in ``keep``, and ``ids``, array<int>; null text counts as empty, an empty text has no ids.
 
     ``decoded`` names a further column with the bytes that the ids decode to, made in the same task. Special tokens
     are ordinary text. Repeated rows stay; other columns are not read. ``ranks`` is a rank file that lies at this
-    path on every executor.
+    path on every executor. ``cache_limit`` strings between spaces are remembered in a task, at some 400 bytes each.
     """
     kept = docs.select(id_col, *keep)
     rows = docs.select(F.col(text_col).alias(fresh_name(kept, "encoded_text")), id_col, *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _encoded(batches, ranks, out)
-        return _decoded(ids, ranks, out, decoded) if decoded else ids
+        ids = _encoded(batches, ranks, out, cache_limit)
+        return _released(_decoded(ids, ranks, out, decoded) if decoded else ids)
 
     return map_batches(rows, run, f"{schema_text(kept)}, `{out}` array<int>" + (f", `{decoded}` binary" if decoded else ""))
 
 
 def decode(rows: DataFrame, ranks: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns of the rows, and ``out``: the bytes of ``ids_col`` (null ids: none). An unknown id is an error."""
-    return map_batches(rows, lambda batches: _decoded(batches, ranks, ids_col, out), f"{schema_text(rows)}, `{out}` binary")
+    return map_batches(rows, lambda batches: _released(_decoded(batches, ranks, ids_col, out)), f"{schema_text(rows)}, `{out}` binary")
 
 
 def ids_digest(ids) -> F.Column:
