@@ -2,12 +2,13 @@
 
 Different vectors of a label are dealt to overlapping cluster shards. Each shard builds a pruned neighbour graph,
 the adjacency lists of a vector are united over its shards, and a search from the medoid that widens where it finds
-links answers for every vector. Only pairs whose cosine is checked in double precision are linked.
+links answers for every vector. A vector then asks every further shard that stores one of its near neighbours, until none is
+new, so that the walk crosses shards. Only pairs whose cosine is checked in double precision are linked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +21,8 @@ from maskloom.llm.components import components
 from maskloom.llm.tables import map_batches, stored
 
 COSINE = 0.93
+#: Vectors that ask a shard at once; more are dealt over copies of the shard.
+ASKS = 20_000
 
 
 @dataclass(frozen=True)
@@ -143,8 +146,8 @@ def _with_back_edges(units: np.ndarray, owners: np.ndarray, old: np.ndarray, new
     return out
 
 
-def in_range(units: np.ndarray, graph: np.ndarray, settings: Settings, least: float, step: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Blocks of (query, node) whose cosine is ``least`` or more; every node is a query.
+def in_range(units: np.ndarray, graph: np.ndarray, settings: Settings, least: float, step: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of (query, node, cosine) down to ``slack`` below ``least``; every node is a query.
 
     A beam from the medoid finds the neighbourhood; from what lies in range or a little below, the search goes on
     along the graph's edges, in both directions, until nothing new is in range.
@@ -180,8 +183,8 @@ def in_range(units: np.ndarray, graph: np.ndarray, settings: Settings, least: fl
             front, where, found = (np.concatenate([f[i] for f in found_here]) for i in range(3))
             hits.append((front, where, found))
         line, node, cosine = (np.concatenate([h[i] for h in hits]) for i in range(3))
-        ok = (cosine >= least) & (asked[line] != node)
-        yield asked[line[ok]], node[ok]
+        ok = asked[line] != node
+        yield asked[line[ok]], node[ok], cosine[ok]
 
 
 def _units(vectors) -> np.ndarray:
@@ -225,26 +228,50 @@ def _centres(points: DataFrame, settings: Settings) -> dict:
     return centres
 
 
+def _found(asking: np.ndarray, part: pd.DataFrame, blocks: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]], least: float) -> pd.DataFrame:
+    """Rows (a, b, null) for links and (a, null, shard) for the shards that store near neighbours of ``a``."""
+    ids = part["node"].to_numpy()
+    many = np.array([len(h) for h in part["homes"]], np.int64)
+    homes = np.full((len(ids), max(1, int(many.max(initial=0)))), -1)
+    for place in range(homes.shape[1]):
+        homes[many > place, place] = [h[place] for h in part["homes"] if len(h) > place]
+    names, where = np.unique(homes, return_inverse=True)
+    where = where.reshape(homes.shape)
+    a, b, routes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for query, node, cosine in blocks:
+        a.append(asking[query[cosine >= least]])
+        b.append(ids[node[cosine >= least]])
+        routes.append(np.unique(query[:, None] * len(names) + where[node]))
+    route = np.unique(np.concatenate(routes))
+    query, shard = route // max(1, len(names)), names[route % max(1, len(names))] if len(names) else route
+    query, shard = query[shard >= 0], shard[shard >= 0]
+    a, b = np.concatenate(a), np.concatenate(b)
+    nodes = pd.concat([pd.Series(b, dtype="Int64"), pd.Series(pd.NA, index=range(len(query)), dtype="Int64")], ignore_index=True)
+    shards = pd.concat([pd.Series(pd.NA, index=range(len(a)), dtype="Int32"), pd.Series(shard, dtype="Int32")], ignore_index=True)
+    return pd.DataFrame({"a": np.concatenate([a, asking[query]]), "b": nodes, "shard": shards})
+
+
 def links(points: DataFrame, settings: Settings, least: float) -> DataFrame:
     """(a, b): both directions of every link found between different nodes (label, v, node)."""
     shared = points.sparkSession.sparkContext.broadcast(_centres(points, settings))
     label_type = points.schema["label"].dataType.simpleString()
-    shape = f"label {label_type}, dim int, shard int, node bigint, v array<double>"
+    shape = f"label {label_type}, dim int, shard int, node bigint, v array<double>, homes array<int>"
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels, vectors = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             if not vectors:
                 continue
-            rows, shards = [], []
+            rows, shards, homes = [], [], []
             for i, (label, v) in enumerate(zip(labels, vectors)):
                 at = shared.value.get((label, len(v)))
                 near = [0] if at is None else np.argsort(-(at @ _units([v])[0]))[: settings.overlap].tolist()
                 rows += [i] * len(near)
                 shards += near
+                homes += [near] * len(near)
             take = pa.array(rows, pa.int64())
             dims = pa.array([len(vectors[i]) for i in rows], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), dims, pa.array(shards, pa.int32()), batch.column(1).take(take), pa.array([vectors[i] for i in rows], pa.list_(pa.float64()))], ["label", "dim", "shard", "node", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), dims, pa.array(shards, pa.int32()), batch.column(1).take(take), pa.array([vectors[i] for i in rows], pa.list_(pa.float64())), pa.array(homes, pa.list_(pa.int32()))], ["label", "dim", "shard", "node", "v", "homes"])
 
     doubles = points.select("label", "node", F.col("v").cast("array<double>").alias("v"))
     members = stored(map_batches(doubles, dealt, shape), "shards")
@@ -269,13 +296,35 @@ def links(points: DataFrame, settings: Settings, least: float) -> DataFrame:
         held = np.bincount(owner, minlength=len(ids))
         graph = np.full((len(ids), max(1, int(held.max()))), -1)
         graph[owner, np.arange(len(owner)) - np.repeat(np.cumsum(held) - held, held)] = place
-        found = list(in_range(units, graph, settings, least))
-        a, b = (np.concatenate([np.zeros(0, np.int64), *(f[i] for f in found)]) for i in range(2))
-        return pd.DataFrame({"a": ids[a], "b": ids[b]})
+        return _found(ids, part, in_range(units, graph, settings, least), least)
+
+    def compared(some: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+        asking, left, right = some["node"].to_numpy(), _units(some["v"]), _units(part["v"])
+
+        def blocks() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            for low in range(0, len(left), 256):
+                cosines = left[low : low + 256] @ right.T
+                query, node = np.nonzero(cosines >= least - settings.slack)
+                yield low + query, node, cosines[query, node]
 
-    placed = members.join(united, "node")
-    found = placed.groupBy(key).applyInPandas(searched, "a bigint, b bigint")
-    return found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+        return _found(asking, part, blocks(), least)
+
+    out = "a bigint, b bigint, shard int"
+    found = stored(members.join(united, "node").groupBy(key).applyInPandas(searched, out), "found")
+    asked, pairs = members.select("node", "shard"), found.where("b is not null").select("a", "b")
+    while True:
+        # Each round asks the shards that the last one's neighbours are in; what has been asked is not asked again.
+        routes = found.where("b is null").select(F.col("a").alias("node"), "shard").distinct()
+        fresh = stored(routes.join(asked, ["node", "shard"], "left_anti"), "routes")
+        if fresh.isEmpty():
+            break
+        asks = fresh.join(doubles.withColumn("dim", F.size("v")), "node")
+        deals = stored(asks.groupBy(key).agg(F.ceil(F.count("*") / ASKS).alias("deals")), "deals")
+        dealt_asks = asks.join(deals, key).select(*key, "node", "v", F.expr("pmod(xxhash64(node), deals)").alias("deal"))
+        copies = members.join(deals.select(*key, F.col("deals").alias("copies")), key).select(*key, "node", "v", "homes", F.expr("explode(sequence(0L, copies - 1))").alias("deal"))
+        found = stored(dealt_asks.groupBy(*key, "deal").cogroup(copies.groupBy(*key, "deal")).applyInPandas(compared, out), "found")
+        asked, pairs = asked.unionByName(fresh), pairs.unionByName(found.where("b is not null").select("a", "b"))
+    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 
 
 def near_duplicates(rows: DataFrame, least: float = COSINE, settings: Settings = Settings(), id_col: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:

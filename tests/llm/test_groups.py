@@ -192,6 +192,17 @@ def test_recall_over_shards_and_dense_groups(spark):
     assert flat_graph.audit(frame.limit(0)).first().recall == 1.0
 
 
+def test_links_cross_shards_in_a_dense_group(spark):
+    draw = np.random.default_rng(4)
+    centre, plane = draw.normal(size=64) / 8, np.linalg.qr(draw.normal(size=(64, 6)))[0]
+    # 8,000 different near copies on a patch that is wider than the threshold, among 8,000 other vectors of their label.
+    dense = centre + draw.normal(size=(8_000, 6)) @ plane.T * 0.24 + draw.normal(size=(8_000, 64)) * 0.01
+    rows = np.concatenate([dense, draw.normal(size=(8_000, 64))])
+    frame = spark.createDataFrame([(n, v.tolist(), 0, 1, "v") for n, v in enumerate(rows)], VECTORS)
+    out = flat_graph.audit(frame, every=100).first()
+    assert out.true_links > 1_000 and out.recall >= 0.99, out
+
+
 def test_links_are_never_below_the_threshold(spark, shop_folder):
     frame = spark.read.parquet(f"{shop_folder}/embeddings.parquet")
     pts = flat_graph._nodes(frame, "vec_id", "embedding", "label").select("label", "node", "v").dropDuplicates(["node"])
