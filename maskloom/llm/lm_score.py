@@ -1,7 +1,8 @@
 """Cross-entropy difference: two matched n-gram models, a target's and the background's, over one vocabulary.
 
-Both are interpolated bigram models of the same form over the same hashed words. Counting is one pass of
-map-side sums and an exchange of packed counts; every word of every document is counted.
+Both are interpolated bigram models of the same form over the same words and pairs, told apart by 64-bit hashes. Each
+block of texts sends its distinct hashes once, packed by bucket; a bucket adds them up and answers every block with
+the counts of what it sent. No table of a whole corpus is held anywhere, so the counts grow with the input.
 """
 
 from __future__ import annotations
@@ -12,22 +13,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from maskloom.llm.hashing import mixed, word_hashes
 from maskloom.llm.quality import SPACES
-from maskloom.llm.tables import map_batches, text_blocks
+from maskloom.llm.tables import blocks, map_batches, stored, text_blocks
 
 
-BLOCK = 4_096
+#: Bytes of text a block should have, and bytes of input for which there is one more bucket of hashes.
+BLOCK, BUCKET = 8_000_000, 16_000_000
+WORD, PAIR = range(2)
 
 
 @dataclass(frozen=True)
 class Shape:
-    """Slots of the vocabulary and of the pair table, as bits; words that share a slot are one vocabulary entry."""
+    """Bits of a word's and of a pair's hash; with all 64 the vocabulary is the words that were met, else all slots."""
 
-    word_bits: int = 20
-    pair_bits: int = 22
+    word_bits: int = 64
+    pair_bits: int = 64
 
 
 def tokens(texts: list[bytes], shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -39,68 +44,104 @@ def tokens(texts: list[bytes], shape: Shape) -> tuple[np.ndarray, np.ndarray, np
     return (word >> np.uint64(64 - shape.word_bits)).astype(np.int64), (pair >> np.uint64(64 - shape.pair_bits)).astype(np.int64), row
 
 
-@dataclass(frozen=True)
-class Counts:
-    words: np.ndarray  # vocabulary slot -> count
-    pairs: np.ndarray
-    total: int
+def _packed(counts: np.ndarray) -> bytes:
+    return zlib.compress(counts.astype("<i8").tobytes(), 1)
 
-    def losses(self, word: np.ndarray, pair: np.ndarray, before: np.ndarray, weight: float) -> np.ndarray:
-        """Minus log2 of each word's chance, given the word slot before (-1: the start)."""
-        chance = (self.words[word] + 0.5) / (self.total + 0.5 * len(self.words))
-        context = np.where(before >= 0, self.words[before], 0)
-        seen = np.minimum(self.pairs[pair], np.maximum(context, 1))
-        # Witten-Bell with a fixed strength: the pair counts as much as it was seen.
-        return -np.log2((seen * (context > 0) + weight * chance) / (np.maximum(context, 0) + weight))
 
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), "<i8")
 
-def _packed(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.astype("<i8").tobytes(), 1)
 
+def _all_tokens(texts: list[bytes], shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``tokens`` of a whole block, a part at a time."""
+    parts = []
+    for low, high in blocks(np.array([len(t) for t in texts], np.int64), 2_000_000):
+        word, pair, row = tokens(texts[low:high], shape)
+        parts.append((word, pair, row + low))
+    return tuple(np.concatenate([np.zeros(0, np.int64), *(p[i] for p in parts)]) for i in range(3))
 
-def count(texts: DataFrame, shape: Shape, text_col: str = "text") -> DataFrame:
-    """(block, counts): the counts of BLOCK slots a row, packed; slots of words come first and then those of pairs.
 
-    Each task adds its texts up before anything is sent, and what it sends grows with the different words it met.
-    The sums are made one block at a time as the parts arrive, so no group is ever held whole.
-    """
-    slots = (1 << shape.word_bits) + (1 << shape.pair_bits)
+def _distinct(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys by bucket, place of each key among them, times, bounds of the buckets)."""
+    distinct, at, times = np.unique(keys, return_inverse=True, return_counts=True)
+    bucket = (mixed(distinct.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return distinct[order], place[at], times[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(slots, np.int64)
-        for batch in batches:
-            for _, block in text_blocks(batch.column(0)):
-                word, pair, _ = tokens(block, shape)
-                for slot in (word, pair + (1 << shape.word_bits)):
-                    at, times = np.unique(slot, return_counts=True)
-                    table[at] += times
-        rows = table.reshape(-1, BLOCK)
-        yield _blocks(np.flatnonzero(rows.any(1)), rows)
-
-    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """(block, ids, sizes, texts): the rows in blocks of texts, packed."""
+    kind = rows.schema[0].dataType.simpleString()
+
+    def row(number: int, ids: list[pa.Array], texts: list[bytes]) -> pa.RecordBatch:
+        held = pa.concat_arrays(ids)
+        listed = pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held)
+        packed = _packed(np.array([len(t) for t in texts])), zlib.compress(b"".join(texts), 1)
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), listed, *(pa.array([c], pa.binary()) for c in packed)], ["block", "ids", "sizes", "texts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(zlib.decompress(counts.as_py()), "<i8")
-                sums[block] = sums[block] + part if block in sums else part
-        yield _blocks(np.array(sorted(sums), np.int64), sums)
+            for start, part in text_blocks(batch.column(1)):
+                ids.append(batch.column(0).slice(start, len(part)))
+                texts += part
+                size += sum(map(len, part))
+                if size >= BLOCK:
+                    yield row(number, ids, texts)
+                    number, ids, texts, size = number + 1, [], [], 0
+        if texts:
+            yield row(number, ids, texts)
 
-    schema = "block int, counts binary"
-    return map_batches(map_batches(texts.select(text_col), counted, schema).repartition("block"), added, schema)
+    return map_batches(rows, run, f"block bigint, ids array<{kind}>, sizes binary, texts binary")
 
 
-def _blocks(numbers: np.ndarray, rows) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array([_packed(rows[n]) for n in numbers.tolist()], pa.binary())], ["block", "counts"])
+def _texts(sizes: bytes, texts: bytes) -> list[bytes]:
+    lengths, whole = _unpacked(sizes), zlib.decompress(texts)
+    return [whole[end - n : end] for end, n in zip(np.cumsum(lengths).tolist(), lengths.tolist())]
 
 
-def model(texts: DataFrame, shape: Shape, text_col: str = "text") -> Counts:
-    """The model of a corpus. Its tables have a fixed number of slots, so what reaches the driver is bounded by ``shape``."""
-    words = 1 << shape.word_bits
-    table = np.zeros((words + (1 << shape.pair_bits)) // BLOCK * BLOCK, np.int64).reshape(-1, BLOCK)
-    for row in count(texts, shape, text_col).collect():
-        table[row.block] = np.frombuffer(zlib.decompress(row.counts), "<i8")
-    flat = table.ravel()
-    return Counts(flat[:words].astype(np.float32), flat[words:].astype(np.float32), int(flat[:words].sum()))
+def _keys(held: DataFrame, shape: Shape, buckets: int, target: bool) -> DataFrame:
+    """(block, target, kind, bucket, keys, counts): the distinct words and pairs of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, sizes, texts in zip(*(c.to_pylist() for c in batch.columns)):
+                word, pair, _ = _all_tokens(_texts(sizes, texts), shape)
+                for which, values in ((WORD, word), (PAIR, pair)):
+                    keys, _, times, bounds = _distinct(values, buckets)
+                    some = np.flatnonzero(np.diff(bounds))
+                    cut = [(keys[bounds[b] : bounds[b + 1]].tobytes(), _packed(times[bounds[b] : bounds[b + 1]])) for b in some]
+                    n = len(some)
+                    yield pa.RecordBatch.from_arrays([pa.array([number] * n, pa.int64()), pa.array([target] * n, pa.bool_()), pa.array([which] * n, pa.int32()), pa.array(some, pa.int32()), *(pa.array([c[i] for c in cut], pa.binary()) for i in range(2))], ["block", "target", "kind", "bucket", "keys", "counts"])
+
+    return map_batches(held.select("block", "sizes", "texts"), run, "block bigint, target boolean, kind int, bucket int, keys binary, counts binary")
+
+
+def _answered(part: pa.Table) -> pa.Table:
+    """The sums of one bucket: for each block of the background the counts (background, target) of its keys; in a row
+    without a block, how many different keys there are, and both totals."""
+    rows = part.select(["block", "target", "kind", "bucket", "keys", "counts"]).to_pylist()
+    keys, times = [np.frombuffer(r["keys"], "<i8") for r in rows], [_unpacked(r["counts"]) for r in rows]
+    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums, places, low = np.zeros((2, len(distinct)), np.int64), [], 0
+    for row, count in zip(rows, times):
+        places.append(at[low : low + len(count)])
+        sums[int(row["target"]), places[-1]] += count  # a block has a key once
+        low += len(count)
+    out = [(r["block"], _packed(sums[:, p])) for r, p in zip(rows, places) if not r["target"]]
+    out.append((None, _packed(np.array([len(distinct), *sums.sum(1)]))))
+    n, first = len(out), rows[0]
+    return pa.table({"block": pa.array([o[0] for o in out], pa.int64()), "kind": pa.array([first["kind"]] * n, pa.int32()), "bucket": pa.array([first["bucket"]] * n, pa.int32()), "counts": pa.array([o[1] for o in out], pa.binary())})
+
+
+def losses(words: np.ndarray, context: np.ndarray, pairs: np.ndarray, total: int, vocabulary: int, weight: float) -> np.ndarray:
+    """Minus log2 of each word's chance, from the counts of the word, of the word before (0 at the start) and of the pair."""
+    chance = (words + 0.5) / (total + 0.5 * vocabulary)
+    seen = np.minimum(pairs, np.maximum(context, 1))
+    # Witten-Bell with a fixed strength: the pair counts as much as it was seen.
+    return -np.log2((seen * (context > 0) + weight * chance) / (context + weight))
 
 
 def score(docs: DataFrame, target: DataFrame, shape: Shape = Shape(), weight: float = 8.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -111,23 +152,37 @@ def score(docs: DataFrame, target: DataFrame, shape: Shape = Shape(), weight: fl
     losses and score; an empty target makes its model uniform. Repeated documents count and are scored as often
     as they come, null ids stay. Other columns are not read.
     """
-    rows = docs.select(id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast((model(docs, shape, text_col), model(target, shape, text_col)))
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        background, wanted = shared.value
+    rows, wanted = docs.select(id_col, text_col), target.select(F.lit(0).alias(id_col), text_col)
+    size = sum(frame.agg(F.sum(F.octet_length(text_col))).first()[0] or 0 for frame in (rows, wanted))
+    buckets = max(8, -(-size // BUCKET))
+    whole = stored(_blocks(rows), "blocks")
+    keys = _keys(whole, shape, buckets, False).unionByName(_keys(_blocks(wanted), shape, buckets, True))
+    answers = stored(keys.groupBy("kind", "bucket").applyInArrow(_answered, "block bigint, kind int, bucket int, counts binary"), "counts")
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for _, block in text_blocks(batch.column(1)):
-                word, pair, row = tokens(block, shape)
-                before = np.full(len(word), -1)
-                before[1:] = np.where(row[1:] == row[:-1], word[:-1], -1)
-                n = np.bincount(row, minlength=len(block))
-                found.append([n, *(np.bincount(row, m.losses(word, pair, before, weight), len(block)) / np.maximum(n, 1) for m in (wanted, background))])
-            n, of_target, of_all = np.concatenate(found, 1) if found else np.zeros((3, 0))
-            none = n == 0
-            columns = [pa.array(n.astype(np.int64)), *(pa.array(x, mask=none) for x in (of_target, of_all, of_target - of_all))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [id_col, "n_words", "loss_target", "loss_background", "score"])
+            sums = np.sum([np.zeros(3, np.int64), *(_unpacked(c.as_py()) for c in batch.column(0))], 0)
+            yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in sums], ["words", "background", "target"])
+
+    met = map_batches(answers.where((F.col("kind") == WORD) & F.col("block").isNull()).select("counts"), totals, "words bigint, background bigint, target bigint")
+    words, *total = (x or 0 for x in met.agg(F.sum("words"), F.sum("background"), F.sum("target")).first())
+    vocabulary = words if shape.word_bits == 64 else 1 << shape.word_bits
+
+    def scored(block: pa.Table, found: pa.Table) -> pa.Table:
+        ids, sizes, packed = (block.column(c)[0] for c in ("ids", "sizes", "texts"))
+        texts = _texts(sizes.as_py(), packed.as_py())
+        word, pair, at = _all_tokens(texts, shape)
+        parts = sorted(zip(found.column("kind").to_pylist(), found.column("bucket").to_pylist(), found.column("counts").to_pylist()))
+        counts = [np.concatenate([np.zeros((2, 0), np.int64), *(_unpacked(c).reshape(2, -1) for k, _, c in parts if k == kind)], 1) for kind in (WORD, PAIR)]
+        of_word, of_pair = (c[:, _distinct(v, buckets)[1]] for c, v in zip(counts, (word, pair)))
+        context = np.zeros_like(of_word)
+        context[:, 1:] = np.where(at[1:] == at[:-1], of_word[:, :-1], 0)
+        n = np.bincount(at, minlength=len(texts))
+        of_all, of_target = (np.bincount(at, losses(of_word[m], context[m], of_pair[m], total[m], vocabulary, weight), len(texts)) / np.maximum(n, 1) for m in (0, 1))
+        none = n == 0
+        columns = [pa.array(n.astype(np.int64)), *(pa.array(x, mask=none) for x in (of_target, of_all, of_target - of_all))]
+        return pa.table([ids.values, *columns], [id_col, "n_words", "loss_target", "loss_background", "score"])
 
     kind = rows.schema[0].dataType.simpleString()
-    return map_batches(rows, scored, f"`{id_col}` {kind}, n_words bigint, loss_target double, loss_background double, score double")
+    asked = answers.where(F.col("block").isNotNull())
+    return whole.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(scored, f"`{id_col}` {kind}, n_words bigint, loss_target double, loss_background double, score double")

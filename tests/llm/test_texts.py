@@ -155,6 +155,20 @@ def test_losses_follow_a_plain_model(spark, odd_docs, odd_rows, no_docs):
     assert lm_score.score(odd_docs, target.limit(0), shape).count() == len(odd_rows)
 
 
+def test_different_words_never_share_a_count(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK", 200_000)
+    # 1,500,000 different words (more than 2^20), each once: every loss is the same, to the last bit of a slot.
+    docs = spark.range(3_000, numPartitions=3).selectExpr("id doc_id", "array_join(transform(sequence(0, 499), x -> concat('w', id * 500 + x)), ' ') text")
+    target = spark.createDataFrame([("w0 w1 w2",)], "text string")
+    out = {r.doc_id: r for r in lm_score.score(docs, target).collect()}
+    n, weight = 1_500_000, 8.0
+    chance = 1.5 / (n + 0.5 * n)
+    background = -(np.log2(chance) + 499 * np.log2((1 + weight * chance) / (1 + weight))) / 500
+    assert len(out) == 3_000 and all(r.n_words == 500 and abs(r.loss_background - background) < 1e-9 for r in out.values())
+    unseen = -np.log2(0.5 / (3 + 0.5 * n))
+    assert all(abs(r.loss_target - unseen) < 1e-9 for r in out.values() if r.doc_id) and out[0].loss_target < unseen
+
+
 def test_piece_counts_equal_the_library(spark, odd_docs, odd_rows, no_docs):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
