@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import byte_bpe, decontam, flat_graph, lm_score, orc_tokens, piece_counts, quality, secret_ledger, simhash, url_filter
+from maskloom.llm import byte_bpe, decontam, flat_graph, lm_score, orc_tokens, piece_counts, prefix_trie, quality, secret_ledger, simhash, url_filter
 from maskloom.llm.tables import table
 from maskloom.session import scratch_dir
 
@@ -66,6 +66,10 @@ def op10_flat_graph_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return flat_graph.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations")).drop("node")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,6 +83,7 @@ QUERIES = {
         op8_byte_bpe,
         op9_simhash_near_dedup,
         op10_flat_graph_near_dedup,
+        op11_conversation_trie,
     )
 }
-ORACLES: dict[str, str] = {"op5_winnowing_decontamination": decontam.ORACLE}
+ORACLES: dict[str, str] = {"op5_winnowing_decontamination": decontam.ORACLE, "op11_conversation_trie": prefix_trie.ORACLE}
