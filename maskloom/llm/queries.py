@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import byte_bpe, decontam, flat_graph, lm_score, orc_tokens, piece_counts, prefix_trie, quality, secret_ledger, simhash, url_filter
+from maskloom.llm import byte_bpe, decontam, flat_graph, lm_score, orc_tokens, piece_counts, prefix_trie, quality, secret_ledger, simhash, url_filter, whitening
 from maskloom.llm.tables import table
 from maskloom.session import scratch_dir
 
@@ -70,6 +70,10 @@ def op11_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, folder, "conversations")).drop("node")
 
 
+def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.by_component(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -84,6 +88,7 @@ QUERIES = {
         op9_simhash_near_dedup,
         op10_flat_graph_near_dedup,
         op11_conversation_trie,
+        op12_embedding_whitening,
     )
 }
 ORACLES: dict[str, str] = {"op5_winnowing_decontamination": decontam.ORACLE, "op11_conversation_trie": prefix_trie.ORACLE}
