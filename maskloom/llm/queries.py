@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import byte_bpe, decontam, flat_graph, lm_score, orc_tokens, piece_counts, prefix_trie, quality, secret_ledger, simhash, url_filter, whitening
+from maskloom.llm import byte_bpe, decontam, flat_graph, lm_score, orc_tokens, piece_counts, prefix_trie, quality, secret_ledger, simhash, toxicity, url_filter, whitening
 from maskloom.llm.tables import table
 from maskloom.session import scratch_dir
 
@@ -74,6 +74,11 @@ def op12_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.by_component(table(spark, folder, "embeddings"))
 
 
+def op13_toxicity_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit_table(docs, table(spark, folder, "labels")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +94,7 @@ QUERIES = {
         op10_flat_graph_near_dedup,
         op11_conversation_trie,
         op12_embedding_whitening,
+        op13_toxicity_grammar,
     )
 }
 ORACLES: dict[str, str] = {"op5_winnowing_decontamination": decontam.ORACLE, "op11_conversation_trie": prefix_trie.ORACLE}
