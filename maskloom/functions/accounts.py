@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from maskloom.functions.digest import bind, digest, digit_stream
 from maskloom.functions.generalize import redact_text
+from maskloom.functions.identity import told_apart
+from maskloom.functions.permute import has_signs, permute_in_place, walk
 
 # Fixed value: what counts as an international bank account number.
 IBAN_SHAPE = r"^[A-Za-z]{2}[0-9]{2}[0-9A-Za-z]+\z"
@@ -56,6 +58,53 @@ def mod97(digits: Column) -> Column:
     return F.aggregate(chunks, F.lit(0).cast("bigint"), step)
 
 
+def unique_text(value: Column, tag: str, salt: str = "") -> Column:
+    """A number in its own form, each digit and letter replaced; different numbers stay different.
+
+    A text without any of them is redacted and told apart by its digest.
+    """
+    text = value.cast("string")
+    return F.when(has_signs(text), permute_in_place(text, tag, salt)).otherwise(told_apart(redact_text(text), text, salt))
+
+
+def _as_digits(text: Column) -> Column:
+    """Every capital letter as its number from 10 to 35."""
+    return F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c.rlike("^[A-Z]"), (F.ascii(c) - 55).cast("string")).otherwise(c)), "")
+
+
+def valid_iban(text: Column) -> Column:
+    """Capitals and digits whose check digits are the ones that the rest asks for."""
+    shaped = text.rlike(r"^[A-Z]{2}[0-9]{2}[0-9A-Z]+\z") & F.substring(text, 3, 2).between("02", "98")
+    return F.when(shaped, mod97(_as_digits(F.concat(F.substr(text, F.lit(5)), F.substring(text, 1, 4)))) == 1).otherwise(F.lit(False))
+
+
+def unique_iban(value: Column, seed_text: Column | None = None, salt: str = "") -> Column:
+    """Same country and form, valid check digits, and never one fake for two different valid numbers.
+
+    Anything else is permuted in place among the texts that are no valid number, so the two kinds do not meet.
+    """
+
+    def valid(text: Column) -> Column:
+        def assembled(bban: Column) -> Column:
+            check = F.lit(98) - mod97(_as_digits(F.concat(bban, F.substring(text, 1, 2), F.lit("00"))))
+            return F.concat(F.substring(text, 1, 2), F.lpad(check.cast("string"), 2, "0"), bban)
+
+        return bind(permute_in_place(F.substr(text, F.lit(5)), "iban:", salt), assembled)
+
+    def other(text: Column) -> Column:
+        apart = told_apart(redact_text(text), text, salt)
+        walked = walk(text, lambda t: permute_in_place(t, "no-iban:", salt), lambda t: ~valid_iban(t), apart)
+        return F.when(has_signs(text), walked).otherwise(apart)
+
+    source = _or(seed_text, value).cast("string")
+    return F.when(source.isNotNull(), bind(source, lambda text: F.when(valid_iban(text), valid(text)).otherwise(other(text))))
+
+
+def unique_bank_account(value: Column, seed_text: Column | None = None, salt: str = "") -> Column:
+    """Same length and form (digits stay digits), one to one."""
+    return unique_text(_or(seed_text, value), "bank:", salt)
+
+
 def fake_vat(value: Column, seed_text: Column | None = None, salt: str = "") -> Column:
     """Keeps a two-letter prefix (upper-cased) and the length.
 

@@ -60,18 +60,32 @@ def _null(target: Target) -> Column:
     return F.lit(None).cast(target.dtype)
 
 
-def _from_seed(fake: Callable[..., Column]) -> Callable[[Target], Column]:
-    """``unique: true`` in a rule keeps different values apart, for columns used as keys."""
+def _from_seed(fake: Callable[..., Column], apart: Callable[[Target], Column] | None = None) -> Callable[[Target], Column]:
+    """``unique: true`` in a rule keeps different values apart, for columns used as keys.
+
+    ``apart`` is how, where the fake has a form of its own; other fakes get a digest.
+    """
 
     def apply(target: Target) -> Column:
-        plain = fake(target.seed_text, salt=target.salt)
-        return identity.told_apart(plain, target.seed_text, target.salt) if target.params.get("unique") else plain
+        if not target.params.get("unique"):
+            return fake(target.seed_text, salt=target.salt)
+        if apart is not None:
+            return apart(target)
+        return identity.told_apart(fake(target.seed_text, salt=target.salt), target.seed_text, target.salt)
 
     return apply
 
 
-def _format_preserving(fake: Callable[..., Column]) -> Callable[[Target], Column]:
-    return lambda target: fake(target.value, seed_text=target.seed_text, salt=target.salt)
+def _same_form(tag: str) -> Callable[[Target], Column]:
+    return lambda target: accounts.unique_text(target.seed_text, tag, target.salt)
+
+
+def _format_preserving(fake: Callable[..., Column], apart: Callable[..., Column] | None = None) -> Callable[[Target], Column]:
+    def apply(target: Target) -> Column:
+        chosen = apart if apart is not None and target.params.get("unique") else fake
+        return chosen(target.value, seed_text=target.seed_text, salt=target.salt)
+
+    return apply
 
 
 _REGISTRY: dict[str, Strategy] = {}
@@ -104,13 +118,13 @@ register_strategy("null_binary", _null)
 register_strategy("fake_person_name", _from_seed(identity.fake_person_name), accepts=_is_text)
 register_strategy("fake_company_name", _from_seed(identity.fake_company_name), accepts=_is_text)
 register_strategy("fake_email", _from_seed(identity.fake_email), accepts=_is_text)
-register_strategy("fake_phone", _from_seed(identity.fake_phone), accepts=_is_text)
+register_strategy("fake_phone", _from_seed(identity.fake_phone, _same_form("phone:")), accepts=_is_text)
 register_strategy("fake_street_address", _from_seed(identity.fake_street_address), accepts=_is_text)
 register_strategy("fake_city", _from_seed(identity.fake_city), accepts=_is_text)
-register_strategy("fake_zip", _from_seed(identity.fake_zip), accepts=_is_text)
+register_strategy("fake_zip", _from_seed(identity.fake_zip, _same_form("zip:")), accepts=_is_text)
 register_strategy("fake_vat", _format_preserving(accounts.fake_vat), accepts=_is_text)
-register_strategy("fake_iban", _format_preserving(accounts.fake_iban), accepts=_is_text)
-register_strategy("fake_bank_account_number", _format_preserving(accounts.fake_bank_account), accepts=_is_text)
+register_strategy("fake_iban", _format_preserving(accounts.fake_iban, accounts.unique_iban), accepts=_is_text)
+register_strategy("fake_bank_account_number", _format_preserving(accounts.fake_bank_account, accounts.unique_bank_account), accepts=_is_text)
 register_strategy(
     "partial_keep_last4",
     lambda t: generalize.partial_keep_last4(t.value),

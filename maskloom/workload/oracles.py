@@ -621,6 +621,31 @@ ORACLES["leak_scan_nested"] = (
 ORACLES["join_consistency_unique"] = (
     f"SELECT s AS stage, count(*) AS matches FROM orders JOIN customer ON c_name = {ORDER_NAME}, (SELECT unnest(['before', 'after']) AS s) GROUP BY 1"
 )
+LINE_BBAN = "lpad(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR), 14, '0')"
+CHECKED = "lpad(CAST(98 - CAST({0} || '131400' AS HUGEINT) % 97 AS VARCHAR), 2, '0')"
+
+
+def feistel(source: str, name: str, tag: str) -> str:
+    """CTEs that permute the 14 digits ``v`` of each ``id`` in ``source``; the last is ``name(id, digits)``."""
+    steps = [f"{name}_0 AS (SELECT id, CAST(substr(v, 1, 7) AS BIGINT) AS a, CAST(substr(v, 8) AS BIGINT) AS b FROM {source})"]
+    for i in range(10):
+        new, old = ("a", "b") if i % 2 == 0 else ("b", "a")
+        code = number(f"md5(concat('{tag}:14:{i}:', repeat('0', 14), ':0:', {old}))", 1, 15)
+        steps.append(f"{name}_{i + 1} AS (SELECT id, ({new} + {code}) % 10000000 AS {new}, {old} FROM {name}_{i})")
+    both = "lpad(CAST(a AS VARCHAR), 7, '0') || lpad(CAST(b AS VARCHAR), 7, '0')"
+    return ", ".join(steps) + f", {name} AS (SELECT id, {both} AS digits FROM {name}_10)"
+
+
+ORACLES["fake_accounts_bijective"] = (
+    f"WITH src AS (SELECT DISTINCT (l_orderkey, l_linenumber) AS id, {LINE_BBAN} AS v FROM lineitem), "
+    + feistel("src", "bank", "p-bank:d") + ", " + feistel("src", "iban", "p-iban:d")
+    + f" SELECT id[1] AS l_orderkey, id[2] AS l_linenumber, b.digits AS account, 'DE' || {CHECKED.format('i.digits')} || i.digits AS iban FROM bank b JOIN iban i USING (id)"
+)
+PHONE_LIKE = f"concat(lpad(CAST(l_orderkey % 90 + 10 AS VARCHAR), 2, '0'), '-', substr({LINE_BBAN}, 5, 3), '-', substr({LINE_BBAN}, 8))"
+ORACLES["bijective_summary"] = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, count(*) AS \"rows\", count(DISTINCT {value}) AS originals, count(DISTINCT {value}) AS fakes, count(DISTINCT {value}) AS in_form FROM lineitem"
+    for kind, value in {"account": LINE_BBAN, "iban": LINE_BBAN, "phone": PHONE_LIKE, "zip": f"substr({LINE_BBAN}, 10)"}.items()
+)
 ORACLES["null_binary_column"] = "SELECT doc_id, true AS gone, lang FROM documents"
 ORACLES["base_types"] = "SELECT p_partkey, lower(p_brand) AS base FROM part"
 ORACLES["schema_snapshot"] = f"SELECT c.\"table\", c.\"column\", ordinal, cells FROM ({INFO}) c JOIN ({CELLS}) n ON n.\"table\" = c.\"table\" AND n.\"column\" = c.\"column\""

@@ -980,6 +980,45 @@ def join_consistency_unique(spark, folder):
     return verify.join_consistency((before["l"], before["r"]), (after["l"], after["r"]), "name", "name")
 
 
+def line_accounts(items: DataFrame) -> tuple[Column, Column]:
+    """An account number and a valid DE number for each key of an order line."""
+    bban = F.lpad((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"), 14, "0")
+    check = F.lit(98) - accounts.mod97(F.concat(bban, F.lit("131400")))
+    return bban, F.concat(F.lit("DE"), F.lpad(check.cast("string"), 2, "0"), bban)
+
+
+@query
+def fake_accounts_bijective(spark, folder):
+    """Unique fakes of account numbers and IBANs of all order lines: same form, no two alike."""
+    items = table(spark, folder, "lineitem")
+    account, iban = line_accounts(items)
+    keys = items.select("l_orderkey", "l_linenumber").distinct().select("l_orderkey", "l_linenumber", account.alias("account"), iban.alias("iban"))
+    book = rules({"lines": {"fields": {"account": {"strategy": "fake_bank_account_number", "unique": True, "salt": "p-"}, "iban": {"strategy": "fake_iban", "unique": True, "salt": "p-"}}}})
+    return masking.mask({"lines": keys}, book).dataset["lines"]
+
+
+@query
+def bijective_summary(spark, folder):
+    """Different originals and different fakes of each kind, and how many fakes keep the form."""
+    items = table(spark, folder, "lineitem")
+    account, iban = line_accounts(items)
+    phone = F.concat(F.lpad((F.col("l_orderkey") % 90 + 10).cast("string"), 2, "0"), F.lit("-"), F.substr(account, F.lit(5), F.lit(3)), F.lit("-"), F.substr(account, F.lit(8)))
+    values = items.select(F.posexplode(F.array(account, iban, phone, F.substr(account, F.lit(10)))).alias("kind", "original"))
+    fakes = [
+        ("account", accounts.unique_bank_account(F.col("original"), salt="p-"), r"^[0-9]{14}\z"),
+        ("iban", accounts.unique_iban(F.col("original"), salt="p-"), r"^DE[0-9]{16}\z"),
+        ("phone", accounts.unique_text(F.col("original"), "phone:", "p-"), r"^[0-9]{2}-[0-9]{3}-[0-9]{7}\z"),
+        ("zip", accounts.unique_text(F.col("original"), "zip:", "p-"), r"^[0-9]{5}\z"),
+    ]
+    parts = []
+    for at, (kind, fake, form) in enumerate(fakes):
+        distinct = values.where(F.col("kind") == at).groupBy("original").agg(F.count(F.lit(1)).alias("n")).withColumn("fake", fake)
+        counted = distinct.groupBy("fake").agg(F.count(F.lit(1)).alias("originals"), F.sum("n").alias("rows"))
+        holds = F.col("fake").rlike(form) & (accounts.valid_iban(F.col("fake")) if kind == "iban" else F.lit(True))
+        parts.append(counted.agg(F.lit(kind).alias("kind"), F.sum("rows").alias("rows"), F.sum("originals").alias("originals"), F.count(F.lit(1)).alias("fakes"), F.count_if(holds).alias("in_form")))
+    return union(parts)
+
+
 @query
 def null_binary_column(spark, folder):
     frame = table(spark, folder, "documents").select("doc_id", F.col("text").cast("binary").alias("raw"), "lang")
