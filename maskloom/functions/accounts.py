@@ -69,13 +69,19 @@ def unique_text(value: Column, tag: str, salt: str = "") -> Column:
 
 def _as_digits(text: Column) -> Column:
     """Every capital letter as its number from 10 to 35."""
-    return F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c.rlike("^[A-Z]"), (F.ascii(c) - 55).cast("string")).otherwise(c)), "")
+    spelled = F.array_join(F.transform(F.split(text, ""), lambda c: F.when(c.rlike("^[A-Z]"), (F.ascii(c) - 55).cast("string")).otherwise(c)), "")
+    return F.when(text.rlike("[A-Z]"), spelled).otherwise(text)
+
+
+def _checked(text: Column, bban: Column, check: Column) -> Column:
+    """The number whose remainder by 97 the check digits decide."""
+    return F.concat(_as_digits(bban), _letter_number(text, 1), _letter_number(text, 2), check)
 
 
 def valid_iban(text: Column) -> Column:
     """Capitals and digits whose check digits are the ones that the rest asks for."""
     shaped = text.rlike(r"^[A-Z]{2}[0-9]{2}[0-9A-Z]+\z") & F.substring(text, 3, 2).between("02", "98")
-    return F.when(shaped, mod97(_as_digits(F.concat(F.substr(text, F.lit(5)), F.substring(text, 1, 4)))) == 1).otherwise(F.lit(False))
+    return F.when(shaped, mod97(_checked(text, F.substr(text, F.lit(5)), F.substring(text, 3, 2))) == 1).otherwise(F.lit(False))
 
 
 def unique_iban(value: Column, seed_text: Column | None = None, salt: str = "") -> Column:
@@ -86,7 +92,7 @@ def unique_iban(value: Column, seed_text: Column | None = None, salt: str = "")
 
     def valid(text: Column) -> Column:
         def assembled(bban: Column) -> Column:
-            check = F.lit(98) - mod97(_as_digits(F.concat(bban, F.substring(text, 1, 2), F.lit("00"))))
+            check = F.lit(98) - mod97(_checked(text, bban, F.lit("00")))
             return F.concat(F.substring(text, 1, 2), F.lpad(check.cast("string"), 2, "0"), bban)
 
         return bind(permute_in_place(F.substr(text, F.lit(5)), "iban:", salt), assembled)

@@ -99,7 +99,9 @@ def permute_in_place(value: Column, tag: str = "", salt: str = "") -> Column:
 
             return bind(permute_signs(letters, 26, key + "l", F.concat_ws(":", form, d)), put)
 
-        return F.when(text.rlike(r"^[0-9]+\z"), new_digits).otherwise(bind(new_digits, placed))
+        # Most numbers are digits alone: nothing to take apart, and the form is all zeros.
+        plain = permute_signs(text, 10, key + "d", F.repeat(F.lit("0"), F.length(text)))
+        return F.when(text.rlike(r"^[0-9]+\z"), plain).otherwise(bind(new_digits, placed))
 
     return F.when(value.isNotNull(), bind(value.cast("string"), whole))
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # 16**4 buckets: a window group of about nine million rows at 600 billion rows, and small
 # enough a set that the running bucket table stays tiny.
@@ -17,6 +18,11 @@ def row_key(keys: Sequence[str]) -> Column:
     return F.concat_ws("\x1f", *[F.col(key).cast("string") for key in keys])
 
 
+def row_hash(frame: DataFrame) -> Column:
+    """A number for a row's whole content."""
+    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if "map<" in f.dataType.simpleString() or isinstance(f.dataType, T.VariantType) else F.col(f"`{f.name}`") for f in frame.schema.fields])
+
+
 def shuffle_column(
     frame: DataFrame,
     column: str,
@@ -65,8 +71,10 @@ def shuffle_columns(
     number of scans does not grow with the columns.
     """
     names = list(salts)
-    own = Window.partitionBy("__row").orderBy(F.lit(0))
-    given = source.select(row_key(keys).alias("__row"), *[F.col(f"`{c}`").alias(f"__v{i}") for i, c in enumerate(names)]).withColumn("__copy", F.row_number().over(own))
+    # Rows of one key are told apart by all they hold, so that a lost executor numbers them as before.
+    own = Window.partitionBy("__row").orderBy("__whole")
+    given = source.select(row_key(keys).alias("__row"), row_hash(source).alias("__whole"), *[F.col(f"`{c}`").alias(f"__v{i}") for i, c in enumerate(names)])
+    given = given.withColumn("__copy", F.row_number().over(own)).drop("__whole")
     values = [
         F.struct(
             F.lit(i).alias("__column"),
@@ -78,12 +86,58 @@ def shuffle_columns(
     long = given.select("__row", "__copy", F.inline(F.array(*values)))
     moved = shuffle_column(long, "__value", ["__row", "__copy"], within=["__column"], bucket_digits=bucket_digits, order_by="__hash")
     wide = moved.groupBy("__row", "__copy").agg(*[F.first(F.when(F.col("__column") == i, F.struct(f"__value.__v{i}")), ignorenulls=True).alias(f"__n{i}") for i in range(len(names))])
-    numbered = target.withColumn("__copy", F.row_number().over(own))
+    numbered = target.withColumn("__whole", row_hash(target)).withColumn("__copy", F.row_number().over(own))
     joined = numbered.join(wide, ["__row", "__copy"])
     new = {c: F.col(f"__n{i}")[f"__v{i}"] for i, c in enumerate(names)}
     return joined.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in target.columns if c != "__row"])
 
 
+def derangement_bounds(frame: DataFrame, column: str) -> tuple[int, int, int]:
+    """(rows, rows of the commonest value, rows that must keep their value whatever the permutation)."""
+    classes = frame.groupBy(_class_of(column, "").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    rows, largest = (x or 0 for x in classes.agg(F.sum("n"), F.max("n")).first())
+    return rows, largest, max(0, 2 * largest - rows)
+
+
+def _class_of(column: str, salt: str) -> Column:
+    """Equal for equal values, NULL being one of them, and in an order that only the salt shows."""
+    return F.md5(F.coalesce(F.concat(F.lit(f"{salt}v:"), F.to_json(F.struct(F.col(f"`{column}`").alias("v")), {"ignoreNullFields": "false"})), F.lit(salt)))
+
+
+def derange_column(frame: DataFrame, column: str, keys: Sequence[str], salt: str = "", bucket_digits: int = BUCKET_DIGITS) -> DataFrame:
+    """A permutation that leaves no row its own value, as far as that can be.
+
+    Rows are ordered by a keyed digest of their value and then of their key, and each takes the value that stands as many
+    places on as the commonest value has rows. Equal values stand together, so none meets itself unless one value has
+    more than half of all rows; then exactly the rows of :func:`derangement_bounds` keep theirs. Ordering the values
+    themselves would do as well, but anyone could then turn the shift back.
+
+    Places come from counts per value and digest prefix, summed up in buckets; a value with very many rows is
+    spread over its keys' prefixes. Two numbers go to the driver. The outcome depends on neither partitioning nor
+    ``bucket_digits``; NULL is a value.
+    """
+    rows, largest, _ = derangement_bounds(frame, column)
+    if rows < 2:
+        return frame
+    spread = frame.withColumns({"__class": _class_of(column, salt), "__order": F.md5(F.concat(F.lit(salt), row_key(keys))), "__whole": row_hash(frame)})
+    spread = spread.withColumn("__part", F.substring("__order", 1, bucket_digits))
+    parts = spread.groupBy("__class", "__part").agg(F.count(F.lit(1)).alias("__n"))
+    classes = parts.groupBy("__class").agg(F.sum("__n").alias("__n")).withColumn("__bucket", F.substring("__class", 1, bucket_digits))
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    # At most 16 ** bucket_digits rows, whatever the table.
+    buckets = classes.groupBy("__bucket").agg(F.sum("__n").alias("__n"))
+    buckets = buckets.select("__bucket", F.coalesce(F.sum("__n").over(before(F.lit(0)).orderBy("__bucket")), F.lit(0)).alias("__low"))
+    starts = classes.withColumn("__in", F.coalesce(F.sum("__n").over(before("__bucket").orderBy("__class")), F.lit(0))).join(buckets, "__bucket")
+    starts = starts.select("__class", (F.col("__low") + F.col("__in")).alias("__first"))
+    inside = parts.withColumn("__in", F.coalesce(F.sum("__n").over(before("__class").orderBy("__part")), F.lit(0)))
+    first = inside.join(starts, "__class").select("__class", "__part", (F.col("__first") + F.col("__in")).alias("__first"))
+    rank = F.row_number().over(Window.partitionBy("__class", "__part").orderBy("__order", "__whole"))
+    placed = spread.join(first, ["__class", "__part"]).withColumn("__at", F.col("__first") + rank - 1)
+    given = placed.select(F.col("__at").alias("__from"), F.struct(F.col(f"`{column}`").alias("v")).alias("__given"))
+    joined = placed.withColumn("__from", (F.col("__at") + largest) % rows).join(given, "__from")
+    return joined.select(*[F.col("__given")["v"].alias(c) if c == column else F.col(f"`{c}`") for c in frame.columns])
+
+
 def _next_first(heads: DataFrame, within: Sequence[str]) -> DataFrame:
     """First value of the following bucket, the last bucket wrapping to the first one.
 

@@ -22,7 +22,7 @@ from maskloom.operators.policies import (
     rotation_for,
     scoped_replace,
 )
-from maskloom.operators.shuffle import row_key, shuffle_columns
+from maskloom.operators.shuffle import derange_column, row_key, shuffle_columns
 from maskloom.plans import rulebook as rb
 from maskloom.plans import schema as sc
 from maskloom.plans import strategies as st
@@ -53,6 +53,11 @@ class TablePlan:
     contents: list[ContentPolicy] = field(default_factory=list)
     scoped: list[ScopedReplace] = field(default_factory=list)
 
+    def touched_columns(self, frame: DataFrame) -> list[str]:
+        """Columns that a rule rewrites, shuffles or rotates, nested ones by their head."""
+        heads = [path if path in frame.columns else path.split(".")[0] for path in [*self.rewrites, *self.shuffles, *self.rotations]]
+        return list(dict.fromkeys(heads))
+
 
 SALTED_STRATEGIES = ("generalize_numeric_band", "shuffle_within_column")
 SOFT_STRATEGIES = ("generalize_year", "generalize_numeric_band")
@@ -295,8 +300,8 @@ def mask(dataset: Mapping[str, DataFrame], book: rb.Rulebook, salt: str = "", ob
     """Mask a dataset: explicit rules and patterns, shuffles, rotations, content, scoped replace.
 
     Lazy: nothing is computed until the result is written, except the size check of a scoped
-    replacement. Rotated secrets are random, so write the result once and read that. ``observe``
-    counts rows read and touched during that write; it keeps the scan out of the projection's
+    replacement and the counts of a derangement. Rotated secrets are random, so write the result once and read that.
+    ``observe`` counts rows read and cells touched during that write; it keeps the scan out of the projection's
     generated code, so it is off by default.
     """
     plan = build_plan(dataset, book)
@@ -309,13 +314,17 @@ def mask(dataset: Mapping[str, DataFrame], book: rb.Rulebook, salt: str = "", ob
         if observe:
             observations[name] = Observation(f"mask-{name}")
             touched = [metric for policy in table.contents for metric in policy.metrics(frame)]
+            touched += [F.count(F.col(f"`{column}`")).alias(f"cells:{column}") for column in table.touched_columns(frame)]
             frame = frame.observe(observations[name], F.count(F.lit(1)).alias("rows"), *touched)
         named = frame.withColumn("__row", row_key(keys)) if table.shuffles else frame
         masked = rewrite_table(named, table, keys, salt)
         if table.shuffles:
             # each column has an order of its own, or shuffled columns would stay linked
             salts = {column: f"{rule.params.get('salt', salt)}{column}:" for column, rule in table.shuffles.items()}
-            masked = shuffle_columns(frame, masked, salts, keys)
+            deranged = [column for column, rule in table.shuffles.items() if rule.params.get("derange")]
+            for column in deranged:
+                masked = derange_column(masked, column, ["__row"], salts.pop(column))
+            masked = shuffle_columns(frame, masked, salts, keys) if salts else masked.drop("__row")
         masked = rotate_columns(masked, table.rotations) if table.rotations else masked
         for policy in [*table.key_values, *table.contents]:
             masked = policy.apply(masked)

@@ -330,6 +330,29 @@ ORACLES["shuffle_orders"] = (
     )
     + " SELECT o_orderkey, v AS o_orderpriority FROM moved"
 )
+
+
+def deranged(table: str, keys: list[str], value: str, salt: str) -> str:
+    """CTEs ``placed`` and ``deranged``: classes in the order of their digest, each row served by the one a class size on."""
+    key_text = f"concat_ws(chr(31), {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)})"
+    spelled = f"concat('{{\"v\":', coalesce('\"' || ({value}) || '\"', 'null'), '}}')"
+    return (
+        f"placed AS (SELECT {', '.join(keys)}, {value} AS v, row_number() OVER (ORDER BY md5(concat('{salt}v:', {spelled})), md5(concat('{salt}', {key_text}))) - 1 AS p, "
+        f"count(*) OVER () AS n FROM {table}), "
+        "largest AS (SELECT max(c) AS m FROM (SELECT count(*) AS c FROM placed GROUP BY v)), "
+        f"deranged AS (SELECT {', '.join('a.' + k for k in keys)}, b.v FROM placed a, largest JOIN placed b ON b.p = (a.p + m) % a.n)"
+    )
+
+
+ORACLES["shuffle_deranged"] = (
+    "WITH " + deranged("orders", ["o_orderkey", "o_custkey"], "CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority END", "d1") + " SELECT o_orderkey, v AS o_orderpriority FROM deranged"
+)
+ORACLES["derangement_report"] = " UNION ALL ".join(
+    f"SELECT '{t}.{c}' AS \"column\", CAST(sum(n) AS BIGINT) AS \"rows\", max(n) AS largest, CAST(greatest(0, 2 * max(n) - sum(n)) AS BIGINT) AS unavoidable, "
+    f"CAST(greatest(0, 2 * max(n) - sum(n)) AS BIGINT) AS unchanged, CAST(sum(n * ({number(md5(f'CAST({c} AS VARCHAR)'), 1, 15)} % 1000003)) AS BIGINT) AS fingerprint "
+    f"FROM (SELECT {c}, count(*) AS n FROM {t} GROUP BY 1)"
+    for t, c in (("lineitem", "l_returnflag"), ("lineitem", "l_linestatus"), ("orders", "o_orderpriority"), ("orders", "o_orderstatus"), ("orders", "o_custkey"), ("customer", "c_mktsegment"), ("events", "event_type"))
+)
 ORACLES["shuffle_within_group"] = (
     "WITH " + shuffled("customer", ["c_custkey"], "c_name", ["c_mktsegment"]) + " SELECT c_custkey, c_mktsegment, v AS c_name FROM moved"
 )
@@ -587,9 +610,12 @@ ORACLES["manifest_schema"] = (
     f"SELECT \"table\", sha256(line) AS schema_hash, rows FROM cols JOIN ({ALL_COUNTS}) ON t = \"table\" "
     f"WHERE t IN ({', '.join(quoted(t) for t in TABLES)})"
 )
+KEYS = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
+    "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id",
+}
 ORACLES["bundle_publish"] = " UNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", count(*) AS rows, count(DISTINCT {k}) AS keys FROM {t}"
-    for t, k in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("orders", "o_orderkey"), ("events", "event_id"))
+    f"SELECT '{name}' AS \"table\", count(*) AS \"rows\", count(DISTINCT {key}) AS keys FROM {name}" for name, key in KEYS.items()
 )
 
 # --- rules on nested values, several files, several shuffles ------------------------------------
@@ -649,7 +675,23 @@ ORACLES["bijective_summary"] = " UNION ALL ".join(
 ORACLES["null_binary_column"] = "SELECT doc_id, true AS gone, lang FROM documents"
 ORACLES["base_types"] = "SELECT p_partkey, lower(p_brand) AS base FROM part"
 ORACLES["schema_snapshot"] = f"SELECT c.\"table\", c.\"column\", ordinal, cells FROM ({INFO}) c JOIN ({CELLS}) n ON n.\"table\" = c.\"table\" AND n.\"column\" = c.\"column\""
-ORACLES["manifest_rows"] = f"SELECT * FROM ({ALL_COUNTS}) WHERE \"table\" IN ('customer', 'documents', 'labels')"
+ORACLES["manifest_rows"] = ALL_COUNTS
+# The columns that the rules and patterns of the shop touch, and what its checks find.
+TOUCHED = {
+    "customer": "c_name c_acctbal c_mktsegment", "supplier": "s_name s_acctbal", "nation": "n_name", "region": "r_name", "part": "p_name p_brand p_type",
+    "orders": "o_orderdate o_totalprice o_orderpriority", "lineitem": "l_shipdate l_extendedprice", "documents": "text", "conversations": "text", "benchmark": "text",
+}
+FAILED = {"events": "event_type = 'click' AND props IS NOT NULL", "labels": "toxic = 1"}
+ORACLES["manifest_observed"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS \"rows\", {' + '.join(f'count({c})' for c in TOUCHED.get(t, '').split()) or 'CAST(0 AS BIGINT)'} AS cells, "
+    f"count(*) FILTER ({FAILED.get(t, 'false')}) AS violations FROM {t}"
+    for t in TABLES
+)
+CONTACT = "concat('user', lpad(CAST(user_id AS VARCHAR), 7, '0'), '@mail.test')"
+ORACLES["stream_gated_events"] = f"SELECT event_id, event_type, {email(CONTACT)} AS contact, k.props FROM events e JOIN ({ORACLES['key_secret_drop']}) k USING (event_id, event_type)"
+ORACLES["stream_held_batches"] = (
+    "SELECT CASE WHEN event_id % 4 = 1 THEN 'held' ELSE 'published' END AS status, CASE WHEN event_id % 4 = 1 THEN 'LeakError' END AS reason, count(*) AS \"rows\" FROM events GROUP BY ALL"
+)
 ORACLES["coverage_gate"] = REPORT + (
     "SELECT count(*) AS columns, CAST(sum(cells) AS BIGINT) AS cells, count(*) = 0 AS passed FROM report WHERE outcome IN ('undeclared_model', 'uncovered')"
 )

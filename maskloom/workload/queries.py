@@ -18,6 +18,7 @@ from maskloom.plans.strategies import register_strategy
 from maskloom.session import scratch_dir
 from maskloom.sources import bundle, tables
 from maskloom.sources.snapshot import snapshot
+from maskloom.streaming import gated
 from maskloom.streaming.stream import mask_available
 from maskloom.workload.rules import STRATEGIES, TABLES, shop_rulebook
 
@@ -453,6 +454,34 @@ def shuffle_within_group(spark, folder):
     ).select("c_custkey", "c_mktsegment", "c_name")
 
 
+@query
+def shuffle_deranged(spark, folder):
+    """No row keeps its value; NULL is one of the values."""
+    orders = table(spark, folder, "orders").withColumn("o_orderpriority", F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")))
+    return shuffle.derange_column(orders, "o_orderpriority", ["o_orderkey", "o_custkey"], salt="d1").select("o_orderkey", "o_orderpriority")
+
+
+@query
+def derangement_report(spark, folder):
+    """Rows that kept their value, beside those that had to."""
+    data = shop(spark, folder)
+    columns = {"lineitem": ["l_returnflag", "l_linestatus"], "orders": ["o_orderpriority", "o_orderstatus", "o_custkey"], "customer": ["c_mktsegment"], "events": ["event_type"]}
+    keys = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"], "events": ["event_id"]}
+    parts = []
+    for name, listed in columns.items():
+        for column in listed:
+            frame = data[name].select(*keys[name], column, F.col(column).alias("before"))
+            rows, largest, unavoidable = shuffle.derangement_bounds(frame, column)
+            after = shuffle.derange_column(frame, column, keys[name], salt="d2")
+            parts.append(
+                after.agg(
+                    F.lit(f"{name}.{column}").alias("column"), F.count(F.lit(1)).alias("rows"), F.lit(largest).cast("bigint").alias("largest"), F.lit(unavoidable).cast("bigint").alias("unavoidable"),
+                    F.count_if(F.col("before").eqNullSafe(F.col(column))).alias("unchanged"), F.sum(digest.seed(F.col(column)) % 1000003).alias("fingerprint"),
+                )
+            )
+    return union(parts)
+
+
 @query
 def keyed_position(spark, folder):
     return shuffle.keyed_position(table(spark, folder, "orders"), ["o_orderkey"]).select("o_orderkey", "position")
@@ -857,10 +886,17 @@ def manifest_schema(spark, folder):
     )
 
 
+#: A column of each table whose values no rule changes.
+TABLE_KEYS = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
+    "documents": "doc_id", "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id", "labels": "doc_id", "conversations": "conv_id",
+}
+
+
 @query
 def bundle_publish(spark, folder):
     """Mask, stage, check, publish, and read the published tables back."""
-    data = shop(spark, folder, "customer", "supplier", "orders", "events")
+    data = shop(spark, folder)
     promise = verify.Expectation("orders", "priority_masked", ~F.col("o_orderpriority").startswith("****"))
     target = f"{scratch_dir(spark, 'bundle')}/published"
     snapshot(spark, data, shop_rulebook(), target, [folder], [promise])
@@ -872,11 +908,67 @@ def bundle_publish(spark, folder):
                 F.count(F.lit(1)).alias("rows"),
                 F.countDistinct(F.col(key)).alias("keys"),
             )
-            for name, key in (("customer", "c_custkey"), ("supplier", "s_suppkey"), ("orders", "o_orderkey"), ("events", "event_id"))
+            for name, key in TABLE_KEYS.items()
         ]
     )
 
 
+@query
+def manifest_observed(spark, folder):
+    """Rows, cells touched and violations of every table, all counted by the jobs that wrote the bundle."""
+    result = masking.mask(shop(spark, folder), shop_rulebook(), observe=True)
+    checks = [
+        verify.Expectation("events", "click_props_dropped", (F.col("event_type") == "click") & F.col("props").isNotNull(), columns=("event_type", "props")),
+        verify.Expectation("orders", "priority_masked", ~F.col("o_orderpriority").startswith("****"), columns=("o_orderpriority",)),
+        verify.Expectation("pages", "html_dropped", F.col("html").isNotNull(), columns=("html",)),
+        verify.Expectation("labels", "no_toxic", F.col("toxic") == 1, columns=("toxic",)),
+    ]
+    target = f"{scratch_dir(spark, 'bundle')}/published"
+    manifest = bundle.write_bundle(spark, result.dataset, target, [folder], shop_rulebook(), checks=checks, enforce=False)
+    touched = {name: sum(n for metric, n in values.items() if metric.startswith("cells:")) for name, values in result.row_metrics().items()}
+    failed = {name: sum(n for check, n in manifest["violations"].items() if check.split(".")[0] == name) for name in touched}
+    rows = [(name, manifest["row_counts"][name], touched[name], failed[name]) for name in TABLES]
+    return spark.createDataFrame(rows, "table string, rows bigint, cells bigint, violations bigint")
+
+
+CONTACT = F.concat(F.lit("user"), F.lpad(F.col("user_id").cast("string"), 7, "0"), F.lit("@mail.test"))
+
+
+def event_files(spark, folder, files: int = 4, **columns: Column) -> tuple[str, DataFrame]:
+    """The events with a contact, as a folder of files, and that folder as a stream of one file a batch."""
+    path = f"{scratch_dir(spark, 'events')}/in"
+    events = table(spark, folder, "events").withColumns({"contact": CONTACT, **columns, "part": F.col("event_id") % files})
+    events.repartition("part").write.partitionBy("part").parquet(path)
+    return path, spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def contact_rules(event_rules: dict | None = None):
+    policy = {"table": "events", "key": "event_type", "value": "props", "drop_regex": "(?i)(sign|purchase|error)", "rotate": {"error": {"constant": "{}"}}, "distinctive": False}
+    return rules({"events": {"key": ["event_id"], "fields": {"contact": "fake_email", **(event_rules or {})}}, "key_value_policies": [policy]})
+
+
+@query
+def stream_gated_events(spark, folder):
+    """The events published batch by batch, each after its promises and a leak scan for its own contacts; a second
+    run of the same stream finds every batch in the ledger."""
+    _, stream = event_files(spark, folder)
+    run = scratch_dir(spark, "gated")
+    checks = [verify.Expectation("events", "contact_faked", ~F.col("contact").endswith("@example.invalid"), columns=("contact",))]
+    for checkpoint in ("first", "again"):
+        gated.publish_stream(stream, "events", contact_rules(), f"{run}/out", f"{run}/{checkpoint}", checks).awaitTermination()
+    return gated.published(spark, f"{run}/out").select("event_id", "event_type", "contact", "props")
+
+
+@query
+def stream_held_batches(spark, folder):
+    """A batch whose notes repeat a contact that is masked elsewhere is held back; the others are published."""
+    leaking = F.when(F.col("event_id") % 4 == 1, F.concat(F.lit("call "), CONTACT)).otherwise(F.lit("none"))
+    _, stream = event_files(spark, folder, note=leaking)
+    run = scratch_dir(spark, "gated")
+    gated.publish_stream(stream, "events", contact_rules({"note": "keep"}), f"{run}/out", f"{run}/progress", hold=True).awaitTermination()
+    return gated.ledger(spark, f"{run}/out").groupBy("status", "reason").agg(F.sum("rows").alias("rows"))
+
+
 @query
 def stream_mask_events(spark, folder):
     """The events as a stream: available files are masked once, in append mode."""
@@ -1044,7 +1136,7 @@ def schema_snapshot(spark, folder):
 @query
 def manifest_rows(spark, folder):
     """The row counts that a published bundle's manifest states."""
-    data = shop(spark, folder, "customer", "documents", "labels")
+    data = shop(spark, folder)
     target = f"{scratch_dir(spark, 'bundle')}/published"
     bundle.write_bundle(spark, data, target, [folder], shop_rulebook())
     manifest = bundle.read_manifest(spark, target)

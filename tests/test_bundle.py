@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from maskloom.functions.secrets import fresh_secret
 from maskloom.operators.leakscan import LeakError
-from maskloom.operators.verify import VerificationError
+from maskloom.operators.verify import Expectation, VerificationError
 from maskloom.plans.rulebook import rulebook_from
 from maskloom.plans.strategies import MaskError
 from maskloom.session import scratch_dir
 from maskloom.sources import tables
+from maskloom.sources import bundle
 from maskloom.sources.bundle import BundleError, read_bundle, read_manifest, row_counts, schema_hash, write_bundle
 from maskloom.sources.snapshot import snapshot
 from maskloom.streaming.stream import mask_available, mask_stream
@@ -154,3 +155,36 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(ValueError, match="share"):
         scratch_dir(Cluster, "x")
+
+
+def test_counts_come_from_the_writing_job(spark, tmp_path, monkeypatch):
+    """No table is read again for its counts and violations; merged over writers, whatever their number."""
+    monkeypatch.setattr(bundle, "row_counts", lambda *_: pytest.fail("a second scan"))
+    data = {f"t{i}": spark.range(10 * i).withColumn("odd", F.col("id") % 2 == 1).repartition(3) for i in range(6)}
+    checks = [Expectation(f"t{i}", "none_odd", F.col("odd"), columns=("odd",)) for i in range(6)]
+    checks += [Expectation("t3", "some_big", at_least_one=F.col("id") > 28, columns=("id",)), Expectation("gone", "optional"), Expectation("gone", "needed", required=True)]
+    manifest = write_bundle(spark, data, f"{tmp_path}/out", checks=checks, enforce=False, writers=4)
+    assert manifest["row_counts"] == {f"t{i}": 10 * i for i in range(6)}
+    assert manifest["violations"] == {**{f"t{i}.none_odd": 5 * i for i in range(6)}, "t3.some_big": 0, "gone.optional": 0, "gone.needed": 1, "*.has_tables": 0}
+    with pytest.raises(VerificationError, match="needed.*none_odd"):
+        write_bundle(spark, data, f"{tmp_path}/other", checks=checks)
+    assert os.listdir(tmp_path) == ["out"]
+    plan = data["t3"].observe("o", F.count(F.lit(1)).alias("rows"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1 and "CollectMetrics" in plan
+
+
+def test_a_failed_write_counts_nothing_twice(spark, tmp_path):
+    """The first attempt fails after some rows; the second one's counts are the only ones."""
+    flag = f"{tmp_path}/tried"
+
+    def once(batches):
+        for batch in batches:
+            if not os.path.exists(flag):
+                open(flag, "w").close()
+                raise RuntimeError("lost")
+            yield batch
+
+    frame = spark.range(40).repartition(4).mapInArrow(once, "id long")
+    found = bundle.write_observed(spark, frame, f"{tmp_path}/t", [F.sum("id").alias("sum")], attempts=3)
+    assert found == {"rows": 40, "sum": 780} and spark.read.parquet(f"{tmp_path}/t").count() == 40
+    assert bundle.merged([found, {"rows": 2}]) == {"rows": 42, "sum": 780}
