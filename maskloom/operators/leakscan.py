@@ -29,6 +29,8 @@ MAX_AUTOMATON_NEEDLES = 200_000
 MAX_AUTOMATON_CHARS = 4_000_000
 
 # Copies of a gram row on the needle side; text rows of one hot gram spread over this many tasks.
+#: Characters of a long needle that are looked for first.
+HEAD = 256
 GRAM_SALT = 16
 
 # Largest number of candidate places sent to every task; more are joined with a shuffle.
@@ -202,8 +204,11 @@ def find_values(
     if small:
         chosen = wanted.where(_class_number().isin(small))
         parts.append(_by_automaton(text_cells, [row["needle"] for row in chosen.collect()]))
-    for number in large:
+    long = [number for number in large if GRAM_CLASSES[number].low >= HEAD]
+    for number in sorted(set(large).difference(long)):
         parts.append(_by_grams(text_cells, wanted.where(_class_number() == number), GRAM_CLASSES[number], sizes[number]["longest"]))
+    if long:
+        parts.append(_by_heads(text_cells, wanted.where(_class_number().isin(long)), {number: sizes[number]["longest"] for number in long}))
     if not parts:
         return spark.createDataFrame([], HITS_DDL)
     return reduce(DataFrame.unionByName, parts)
@@ -326,6 +331,25 @@ def _by_automaton(text_cells: DataFrame, needles: list[str]) -> DataFrame:
     return hits.groupBy("needle", "table", "column").agg(F.sum("cells").alias("cells"))
 
 
+def _by_heads(text_cells: DataFrame, needles: DataFrame, longest: dict[int, int]) -> DataFrame:
+    """:func:`_by_grams` for several classes of long needles, first with their beginnings of one length.
+
+    A needle can only be where its beginning is. In clean data no beginning is found, and the texts are read once
+    for all classes. Where some are, only their needles are looked for, class by class, in the columns that hold them.
+    """
+    begun = needles.select(F.left("needle", F.lit(HEAD)).alias("needle")).distinct()
+    first = next(cls for cls in GRAM_CLASSES if cls.low <= HEAD < cls.high)
+    met = _by_grams(text_cells, begun, first, HEAD).checkpoint()
+    if not met.limit(1).count():
+        return met
+    heads = met.select(F.col("needle").alias("head")).distinct()
+    chosen = needles.join(heads, F.left("needle", F.lit(HEAD)) == F.col("head"), "left_semi").checkpoint()
+    here = text_cells.join(F.broadcast(met.select("table", "column").distinct()), ["table", "column"], "left_semi")
+    present = {row[0] for row in chosen.select(_class_number().alias("class")).distinct().collect()}
+    parts = [_by_grams(here, chosen.where(_class_number() == number), GRAM_CLASSES[number], size) for number, size in longest.items() if number in present]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _by_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass, longest: int) -> DataFrame:
     """Sampled-gram join for a needle set of any size.
 

@@ -170,3 +170,15 @@ def test_gate_finds_leaks_and_checks_itself(spark, monkeypatch):
     monkeypatch.setattr(leakscan, "with_canary", lambda spark, text_cells: text_cells)
     with pytest.raises(LeakError, match="canary"):
         leak_scan(data, needles)
+
+
+@pytest.mark.parametrize("leak", [True, False])
+def test_needles_longer_than_their_heads(spark, leak):
+    """Long needles with a common beginning: only those that are there whole are found."""
+    begin = "".join(f"{i:04d}" for i in range(200))
+    needles = [begin + tail for tail in ("a" * 500, "b" * 900, "c")] + [begin[::-1] + "x" * 700]
+    texts = ["p" * 50 + begin + "a" * 500 + "q", begin + "b" * 899, begin] if leak else ["y" * 3000, begin[5:200], "z"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    wanted = spark.createDataFrame([(n,) for n in needles], "needle string")
+    got = leakscan.find_values(leakscan.cells({"d": frame}), wanted, automaton=False).collect()
+    assert sorted((r.needle, r.cells) for r in got) == ([(needles[0], 1)] if leak else [])
