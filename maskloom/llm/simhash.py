@@ -168,12 +168,8 @@ def links(values: DataFrame, reach: int = DISTANCE, sample: int = SAMPLE, shard:
     return placed.groupBy("shard").applyInPandas(searched, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, reach: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id that links reach).
-
-    Copies share a fingerprint and are linked through it without being paired. Empty and null texts have
-    fingerprint zero. A null id has its fingerprint's component and is never the smallest. Repeated rows stay.
-    """
+def _grouped(docs: DataFrame, reach: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: id, ``fp``, ``component`` (a fingerprint that stands for the group) and ``component_id``."""
     prints = stored(fingerprints(docs, id_col, text_col), "fingerprints")
     values = prints.groupBy("fp").agg(F.min(id_col).alias("first"))
     known = stored(values, "values")
@@ -181,32 +177,44 @@ def near_duplicates(docs: DataFrame, reach: int = DISTANCE, id_col: str = "doc_i
     rooted = known.join(member.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     smallest = rooted.groupBy("component").agg(F.min("first").alias("component_id"))
     # A fingerprint on very many rows is one row on this side; the optimizer splits the other.
-    answer = rooted.join(smallest, "component").select("fp", "component_id")
-    return prints.join(answer, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    answer = rooted.join(smallest, "component").select("fp", "component", "component_id")
+    return prints.join(answer, "fp").select(id_col, "fp", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, reach: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id that links reach).
+
+    Copies share a fingerprint and are linked through it without being paired. Empty and null texts have
+    fingerprint zero. A null id has its fingerprint's component and is never the smallest. Repeated rows stay.
+    """
+    return _grouped(docs, reach, id_col, text_col).select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, reach: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group, with all its columns: that of the smallest id, and one row if the id repeats.
+    """One document of each group, with all its columns: one of the smallest id.
 
-    A document without an id stays only if no document with one is in its group, and then once per fingerprint.
+    An id with several texts may so stay once for each group that it names. A document without an id stays only if
+    none with an id is in its group. Ids that occur once decide by the id alone; for the others, and for
+    those without, the fingerprint is made again, as the id does not tell the texts apart.
     """
-    found = stored(near_duplicates(docs, reach, id_col, text_col), "groups")
-    rest = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct()
-    lone = docs.join(rest, docs[id_col] == rest["gone"], "left_anti").where(F.col(id_col).isNotNull())
-    twice = found.where(F.col(id_col) == F.col("component_id")).groupBy(F.col(id_col).alias("twice")).count().where("count > 1").select("twice")
-    if twice.limit(1).count():
-        repeated = lone.join(twice, lone[id_col] == twice["twice"], "left_semi").dropDuplicates([id_col])
-        lone = lone.join(twice, lone[id_col] == twice["twice"], "left_anti").unionByName(repeated)
-    nameless = found.where(F.col(id_col).isNull() & F.col("component_id").isNull()).select("fingerprint").distinct()
-    if nameless.limit(1).count():
-        name, at = fresh_name(docs, "fingerprint"), docs.columns.index(text_col)
-
-        def with_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                prints = [f"{fingerprint(t.as_py() or b''):016x}" for t in batch.column(at).cast(pa.large_binary())]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints, pa.string())], [*batch.schema.names, name])
-
-        marked = map_batches(docs.where(F.col(id_col).isNull()), with_print, f"{schema_text(docs)}, `{name}` string")
-        chosen = marked.join(nameless, marked[name] == nameless["fingerprint"], "left_semi").dropDuplicates([name])
-        lone = lone.unionByName(chosen.drop(name))
-    return lone
+    found = stored(_grouped(docs, reach, id_col, text_col), "groups")
+    key = F.col(id_col)
+    twice = stored(found.where(key.isNotNull()).groupBy(key.alias("twice")).count().where("count > 1").select("twice"), "repeated-ids")
+    rest = found.where(key != F.col("component_id")).select(key.alias("gone")).unionByName(twice.select(F.col("twice").alias("gone"))).distinct()
+    kept = docs.join(rest, docs[id_col] == rest["gone"], "left_anti").where(key.isNotNull())
+    named = found.where(key == F.col("component_id")).join(twice, key == F.col("twice"), "left_semi")
+    unsure = named.unionByName(found.where(key.isNull() & F.col("component_id").isNull())).select(key.alias("known"), F.col("fp").alias("print"), "component").distinct()
+    if not unsure.limit(1).count():
+        return kept
+    name, group, at = fresh_name(docs, "fingerprint"), fresh_name(docs, "component"), docs.columns.index(text_col)
+
+    def with_print(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = np.array([fingerprint(t.as_py() or b"") for t in batch.column(at).cast(pa.large_binary())], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints.view(np.int64))], [*batch.schema.names, name])
+
+    asked = docs.join(twice, docs[id_col] == twice["twice"], "left_semi").unionByName(docs.where(key.isNull()))
+    marked = map_batches(asked, with_print, f"{schema_text(docs)}, `{name}` bigint")
+    same = marked[id_col].eqNullSafe(unsure["known"]) & (marked[name] == unsure["print"])
+    chosen = marked.join(unsure, same).select(*[marked[c] for c in docs.columns], unsure["component"].alias(group)).dropDuplicates([group])
+    return kept.unionByName(chosen.drop(group))

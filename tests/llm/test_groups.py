@@ -71,7 +71,7 @@ def test_simhash_groups(spark, odd_docs, odd_rows, no_docs):
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
-    assert ordered((i,) for i in ids if i is not None) == ordered((i,) for i in set(least.values()))
+    assert ordered((i,) for i in ids if i is not None) == ordered((i,) for i in least.values())  # one for each group, also where an id names two
     assert simhash.near_duplicates(no_docs).count() == simhash.keep_one(no_docs).count() == 0
 
 
@@ -210,3 +210,13 @@ def test_links_are_never_below_the_threshold(spark, shop_folder):
     for a, b in pairs(flat_graph.links(pts, flat_graph.Settings(), 0.93), "a", "b"):
         x, y = held[a], held[b]
         assert x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= 0.93 - 1e-12
+
+
+def test_one_document_of_every_group_when_ids_repeat(spark):
+    """An id with several texts names several groups; the texts show whether each kept one."""
+    a, b, c = "alpha beta gamma delta epsilon zeta", "one two three four five six seven", "red orange yellow green blue indigo"
+    texts = lambda rows: ordered((r.doc_id, r.text) for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert texts([(5, a), (5, b), (3, b)]) == ordered([(5, a), (3, b)])
+    assert texts([(5, a), (5, c)]) == ordered([(5, a), (5, c)])
+    assert texts([(5, a), (5, a), (5, c), (7, c), (7, b)]) == ordered([(5, a), (5, c), (7, b)])
+    assert texts([(None, a), (None, a), (9, a), (None, c), (None, c)]) == ordered([(9, a), (None, c)])

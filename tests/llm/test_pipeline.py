@@ -39,7 +39,7 @@ def test_each_stage_takes_effect(spark, shop_folder):
 def test_run_is_registered_and_ends_like_its_stages(spark, shop_folder):
     import __spark_entry__
 
-    assert {n.split("_")[0] for n in __spark_entry__.queries() if n.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in __spark_entry__.queries() if n.startswith("op")} == {f"op{n}" for n in range(1, 14)}
     out = __spark_entry__.queries()["pipeline"](spark, shop_folder)
     assert {"doc_id", "text", "ids", "n_tokens", "round_trip"} <= set(out.columns) and 0 < out.count() < 200
 
