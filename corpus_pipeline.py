@@ -39,7 +39,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
     rest = [c for c in docs.columns if c != "doc_id"]
     ids, decoded = fresh_name(docs, "ids"), fresh_name(docs, "decoded")
-    both = byte_bpe.encode(docs, ranks, out=ids, keep=rest, decoded=decoded, cache_limit=200_000)
+    both = byte_bpe.encode(docs, ranks, out=ids, keep=rest, decoded=decoded, cache_bytes=60_000_000)
     same = F.col(decoded) == F.coalesce("text", F.lit("")).cast("binary")
     n_tokens = F.size(ids).cast("bigint").alias(fresh_name(docs, "n_tokens"))
     return both.select("doc_id", *rest, ids, n_tokens, same.alias(fresh_name(docs, "round_trip")))

@@ -34,10 +34,35 @@ def schema_text(frame: DataFrame) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in frame.schema)
 
 
-def map_batches(frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the Python workers."""
+_kept: dict[tuple[str, str], tuple] = {}
+
+
+def kept_for_tasks(owner: str, key: str, make: Callable[[], object], close: Callable[[object], None]):
+    """Something large that an operator's tasks share in their Python worker, made once."""
+    if (owner, key) not in _kept:
+        _kept[owner, key] = (make(), close)
+    return _kept[owner, key][0]
+
+
+def _only_for(owner: str) -> None:
+    """What other operators keep in this worker goes: it may be used for theirs no more."""
+    for name in [k for k in _kept if k[0] != owner]:
+        held, close = _kept.pop(name)
+        close(held)
+
+
+def map_batches(frame: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, owner: str = "") -> DataFrame:
+    """``mapInArrow`` with this package at hand in the Python workers.
+
+    ``owner`` names the operator whose :func:`kept_for_tasks` the function uses.
+    """
     ship_package(frame.sparkSession)
-    return frame.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _only_for(owner)
+        yield from function(batches)
+
+    return frame.mapInArrow(run, schema)
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:

@@ -261,3 +261,58 @@ def test_redaction_keeps_rows_and_columns(spark, no_docs):
     kept = {r.doc_id: r.text for r in out.collect()}
     assert kept[8] == SECRETS[8] and kept[3] is None and kept[4] == "" and kept[6] == "日本 [secret]' end"
     assert secret_ledger.redact(spark, no_docs, scratch_dir(spark, "ledger")).count() == 0
+
+
+def _library(name: str):
+    import base64
+
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(f"{TOKENIZERS}/{name}.tiktoken", "rb"))}
+    return tiktoken.Encoding("own", pat_str=byte_bpe.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_pieces_that_outgrow_the_kept_rounds(monkeypatch):
+    """With a small budget every query has few rounds; long pieces and many middling ones still come out right."""
+    import numpy as np
+
+    draw, name = random.Random(8), "byte_bpe_multi_50k"
+    texts = ["".join(draw.choice("abcdefghiklmnoprstuvwé") for _ in range(n)) for n in (20_000, 3_000, 65, 64)]
+    texts += ["".join(draw.choice("aehnrst") for _ in range(63)) for _ in range(400)] + ["a" * 9_000, "ab" * 700]
+    own, library = byte_bpe.Codec(f"{TOKENIZERS}/{name}.tiktoken"), _library(name)
+    monkeypatch.setattr(byte_bpe, "KEPT_ROWS", 60_000)
+    assert [np.frombuffer(ids, "<i4").tolist() for ids in own.encode(texts)] == [library.encode_ordinary(t) for t in texts]
+
+
+def test_white_space_of_all_kinds_and_a_bounded_cache():
+    import numpy as np
+
+    draw, name = random.Random(9), "byte_bpe_multi_50k"
+    marks = [" ", "  ", "\n", "\n\n", "\t", "\r\n", " ", "　", "\x1c", "\x85", "\0", " \n ", " ", "!", "'s", "\x1f!"]
+    texts = ["".join(draw.choice(["one", "Two", "3", "é", "日本"]) * draw.randint(0, 1) + draw.choice(marks) for _ in range(draw.randint(0, 60))) for _ in range(800)]
+    texts += ["line\r\n" * 500, "a\tb\tc " * 300, " ", "\n", " a", "a ", "\0", "\0 \0a"]
+    own, library = byte_bpe.Codec(f"{TOKENIZERS}/{name}.tiktoken", cache_bytes=40_000), _library(name)
+    for start in range(0, len(texts), 50):
+        part = texts[start : start + 50]
+        assert [np.frombuffer(ids, "<i4").tolist() for ids in own.encode(part)] == [library.encode_ordinary(t) for t in part]
+        assert max(map(len, own.cache)) < 40 and own.held < 40_000 + 50 * 60 * 400
+
+
+def test_the_codec_stays_for_byte_pairs_only(spark):
+    from maskloom.llm.tables import _kept, map_batches
+
+    path = f"{TOKENIZERS}/byte_bpe_multi_50k.tiktoken"
+
+    def held(batches):
+        for batch in batches:
+            yield batch
+
+    docs = spark.createDataFrame([(1, "one two"), (2, "three")], "doc_id long, text string")
+    assert sorted(len(r.ids) > 0 for r in byte_bpe.encode(docs, path).collect()) == [True, True]
+    assert map_batches(docs.select("doc_id"), held, "doc_id long").count() == 2
+    byte_bpe.codec(path)
+    assert ("byte_bpe", path) in _kept
+    from maskloom.llm.tables import _only_for
+
+    _only_for("other")
+    assert not _kept
