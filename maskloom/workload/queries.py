@@ -931,13 +931,14 @@ def manifest_observed(spark, folder):
     return spark.createDataFrame(rows, "table string, rows bigint, cells bigint, violations bigint")
 
 
-CONTACT = F.concat(F.lit("user"), F.lpad(F.col("user_id").cast("string"), 7, "0"), F.lit("@mail.test"))
+def contact() -> Column:
+    return F.concat(F.lit("user"), F.lpad(F.col("user_id").cast("string"), 7, "0"), F.lit("@mail.test"))
 
 
 def event_files(spark, folder, files: int = 4, **columns: Column) -> tuple[str, DataFrame]:
     """The events with a contact, as a folder of files, and that folder as a stream of one file a batch."""
     path = f"{scratch_dir(spark, 'events')}/in"
-    events = table(spark, folder, "events").withColumns({"contact": CONTACT, **columns, "part": F.col("event_id") % files})
+    events = table(spark, folder, "events").withColumns({"contact": contact(), **columns, "part": F.col("event_id") % files})
     events.repartition("part").write.partitionBy("part").parquet(path)
     return path, spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
@@ -962,7 +963,7 @@ def stream_gated_events(spark, folder):
 @query
 def stream_held_batches(spark, folder):
     """A batch whose notes repeat a contact that is masked elsewhere is held back; the others are published."""
-    leaking = F.when(F.col("event_id") % 4 == 1, F.concat(F.lit("call "), CONTACT)).otherwise(F.lit("none"))
+    leaking = F.when(F.col("event_id") % 4 == 1, F.concat(F.lit("call "), contact())).otherwise(F.lit("none"))
     _, stream = event_files(spark, folder, note=leaking)
     run = scratch_dir(spark, "gated")
     gated.publish_stream(stream, "events", contact_rules({"note": "keep"}), f"{run}/out", f"{run}/progress", hold=True).awaitTermination()
