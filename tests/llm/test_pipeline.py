@@ -56,7 +56,7 @@ def test_stages_take_odd_rows_and_clashing_columns(spark, odd_docs, shop_folder,
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_equal_their_sql(spark, shop_folder, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "pages", "embeddings"):
+    for t in ("documents", "benchmark", "labels", "pages", "embeddings", "conversations"):
         con.execute(f"create view {t} as select * from '{shop_folder}/{t}.parquet'")
     columns = [d[0] for d in con.execute(queries.ORACLES[name]).description]
     expected = sorted(con.execute(queries.ORACLES[name]).fetchall(), key=repr)
