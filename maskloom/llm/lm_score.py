@@ -1,8 +1,12 @@
 """Cross-entropy difference: two matched n-gram models, a target's and the background's, over one vocabulary.
 
 Both are interpolated bigram models of the same form over the same words and pairs, told apart by 64-bit hashes. Each
-block of texts sends its distinct hashes once, packed by bucket; a bucket adds them up and answers every block with
-the counts of what it sent. No table of a whole corpus is held anywhere, so the counts grow with the input.
+block of texts sends its distinct hashes once, packed by ranges of hashes; a range adds them up and answers every block
+with the counts of what it sent. No table of a whole corpus is held anywhere, so the counts grow with the input.
+
+A block always cuts its hashes into ``RANGES`` ranges. Where a range would be too large for one task, about ``RANGES``
+blocks are added up first, and what they make together is cut into ``RANGES`` finer ranges, and so on: every level has
+at most two messages for each block and range, whatever the size of the corpus.
 """
 
 from __future__ import annotations
@@ -22,8 +26,10 @@ from maskloom.llm.quality import SPACES
 from maskloom.llm.tables import blocks, map_batches, stored, text_blocks
 
 
-#: Bytes of text a block should have, and bytes of input for which there is one more bucket of hashes.
-BLOCK, BUCKET = 8_000_000, 16_000_000
+#: Bytes of text a block should have, bytes of a part of it that is hashed at once, and bytes of input for a range of hashes.
+BLOCK, PART, BUCKET = 8_000_000, 2_000_000, 8_000_000
+#: Ranges into which one level cuts, and blocks that a level above the last adds up.
+RANGES = 256
 WORD, PAIR = range(2)
 
 
@@ -52,23 +58,37 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), "<i8")
 
 
-def _all_tokens(texts: list[bytes], shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``tokens`` of a whole block, a part at a time."""
-    parts = []
-    for low, high in blocks(np.array([len(t) for t in texts], np.int64), 2_000_000):
+def _parts(texts: list[bytes], shape: Shape) -> Iterator[tuple[int, int, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """(first text, last text, words' keys, pairs' keys, text numbers), a part of the block at a time; keys are spread evenly."""
+    for low, high in blocks(np.array([len(t) for t in texts], np.int64), PART):
         word, pair, row = tokens(texts[low:high], shape)
-        parts.append((word, pair, row + low))
-    return tuple(np.concatenate([np.zeros(0, np.int64), *(p[i] for p in parts)]) for i in range(3))
+        yield low, high, (mixed(word.view(np.uint64)), mixed(pair.view(np.uint64)), row)
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """(different keys in order, their counts): ``parts`` are keys, each once, with rows of counts."""
+    keys = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in parts)])
+    keys.sort()
+    keys = keys[np.diff(keys, prepend=~keys[:1]) != 0]
+    sums = np.zeros((parts[0][1].shape[0] if parts else 1, len(keys)), np.int64)
+    for some, counts in parts:
+        sums[:, np.searchsorted(keys, some)] += counts
+    return keys, sums
+
 
+def _distinct(texts: list[bytes], shape: Shape) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(different keys in order, times) of the block's words and of its pairs."""
+    met: tuple[list, list] = ([], [])
+    for _, _, found in _parts(texts, shape):
+        for kind in (WORD, PAIR):
+            keys, times = np.unique(found[kind], return_counts=True)
+            met[kind].append((keys, times[None]))
+    return [_added(m) for m in met]
 
-def _distinct(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct keys by bucket, place of each key among them, times, bounds of the buckets)."""
-    distinct, at, times = np.unique(keys, return_inverse=True, return_counts=True)
-    bucket = (mixed(distinct.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return distinct[order], place[at], times[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+def _ends(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of the ranges begins among ordered keys, and the end of the last."""
+    return np.searchsorted((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1, dtype=np.uint64))
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
@@ -84,7 +104,7 @@ def _blocks(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            for start, part in text_blocks(batch.column(1)):
+            for start, part in text_blocks(batch.column(1), min(PART, BLOCK)):
                 ids.append(batch.column(0).slice(start, len(part)))
                 texts += part
                 size += sum(map(len, part))
@@ -102,38 +122,84 @@ def _texts(sizes: bytes, texts: bytes) -> list[bytes]:
     return [whole[end - n : end] for end, n in zip(np.cumsum(lengths).tolist(), lengths.tolist())]
 
 
-def _keys(held: DataFrame, shape: Shape, buckets: int, target: bool) -> DataFrame:
-    """(block, target, kind, bucket, keys, counts): the distinct words and pairs of each block."""
+MESSAGE = "owner bigint, kind int, part int, keys binary, counts binary"
+
+
+def _messages(owner: int, kind: int, keys: np.ndarray, sums: np.ndarray, ranges: int) -> dict[str, list]:
+    """The messages of one owner: keys and counts (background, target) cut by ranges."""
+    ends = _ends(keys, ranges)
+    some = np.flatnonzero(np.diff(ends))
+    cut = [slice(ends[i], ends[i + 1]) for i in some]
+    return {"owner": [owner] * len(some), "kind": [kind] * len(some), "part": some, "keys": [keys[c].tobytes() for c in cut], "counts": [_packed(sums[:, c]) for c in cut]}
+
+
+_MESSAGE = pa.schema([("owner", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _keys(held: DataFrame, shape: Shape, target: bool) -> DataFrame:
+    """The messages of each block: its different words and pairs; blocks of the target expect no answer, their owner is negative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, sizes, texts in zip(*(c.to_pylist() for c in batch.columns)):
-                word, pair, _ = _all_tokens(_texts(sizes, texts), shape)
-                for which, values in ((WORD, word), (PAIR, pair)):
-                    keys, _, times, bounds = _distinct(values, buckets)
-                    some = np.flatnonzero(np.diff(bounds))
-                    cut = [(keys[bounds[b] : bounds[b + 1]].tobytes(), _packed(times[bounds[b] : bounds[b + 1]])) for b in some]
-                    n = len(some)
-                    yield pa.RecordBatch.from_arrays([pa.array([number] * n, pa.int64()), pa.array([target] * n, pa.bool_()), pa.array([which] * n, pa.int32()), pa.array(some, pa.int32()), *(pa.array([c[i] for c in cut], pa.binary()) for i in range(2))], ["block", "target", "kind", "bucket", "keys", "counts"])
-
-    return map_batches(held.select("block", "sizes", "texts"), run, "block bigint, target boolean, kind int, bucket int, keys binary, counts binary")
-
-
-def _answered(part: pa.Table) -> pa.Table:
-    """The sums of one bucket: for each block of the background the counts (background, target) of its keys; in a row
-    without a block, how many different keys there are, and both totals."""
-    rows = part.select(["block", "target", "kind", "bucket", "keys", "counts"]).to_pylist()
-    keys, times = [np.frombuffer(r["keys"], "<i8") for r in rows], [_unpacked(r["counts"]) for r in rows]
-    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    sums, places, low = np.zeros((2, len(distinct)), np.int64), [], 0
-    for row, count in zip(rows, times):
-        places.append(at[low : low + len(count)])
-        sums[int(row["target"]), places[-1]] += count  # a block has a key once
-        low += len(count)
-    out = [(r["block"], _packed(sums[:, p])) for r, p in zip(rows, places) if not r["target"]]
-    out.append((None, _packed(np.array([len(distinct), *sums.sum(1)]))))
-    n, first = len(out), rows[0]
-    return pa.table({"block": pa.array([o[0] for o in out], pa.int64()), "kind": pa.array([first["kind"]] * n, pa.int32()), "bucket": pa.array([first["bucket"]] * n, pa.int32()), "counts": pa.array([o[1] for o in out], pa.binary())})
+            for number, sizes, texts in zip(*batch.columns):
+                owner = -1 - number.as_py() if target else number.as_py()
+                for kind, (keys, times) in enumerate(_distinct(_texts(sizes.as_py(), texts.as_py()), shape)):
+                    both = np.zeros((2, len(keys)), np.int64)
+                    both[int(target)] = times[0]
+                    yield pa.RecordBatch.from_pydict(_messages(owner, kind, keys, both, RANGES), _MESSAGE)
+
+    return map_batches(held.select("block", "sizes", "texts"), run, MESSAGE)
+
+
+def _read(part: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(owner, keys, counts) of each message."""
+    for owner, keys, counts in zip(*(part.column(c) for c in ("owner", "keys", "counts"))):
+        yield owner.as_py(), np.frombuffer(keys.as_buffer(), "<u8"), _unpacked(counts.as_py()).reshape(2, -1)
+
+
+ANSWER = "owner bigint, kind int, part int, counts binary"
+_ANSWER = pa.schema([("owner", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
+
+
+def _answers(sent: pa.Table, keys: np.ndarray, sums: np.ndarray) -> dict[str, list]:
+    """To each message of the background the sums of its keys."""
+    found = [(owner, _packed(sums[:, np.searchsorted(keys, some)])) for owner, some, _ in _read(sent) if owner >= 0]
+    first = [sent.column(c)[0].as_py() for c in ("kind", "part")]
+    return {"owner": [o for o, _ in found], "kind": first[:1] * len(found), "part": first[1:] * len(found), "counts": [c for _, c in found]}
+
+
+def _summed(sent: pa.Table) -> pa.Table:
+    """The answers of one range; a row without an owner holds how many different keys there are, and both totals."""
+    keys, sums = _added([(some, counts) for _, some, counts in _read(sent)])
+    out = _answers(sent, keys, sums)
+    for name, value in (("owner", None), ("kind", sent.column("kind")[0].as_py()), ("part", sent.column("part")[0].as_py()), ("counts", _packed(np.array([len(keys), *sums.sum(1)])))):
+        out[name].append(value)
+    return pa.table(out, _ANSWER)
+
+
+def _counted(sent: DataFrame, blocks_sent: int, ranges: int, wanted: int) -> tuple[DataFrame, DataFrame]:
+    """(answers to ``sent``, rows of totals). ``sent`` is cut into ``ranges`` by about ``blocks_sent`` owners; ``wanted`` ranges are enough."""
+    if ranges >= wanted:
+        met = stored(sent.groupBy("kind", "part").applyInArrow(_summed, ANSWER), "counts")
+        return met.where("owner is not null"), met.where("owner is null")
+    sent = stored(sent, "messages")
+    groups, finer = max(1, blocks_sent // RANGES), min(RANGES, -(-wanted // ranges)) * ranges
+    grouped = sent.withColumn("group", F.pmod(F.xxhash64("owner"), F.lit(groups)))
+
+    def together(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        return _added([(some, counts) for _, some, counts in _read(rows)])
+
+    def merged(rows: pa.Table) -> pa.Table:
+        return pa.table(_messages(rows.column("group")[0].as_py(), rows.column("kind")[0].as_py(), *together(rows), finer), _MESSAGE)
+
+    def passed_on(rows: pa.Table, found: pa.Table) -> pa.Table:
+        keys, _ = together(rows)
+        in_order = sorted(zip(found.column("part").to_pylist(), found.column("counts")), key=lambda f: f[0])
+        return pa.table(_answers(rows, keys, np.concatenate([_unpacked(c.as_py()).reshape(2, -1) for _, c in in_order], 1)), _ANSWER)
+
+    found, totals = _counted(grouped.groupBy("kind", "part", "group").applyInArrow(merged, MESSAGE), groups, finer, wanted)
+    above = found.withColumn("above", F.floor(F.col("part") / (finer // ranges)).cast("int"))
+    return grouped.groupBy("kind", "part", "group").cogroup(above.groupBy("kind", "above", "owner")).applyInArrow(passed_on, ANSWER), totals
 
 
 def losses(words: np.ndarray, context: np.ndarray, pairs: np.ndarray, total: int, vocabulary: int, weight: float) -> np.ndarray:
@@ -154,35 +220,40 @@ def score(docs: DataFrame, target: DataFrame, shape: Shape = Shape(), weight: fl
     """
     rows, wanted = docs.select(id_col, text_col), target.select(F.lit(0).alias(id_col), text_col)
     size = sum(frame.agg(F.sum(F.octet_length(text_col))).first()[0] or 0 for frame in (rows, wanted))
-    buckets = max(8, -(-size // BUCKET))
     whole = stored(_blocks(rows), "blocks")
-    keys = _keys(whole, shape, buckets, False).unionByName(_keys(_blocks(wanted), shape, buckets, True))
-    answers = stored(keys.groupBy("kind", "bucket").applyInArrow(_answered, "block bigint, kind int, bucket int, counts binary"), "counts")
+    sent = _keys(whole, shape, False).unionByName(_keys(_blocks(wanted), shape, True))
+    answers, sums = _counted(sent, -(-size // BLOCK), RANGES, -(-size // BUCKET))
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sums = np.sum([np.zeros(3, np.int64), *(_unpacked(c.as_py()) for c in batch.column(0))], 0)
             yield pa.RecordBatch.from_arrays([pa.array([int(x)]) for x in sums], ["words", "background", "target"])
 
-    met = map_batches(answers.where((F.col("kind") == WORD) & F.col("block").isNull()).select("counts"), totals, "words bigint, background bigint, target bigint")
+    met = map_batches(sums.where(F.col("kind") == WORD).select("counts"), totals, "words bigint, background bigint, target bigint")
     words, *total = (x or 0 for x in met.agg(F.sum("words"), F.sum("background"), F.sum("target")).first())
     vocabulary = words if shape.word_bits == 64 else 1 << shape.word_bits
 
     def scored(block: pa.Table, found: pa.Table) -> pa.Table:
         ids, sizes, packed = (block.column(c)[0] for c in ("ids", "sizes", "texts"))
         texts = _texts(sizes.as_py(), packed.as_py())
-        word, pair, at = _all_tokens(texts, shape)
-        parts = sorted(zip(found.column("kind").to_pylist(), found.column("bucket").to_pylist(), found.column("counts").to_pylist()))
-        counts = [np.concatenate([np.zeros((2, 0), np.int64), *(_unpacked(c).reshape(2, -1) for k, _, c in parts if k == kind)], 1) for kind in (WORD, PAIR)]
-        of_word, of_pair = (c[:, _distinct(v, buckets)[1]] for c, v in zip(counts, (word, pair)))
-        context = np.zeros_like(of_word)
-        context[:, 1:] = np.where(at[1:] == at[:-1], of_word[:, :-1], 0)
-        n = np.bincount(at, minlength=len(texts))
-        of_all, of_target = (np.bincount(at, losses(of_word[m], context[m], of_pair[m], total[m], vocabulary, weight), len(texts)) / np.maximum(n, 1) for m in (0, 1))
+        keys = [k for k, _ in _distinct(texts, shape)]
+        answers_of: tuple[list, list] = ([], [])
+        for which, _, counts in sorted(zip(found.column("kind").to_pylist(), found.column("part").to_pylist(), found.column("counts")), key=lambda f: f[:2]):
+            answers_of[which].append(_unpacked(counts.as_py()).reshape(2, -1))
+        counts = [np.concatenate([np.zeros((2, 0), np.int64), *a], 1) for a in answers_of]
+        n, lost = np.zeros(len(texts), np.int64), np.zeros((2, len(texts)))
+        for low, high, (*met, at) in _parts(texts, shape):
+            place = [np.searchsorted(k, m) for k, m in zip(keys, met)]
+            first = np.diff(at, prepend=-1) != 0
+            n[low:high] = np.bincount(at, minlength=high - low)
+            for m in (0, 1):
+                words = counts[WORD][m][place[WORD]]
+                context = np.where(first, 0, np.roll(words, 1))
+                lost[m, low:high] = np.bincount(at, losses(words, context, counts[PAIR][m][place[PAIR]], total[m], vocabulary, weight), high - low)
+        of_all, of_target = lost / np.maximum(n, 1)
         none = n == 0
-        columns = [pa.array(n.astype(np.int64)), *(pa.array(x, mask=none) for x in (of_target, of_all, of_target - of_all))]
+        columns = [pa.array(n), *(pa.array(x, mask=none) for x in (of_target, of_all, of_target - of_all))]
         return pa.table([ids.values, *columns], [id_col, "n_words", "loss_target", "loss_background", "score"])
 
     kind = rows.schema[0].dataType.simpleString()
-    asked = answers.where(F.col("block").isNotNull())
-    return whole.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(scored, f"`{id_col}` {kind}, n_words bigint, loss_target double, loss_background double, score double")
+    return whole.groupBy("block").cogroup(answers.groupBy("owner")).applyInArrow(scored, f"`{id_col}` {kind}, n_words bigint, loss_target double, loss_background double, score double")

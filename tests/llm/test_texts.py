@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -120,27 +121,33 @@ def test_dual_descent_meets_its_conditions():
     assert (margin > 0).mean() > 0.9
 
 
-def test_losses_follow_a_plain_model(spark, odd_docs, odd_rows, no_docs):
+@pytest.mark.parametrize("shape, block, bucket, ranges", [((12, 14), 8_000_000, 8_000_000, 256), ((64, 64), 8_000_000, 8_000_000, 256), ((64, 64), 2_000, 1_000, 4)])
+def test_losses_follow_a_plain_model(spark, monkeypatch, odd_docs, odd_rows, no_docs, shape, block, bucket, ranges):
+    """The last case adds up on four levels, with many blocks to a group."""
+    for name, value in (("BLOCK", block), ("BUCKET", bucket), ("RANGES", ranges)):
+        monkeypatch.setattr(lm_score, name, value)
     chosen = [t for i, t in odd_rows if i is not None and i < 40]
     target = spark.createDataFrame([(t, "q") for t in [*chosen, None, ""]], "text string, doc_id string")
-    shape, weight = lm_score.Shape(12, 14), 8.0
+    shape, weight = lm_score.Shape(*shape), 8.0
     got = {}
     for r in lm_score.score(odd_docs, target, shape, weight).collect():
         got.setdefault(r.doc_id, []).append((r.n_words, r.loss_target, r.loss_background, r.score))
+    assert sum(map(len, got.values())) == len(odd_rows)
     models = []
     for rows in (chosen, [t for _, t in odd_rows]):
-        words, couples = np.zeros(1 << 12), np.zeros(1 << 14)
+        words, couples = Counter(), Counter()
         for text in rows:
             word, pair, _ = lm_score.tokens([(text or "").encode()], shape)
-            np.add.at(words, word, 1)
-            np.add.at(couples, pair, 1)
+            words.update(word.tolist())
+            couples.update(pair.tolist())
         models.append((words, couples))
+    vocabulary = len(models[0][0] | models[1][0]) if shape.word_bits == 64 else 1 << shape.word_bits
 
     def loss(text, words, couples):
-        word, pair, _ = lm_score.tokens([text.encode()], shape)
+        word, pair, _ = (x.tolist() for x in lm_score.tokens([text.encode()], shape))
         total = 0.0
         for at, (w, p) in enumerate(zip(word, pair)):
-            chance, context = (words[w] + 0.5) / (words.sum() + 0.5 * len(words)), words[word[at - 1]] if at else 0
+            chance, context = (words[w] + 0.5) / (words.total() + 0.5 * vocabulary), words[word[at - 1]] if at else 0
             seen = min(couples[p], max(context, 1)) if context else 0
             total -= np.log2((seen + weight * chance) / (context + weight))
         return total / len(word)
@@ -150,9 +157,22 @@ def test_losses_follow_a_plain_model(spark, odd_docs, odd_rows, no_docs):
             assert all(n == 0 and s is None for n, _, _, s in got[doc_id] if n == 0)
             continue
         a, b = (loss(text, *m) for m in models)
-        assert any(abs(x - a) < 1e-4 and abs(y - b) < 1e-4 and abs(z - (a - b)) < 1e-4 for n, x, y, z in got[doc_id] if n), doc_id
-    assert lm_score.score(no_docs, target, shape).count() == 0
-    assert lm_score.score(odd_docs, target.limit(0), shape).count() == len(odd_rows)
+        assert any(abs(x - a) < 1e-9 and abs(y - b) < 1e-9 and abs(z - (a - b)) < 1e-9 for n, x, y, z in got[doc_id] if n), doc_id
+    if ranges == 256:
+        assert lm_score.score(no_docs, target, shape).count() == 0
+        assert lm_score.score(odd_docs, target.limit(0), shape).count() == len(odd_rows)
+
+
+def test_messages_grow_with_the_blocks(spark, monkeypatch):
+    """Each block has at most two messages a range, however many blocks there are."""
+    monkeypatch.setattr(lm_score, "BLOCK", 20_000)
+    monkeypatch.setattr(lm_score, "RANGES", 8)
+    sizes = {}
+    for count in (100, 400):
+        docs = spark.range(count, numPartitions=2).selectExpr("id", "array_join(transform(sequence(0, 499), x -> concat('w', id * 500 + x)), ' ') text")
+        held = lm_score._blocks(docs).cache()
+        sizes[count] = held.count(), lm_score._keys(held, lm_score.Shape(), False).count()
+    assert all(rows == held * 2 * 8 for held, rows in sizes.values()) and sizes[400][0] >= 3.5 * sizes[100][0]
 
 
 def test_different_words_never_share_a_count(spark, monkeypatch):
