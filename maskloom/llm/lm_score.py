@@ -51,11 +51,13 @@ def tokens(texts: list[bytes], shape: Shape) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _packed(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.astype("<i8").tobytes(), 1)
+    """Whole numbers from 0 up, in the width that the largest needs."""
+    width = np.min_scalar_type(int(counts.max(initial=0))).itemsize
+    return bytes([width]) + zlib.compress(counts.astype(f"<u{width}").tobytes(), 1)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), "<i8")
+    return np.frombuffer(zlib.decompress(memoryview(data)[1:]), f"<u{data[0]}").astype(np.int64)
 
 
 def _parts(texts: list[bytes], shape: Shape) -> Iterator[tuple[int, int, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
@@ -151,10 +153,17 @@ def _keys(held: DataFrame, shape: Shape, target: bool) -> DataFrame:
     return map_batches(held.select("block", "sizes", "texts"), run, MESSAGE)
 
 
-def _read(part: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(owner, keys, counts) of each message."""
-    for owner, keys, counts in zip(*(part.column(c) for c in ("owner", "keys", "counts"))):
-        yield owner.as_py(), np.frombuffer(keys.as_buffer(), "<u8"), _unpacked(counts.as_py()).reshape(2, -1)
+def _read(part: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(keys, counts) of each message."""
+    return [(np.frombuffer(k.as_buffer(), "<u8"), _unpacked(c.as_py()).reshape(2, -1)) for k, c in zip(part.column("keys"), part.column("counts"))]
+
+
+def _places(keys: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where each of ``asked`` stands among ordered keys, looked up in order, which is what caches like."""
+    order = np.argsort(asked)
+    places = np.empty(len(asked), np.int64)
+    places[order] = np.searchsorted(keys, asked[order])
+    return places
 
 
 ANSWER = "owner bigint, kind int, part int, counts binary"
@@ -163,14 +172,15 @@ _ANSWER = pa.schema([("owner", pa.int64()), ("kind", pa.int32()), ("part", pa.in
 
 def _answers(sent: pa.Table, keys: np.ndarray, sums: np.ndarray) -> dict[str, list]:
     """To each message of the background the sums of its keys."""
-    found = [(owner, _packed(sums[:, np.searchsorted(keys, some)])) for owner, some, _ in _read(sent) if owner >= 0]
+    asked = ((o.as_py(), np.frombuffer(k.as_buffer(), "<u8")) for o, k in zip(sent.column("owner"), sent.column("keys")))
+    found = [(owner, _packed(sums[:, np.searchsorted(keys, some)])) for owner, some in asked if owner >= 0]
     first = [sent.column(c)[0].as_py() for c in ("kind", "part")]
     return {"owner": [o for o, _ in found], "kind": first[:1] * len(found), "part": first[1:] * len(found), "counts": [c for _, c in found]}
 
 
 def _summed(sent: pa.Table) -> pa.Table:
     """The answers of one range; a row without an owner holds how many different keys there are, and both totals."""
-    keys, sums = _added([(some, counts) for _, some, counts in _read(sent)])
+    keys, sums = _added(_read(sent))
     out = _answers(sent, keys, sums)
     for name, value in (("owner", None), ("kind", sent.column("kind")[0].as_py()), ("part", sent.column("part")[0].as_py()), ("counts", _packed(np.array([len(keys), *sums.sum(1)])))):
         out[name].append(value)
@@ -187,7 +197,7 @@ def _counted(sent: DataFrame, blocks_sent: int, ranges: int, wanted: int) -> tup
     grouped = sent.withColumn("group", F.pmod(F.xxhash64("owner"), F.lit(groups)))
 
     def together(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        return _added([(some, counts) for _, some, counts in _read(rows)])
+        return _added(_read(rows))
 
     def merged(rows: pa.Table) -> pa.Table:
         return pa.table(_messages(rows.column("group")[0].as_py(), rows.column("kind")[0].as_py(), *together(rows), finer), _MESSAGE)
@@ -221,7 +231,8 @@ def score(docs: DataFrame, target: DataFrame, shape: Shape = Shape(), weight: fl
     rows, wanted = docs.select(id_col, text_col), target.select(F.lit(0).alias(id_col), text_col)
     size = sum(frame.agg(F.sum(F.octet_length(text_col))).first()[0] or 0 for frame in (rows, wanted))
     whole = stored(_blocks(rows), "blocks")
-    sent = _keys(whole, shape, False).unionByName(_keys(_blocks(wanted), shape, True))
+    # Stored as well: a task with two Python functions in a row would need two workers at once.
+    sent = _keys(whole, shape, False).unionByName(_keys(stored(_blocks(wanted), "target"), shape, True))
     answers, sums = _counted(sent, -(-size // BLOCK), RANGES, -(-size // BUCKET))
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +254,7 @@ def score(docs: DataFrame, target: DataFrame, shape: Shape = Shape(), weight: fl
         counts = [np.concatenate([np.zeros((2, 0), np.int64), *a], 1) for a in answers_of]
         n, lost = np.zeros(len(texts), np.int64), np.zeros((2, len(texts)))
         for low, high, (*met, at) in _parts(texts, shape):
-            place = [np.searchsorted(k, m) for k, m in zip(keys, met)]
+            place = [_places(k, m) for k, m in zip(keys, met)]
             first = np.diff(at, prepend=-1) != 0
             n[low:high] = np.bincount(at, minlength=high - low)
             for m in (0, 1):
