@@ -3,13 +3,15 @@
 Tables on Spark carry no foreign keys. One pass finds every inclusion: each distinct value gets a
 bit mask of the columns it occurs in, and a column's possible parents are the bits left when the
 masks of all its values are and-ed. Work is linear in the distinct values per column; pairs of
-columns are written out only where the inclusion holds.
+columns are written out only where the inclusion holds. References of several columns are searched
+level by level: only tuples whose parts are all included, in parents that are not unique yet, are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +49,6 @@ def infer_references(
 def _inclusions(dataset: Mapping[str, DataFrame], chosen: Sequence[tuple[str, str]]) -> DataFrame:
     """:func:`infer_references` for columns of one type family."""
     spark = dataset[chosen[0][0]].sparkSession
-    words = range(-(-len(chosen) // WORD))
     number = {attribute: i for i, attribute in enumerate(chosen)}
     by_table: dict[str, list[str]] = {}
     for table, column in chosen:
@@ -56,18 +57,7 @@ def _inclusions(dataset: Mapping[str, DataFrame], chosen: Sequence[tuple[str, st
     counted = reduce(
         DataFrame.unionByName, [_value_counts(table, dataset[table], names, number) for table, names in by_table.items()]
     )
-    values = counted.groupBy("value").agg(
-        *[F.bit_or(_bits(F.col("id"), w)).alias(f"in{w}") for w in words],
-        *[F.bit_or(F.when(F.col("n") > 1, _bits(F.col("id"), w)).otherwise(F.lit(0))).alias(f"rep{w}") for w in words],
-    )
-    masks = [f"{kind}{w}" for kind in ("in", "rep") for w in words]
-    # few distinct column sets remain, whatever the number of values
-    sets = values.groupBy(*masks).agg(F.count(F.lit(1)).alias("n"))
-    children = sets.select("*", F.explode(_ids(len(chosen), "in")).alias("child")).groupBy("child").agg(
-        F.sum("n").alias("child_values"),
-        *[F.bit_and(f"in{w}").alias(f"in{w}") for w in words],
-        F.max(_has_bit(F.col("child"), "rep", words)).alias("repeats"),
-    )
+    children = _included(counted, len(chosen))
     names = spark.createDataFrame([(i, t, c) for (t, c), i in number.items()], "id int, table string, column string")
     pairs = children.select("child", "child_values", F.explode(_ids(len(chosen), "in")).alias("parent")).where(
         F.col("child") != F.col("parent")
@@ -83,6 +73,100 @@ def _inclusions(dataset: Mapping[str, DataFrame], chosen: Sequence[tuple[str, st
     )
 
 
+def _included(counted: DataFrame, count: int) -> DataFrame:
+    """``child, child_values, in…, repeats`` from ``id, value, n``: the bits left are the columns that hold all of the child's values."""
+    words = range(-(-count // WORD))
+    values = counted.groupBy("value").agg(
+        *[F.bit_or(_bits(F.col("id"), w)).alias(f"in{w}") for w in words],
+        *[F.bit_or(F.when(F.col("n") > 1, _bits(F.col("id"), w)).otherwise(F.lit(0))).alias(f"rep{w}") for w in words],
+    )
+    masks = [f"{kind}{w}" for kind in ("in", "rep") for w in words]
+    # few distinct column sets remain, whatever the number of values
+    sets = values.groupBy(*masks).agg(F.count(F.lit(1)).alias("n"))
+    return sets.select("*", F.explode(_ids(count, "in")).alias("child")).groupBy("child").agg(
+        F.sum("n").alias("child_values"),
+        *[F.bit_and(f"in{w}").alias(f"in{w}") for w in words],
+        F.max(_has_bit(F.col("child"), "rep", words)).alias("repeats"),
+    )
+
+
+#: A table and some of its columns, in order.
+Columns = tuple[str, tuple[str, ...]]
+
+
+def infer_composite_references(
+    dataset: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]] | None = None, arity: int = 3
+) -> DataFrame:
+    """``child_table, child_columns, parent_table, parent_columns, child_values`` for references of 2 to ``arity`` columns.
+
+    Child columns are in the order of ``columns``, parent columns as they correspond. A reference is reported when
+    all tuples of the child without a null occur in the parent, the same holds for every part of it, and the parent's
+    columns are unique together and no part of them is. ``child_values`` counts the child's different tuples. Numbers
+    are compared with numbers and text with text; a column never refers to itself. Each level reads every table once
+    for all its candidates; what the driver keeps is names of columns.
+    """
+    chosen = list(columns if columns is not None else key_like_columns(dataset))
+    spark = next(iter(dataset.values())).sparkSession
+    place = {column: i for i, column in enumerate(chosen)}
+    found, open_ends = [], _held(dataset, [(t, (c,)) for t, c in chosen])
+    for _ in range(2, arity + 1):
+        candidates = _grown({pair for pair, (_, unique) in open_ends.items() if not unique}, place)
+        if not candidates:
+            break
+        held = _held(dataset, sorted({side for pair in candidates for side in pair}))
+        open_ends = {pair: held[pair] for pair in candidates if pair in held}
+        found += [(ct, list(cc), pt, list(pc), n) for ((ct, cc), (pt, pc)), (n, unique) in open_ends.items() if unique]
+    return spark.createDataFrame(
+        found, "child_table string, child_columns array<string>, parent_table string, parent_columns array<string>, child_values bigint"
+    )
+
+
+def _grown(held: set[tuple[Columns, Columns]], place: Mapping[tuple[str, str], int]) -> set[tuple[Columns, Columns]]:
+    """Inclusions of one column more, all of whose parts are ``held``."""
+    by_start: dict[tuple, list[tuple[str, str]]] = {}
+    for (child, cc), (parent, pc) in held:
+        by_start.setdefault((child, cc[:-1], parent, pc[:-1]), []).append((cc[-1], pc[-1]))
+    out = set()
+    for (child, cc, parent, pc), ends in by_start.items():
+        for one, other in combinations(sorted(ends, key=lambda e: place[child, e[0]]), 2):
+            if one[0] == other[0] or one[1] == other[1]:
+                continue
+            c, p = (*cc, one[0], other[0]), (*pc, one[1], other[1])
+            parts = combinations(range(len(c)), len(c) - 1)
+            if all(((child, tuple(c[i] for i in part)), (parent, tuple(p[i] for i in part))) in held for part in parts):
+                out.add(((child, c), (parent, p)))
+    return out
+
+
+def _held(dataset: Mapping[str, DataFrame], sides: Sequence[Columns]) -> dict[tuple[Columns, Columns], tuple[int, bool]]:
+    """The inclusions among ``sides``, with the child's different tuples and whether the parent is unique."""
+    by_table: dict[str, list[int]] = {}
+    for i, (table, _) in enumerate(sides):
+        by_table.setdefault(table, []).append(i)
+
+    def told(frame: DataFrame, column: str) -> Column:
+        """A value that no other list of values, and no number as text, can be mistaken for."""
+        text = isinstance(frame.schema[column].dataType, T.StringType)
+        value = F.col(f"`{column}`") if text else F.col(f"`{column}`").cast("bigint").cast("string")
+        return F.concat(F.lit("t" if text else "n"), F.octet_length(value).cast("string"), F.lit(":"), value)
+
+    def tuples(table: str, numbers: Sequence[int]) -> DataFrame:
+        frame = dataset[table]
+        entries = [F.struct(F.lit(i).alias("id"), F.md5(F.concat(*[told(frame, c) for c in sides[i][1]])).alias("value")) for i in numbers]
+        rows = frame.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+        return rows.groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    counted = reduce(DataFrame.unionByName, [tuples(t, numbers) for t, numbers in by_table.items()])
+    children = _included(counted, len(sides)).select("child", "child_values", "repeats", _ids(len(sides), "in").alias("parents")).collect()
+    unique = {row.child: not row.repeats for row in children}
+    return {
+        (sides[row.child], sides[parent]): (row.child_values, unique[parent])
+        for row in children
+        for parent in row.parents
+        if all((sides[row.child][0], c) != (sides[parent][0], p) for c, p in zip(sides[row.child][1], sides[parent][1]))
+    }
+
+
 def _bits(identifier: Column, word: int) -> Column:
     """The bit of a column number within one word of the mask, 0 in all other words."""
     inside = F.floor(identifier / WORD) == word

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import combinations, permutations
+
 from maskloom.functions import words
 from maskloom.functions.words import FILLER
 from maskloom.operators.leakscan import CANARY
-from maskloom.workload.rules import SALT, TABLES, shop_rulebook
+from maskloom.workload.rules import COMPOSITE_COLUMNS, SALT, TABLES, shop_rulebook
 
 ORACLES: dict[str, str] = {}
 
@@ -533,6 +535,39 @@ ORACLES["infer_references"] = " UNION ALL ".join(
     inclusions([(t, c) for t, c, is_text, _ in COLUMNS if is_text == text and c not in FRACTIONS]) for text in (False, True)
 )
 
+
+
+def composite_inclusions() -> str:
+    """Every ordered tuple of up to three columns against every other of its size, and then the conditions on parts."""
+    columns: dict[str, list[str]] = {}
+    for name, column in COMPOSITE_COLUMNS:
+        columns.setdefault(name, []).append(column)
+    values = " UNION ALL ".join(
+        f"SELECT '{t}' AS t, {list(some)} AS c, {some == tuple(c for c in listed if c in some)} AS ordered, concat_ws(',', {', '.join(some)}) AS v, count(*) AS n FROM {t} "
+        f"WHERE {' AND '.join(f'{c} IS NOT NULL' for c in some)} GROUP BY ALL"
+        for t, listed in columns.items()
+        for size in (1, 2, 3)
+        for some in permutations(listed, size)
+    )
+    parts = {size: [list(p) for k in range(1, size) for p in combinations(range(1, size + 1), k)] for size in (2, 3)}
+    wanted = " UNION ALL ".join(f"SELECT {size} AS size, unnest({p}) AS part" for size, p in parts.items())
+    return (
+        "WITH lots AS (SELECT DISTINCT l_partkey AS lot_part, l_suppkey AS lot_supplier FROM lineitem), "
+        "numbered_lots AS (SELECT DISTINCT l_suppkey AS numbered_supplier, l_partkey AS numbered_part, l_linenumber AS number FROM lineitem), "
+        f"v AS MATERIALIZED ({values}), s AS MATERIALIZED (SELECT t, c, count(*) AS d, max(n) AS most FROM v GROUP BY t, c), "
+        "i AS MATERIALIZED (SELECT a.t AS ct, a.c AS cc, b.t AS pt, b.c AS pc, s.d, p.most FROM v a JOIN v b ON a.v = b.v AND len(a.c) = len(b.c) "
+        "JOIN s ON s.t = a.t AND s.c = a.c JOIN s p ON p.t = b.t AND p.c = b.c WHERE a.ordered "
+        "GROUP BY ALL HAVING count(*) = s.d AND (ct <> pt OR len([x for x in list_zip(cc, pc) if x[1] = x[2]]) = 0)), "
+        f"w AS ({wanted}), "
+        "parts AS (SELECT i.*, [cc[x] for x in w.part] AS some_c, [pc[x] for x in w.part] AS some_p, count(*) OVER (PARTITION BY ct, cc, pt, pc) AS many FROM i JOIN w ON w.size = len(cc) WHERE i.most = 1) "
+        "SELECT parts.ct AS child_table, array_to_string(parts.cc, ',') AS child_columns, parts.pt AS parent_table, array_to_string(parts.pc, ',') AS parent_columns, parts.d AS child_values "
+        "FROM parts JOIN i j ON j.ct = parts.ct AND j.pt = parts.pt AND j.cc = parts.some_c AND j.pc = parts.some_p AND j.most > 1 "
+        "GROUP BY parts.ct, parts.cc, parts.pt, parts.pc, parts.d, parts.many HAVING count(*) = parts.many"
+    )
+
+
+ORACLES["infer_composite_references"] = composite_inclusions()
+
 # --- verification -----------------------------------------------------------------------------
 
 ORACLES["expectations"] = (

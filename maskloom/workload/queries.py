@@ -20,7 +20,7 @@ from maskloom.sources import bundle, tables
 from maskloom.sources.snapshot import snapshot
 from maskloom.streaming import gated
 from maskloom.streaming.stream import mask_available
-from maskloom.workload.rules import STRATEGIES, TABLES, shop_rulebook
+from maskloom.workload.rules import COMPOSITE_COLUMNS, STRATEGIES, TABLES, shop_rulebook
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -701,6 +701,21 @@ def infer_references(spark, folder):
     return references.infer_references(shop(spark, folder))
 
 
+@query
+def infer_composite_references(spark, folder):
+    """Order lines refer to the lots they come from by two columns, and to the numbered lots by three."""
+    lines = shop(spark, folder, "lineitem")["lineitem"]
+    data = {
+        "lineitem": lines,
+        "lots": lines.select(F.col("l_partkey").alias("lot_part"), F.col("l_suppkey").alias("lot_supplier")).distinct(),
+        "numbered_lots": lines.select(
+            F.col("l_suppkey").alias("numbered_supplier"), F.col("l_partkey").alias("numbered_part"), F.col("l_linenumber").alias("number")
+        ).distinct(),
+    }
+    found = references.infer_composite_references(data, COMPOSITE_COLUMNS)
+    return found.withColumns({c: F.array_join(c, ",") for c in ("child_columns", "parent_columns")})
+
+
 # --- verification -----------------------------------------------------------------------------
 
 

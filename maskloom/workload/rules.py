@@ -93,6 +93,14 @@ POLICIES = {
 }
 
 
+#: Where references of several columns are looked for.
+COMPOSITE_COLUMNS = [
+    *[("lineitem", c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")],
+    *[("lots", c) for c in ("lot_part", "lot_supplier")],
+    *[("numbered_lots", c) for c in ("numbered_supplier", "numbered_part", "number")],
+]
+
+
 def shop_rulebook() -> Rulebook:
     book = rulebook_from(
         {"00_strategies": STRATEGIES, "05_patterns": PATTERNS, "10_shop": SHOP, "50_policies": POLICIES}

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations, permutations, product
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +94,47 @@ def test_inventory(spark):
     assert [r["path"] for r in inventory.ordered_distinct(paths, "path", "ordinal").collect()] == ["/z", "/y"]
 
 
+def test_composite_references_equal_brute_force(spark):
+    rng = random.Random(5)
+    keys = [(a, f"k{b}", c) for a in range(6) for b in range(5) for c in range(4)]
+    rng.shuffle(keys)
+    twos = sorted({k[:2] for k in keys})
+    rows = {
+        "three": [(*k, "1:t1") for k in keys],
+        "two": [(*k, None, None) for k in twos],
+        "child": [(*rng.choice(keys), rng.choice(["k1", "k2", None])) for _ in range(80)] + [(None, "k0", 1, "k1"), (99, "k0", 2, None), (1, None, None, "k4")] + [(*keys[0], "k3")] * 60,
+        "inside": [(*rng.choice(keys), "k1") for _ in range(50)] + [(None, "k0", 1, "k1"), (1, None, None, "k4")],
+        "none": [(None, None, None, None)] * 2,
+    }
+    columns = ["a", "b", "c", "d"]
+    data = {t: spark.createDataFrame(r, "a bigint, b string, c int, d string") for t, r in rows.items()}
+    kind = {"a": 0, "b": 1, "c": 0, "d": 1}
+
+    def tuples(table, some):
+        found = [tuple(row[columns.index(c)] for c in some) for row in rows[table]]
+        return [f for f in found if None not in f]
+
+    def holds(ct, cc, pt, pc):
+        child = set(tuples(ct, cc))
+        return bool(child) and child <= set(tuples(pt, pc)) and all((ct, c) != (pt, p) and kind[c] == kind[p] for c, p in zip(cc, pc))
+
+    def unique(table, some):
+        return len(tuples(table, some)) == len(set(tuples(table, some)))
+
+    want = set()
+    for size in (2, 3):
+        parts = [p for k in range(1, size) for p in combinations(range(size), k)]
+        pick = lambda some, part: [some[i] for i in part]
+        for ct, pt in product(rows, rows):
+            for cc, pc in product(combinations(columns, size), permutations(columns, size)):
+                if holds(ct, cc, pt, pc) and unique(pt, pc) and all(holds(ct, pick(cc, p), pt, pick(pc, p)) and not unique(pt, pick(pc, p)) for p in parts):
+                    want.add((ct, cc, pt, pc, len(set(tuples(ct, cc)))))
+    got = references.infer_composite_references(data)
+    assert {(r[0], tuple(r[1]), r[2], tuple(r[3]), r[4]) for r in got.collect()} == want
+    assert {len(w[1]) for w in want} == {2, 3} and ("inside", ("a", "b"), "two", ("a", "b")) in {w[:4] for w in want}
+    assert references.infer_composite_references({"none": data["none"]}).count() == 0
+
+
 def test_inferred_references_equal_brute_force(spark):
     rng = random.Random(3)
     columns = {
