@@ -6,6 +6,7 @@ its number of pieces from place to place.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -18,7 +19,8 @@ from maskloom.llm.tables import blocks, map_batches
 MARK = "▁"
 #: Fixed value: what an unknown character scores below the lowest piece.
 UNKNOWN_PENALTY = 10.0
-CACHE_LIMIT = 600_000
+#: Words that a worker remembers, and the length of the longest of them.
+CACHE_LIMIT, CACHED_LENGTH = 600_000, 64
 
 
 class PieceCounter:
@@ -26,7 +28,8 @@ class PieceCounter:
 
     At each place the highest sum wins, and of equal ones the one whose last piece is longest. A character that is
     no piece by itself may also be passed at ``UNKNOWN_PENALTY`` below the lowest score; it then counts as its bytes.
-    Words are independent, as no piece crosses a mark: the scores need no text around them.
+    A word is a run of marks with the letters after it. Words are independent, as no piece has a mark after a
+    letter, which is verified here: the scores need no text around them. Pieces of several marks are used like others.
     """
 
     def __init__(self, vocabulary: Sequence[tuple[str, float]]):
@@ -34,6 +37,8 @@ class PieceCounter:
 
         self.matches = ahocorasick.Automaton()
         for piece, score in vocabulary:
+            if MARK in piece.lstrip(MARK):
+                raise ValueError(f"piece {piece!r} has a mark after a letter, so texts can't be cut into words")
             if piece:
                 self.matches.add_word(piece, (len(piece), score))
         self.matches.make_automaton()
@@ -64,23 +69,30 @@ class PieceCounter:
     def text(self, text: str) -> int:
         if not text:
             return 0
-        words = text.replace(MARK, " ").split(" ")
-        if not words[0]:
-            words = words[1:]
+        text = text.replace(" ", MARK)
+        if text[0] != MARK:
+            text = MARK + text
+        if MARK + MARK in text:
+            words = re.findall(f"{MARK}+[^{MARK}]*", text)
+        else:
+            words = [MARK + word for word in text[1:].split(MARK)]
         if len(self.known) > CACHE_LIMIT:
             self.known.clear()
-        known = self.known
+        known, long = self.known, {}
         for word in set(words).difference(known):
-            known[word] = self.word(MARK + word)
+            (known if len(word) <= CACHED_LENGTH else long)[word] = self.word(word)
+        if long:
+            return sum(long[word] if word in long else known[word] for word in words)
         return sum(map(known.__getitem__, words))
 
 
 def vocabulary_of(path: str) -> list[tuple[str, float]]:
-    """Pieces and scores of a SentencePiece file."""
+    """Pieces and scores of a SentencePiece file; control, unknown and byte pieces are left out, as no text spells them."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
+    unspelt = (model.is_control, model.is_unknown, model.is_byte, model.is_unused)
+    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size()) if not any(of(i) for of in unspelt)]
 
 
 _loaded: dict[str, PieceCounter] = {}

@@ -193,15 +193,25 @@ def test_piece_counts_equal_the_library(spark, odd_docs, odd_rows, no_docs):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
     file, draw = f"{TOKENIZERS}/piece_bpe_32k.model", random.Random(2)
-    library = Tokenizer(models.Unigram(piece_counts.vocabulary_of(file), unk_id=0, byte_fallback=True))
-    library.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
-    expected = ordered((i, len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in odd_rows)
-    assert pairs(piece_counts.count_pieces(odd_docs, file), "doc_id", "n_tokens") == expected
+    # The library needs an unknown piece and the bytes' pieces; they have names here that no text has.
+    unspelt = [("\ue000", 0.0)] + [(f"<0x{i:02X}>", -1e9) for i in range(256)]
+    library = Tokenizer(models.Unigram(unspelt + piece_counts.vocabulary_of(file), unk_id=0, byte_fallback=True))
+    library.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)
+    count = lambda text: len(library.encode(text, add_special_tokens=False).ids)
+    short = [(i, t) for i, t in odd_rows if len(t or "") < 10_000]
+    got = pairs(piece_counts.count_pieces(odd_docs, file), "doc_id", "n_tokens")
+    assert len(got) == len(odd_rows) and set(got) >= {(i, count(t or "")) for i, t in short}
     counter = piece_counts.counter_of(file)
     for _ in range(2_000):
-        text = "".join(draw.choice("ab \n☃é日<0x41>▁s") for _ in range(draw.randint(0, 30)))
-        assert counter.text(text) == len(library.encode(text, add_special_tokens=False).ids), text
+        text = "".join(draw.choice(["a", "b", " ", "   ", "\n", "☃", "é", "日", "▁", "s", "</", "the"]) for _ in range(draw.randint(0, 30)))
+        assert counter.text(text) == count(text), text
+    assert counter.text("a" + " " * 16 + "b") == count("a" + " " * 16 + "b") < 6
+    # Control pieces are no pieces of a text: their letters are counted.
+    assert counter.text("a<s>b") == count("a<s>b") > 3 and counter.text("<0x41>") > 3
+    assert all(len(word) <= piece_counts.CACHED_LENGTH for word in counter.known)
     assert piece_counts.count_pieces(no_docs, file).count() == 0
+    with pytest.raises(ValueError, match="mark after a letter"):
+        piece_counts.PieceCounter([("a▁b", -1.0)])
 
 
 def test_equal_scores_take_the_longest_last_piece():
