@@ -72,11 +72,13 @@ def scan(spark: SparkSession, docs: DataFrame, ledger: str, rules: Sequence[Secr
 
     ``ledger`` is a folder that all machines reach; new rows are appended to it, and a second call with the same
     texts and rules scans nothing. A retried or repeated append only repeats rows, which are read as a set. Null
-    text counts as empty. Null ids and repeated rows stay. Spans are code points, the end exclusive.
+    text counts as empty. Null ids and repeated rows stay. Spans are code points, the end exclusive. Which document
+    had which text is kept beside the ledger, for :func:`history`.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("blob", F.sha2("text", 256))
     paths = stored(rows.select("id", "blob"), "blob-paths")
     versions = [r.version for r in rules]
+    _remember(spark, paths, ledger)
     known = _ledger(spark, ledger)
     done = known.select("blob", F.explode("scanned").alias("v")).groupBy("blob").agg(F.collect_set("v").alias("done"))
     # The document that stands for a blob: keyed by both, so that copies of one text spread over the tasks.
@@ -87,20 +89,55 @@ def scan(spark: SparkSession, docs: DataFrame, ledger: str, rules: Sequence[Secr
     texts = rows.join(unseen.alias("u"), same).select(rows["blob"], rows["text"], "u.missing")
     # A row given twice is read twice, and its blob is still written once.
     _scanned(texts, rules).dropDuplicates(["blob"]).write.mode("append").parquet(ledger)
+    findings = _findings(spark, ledger, rules)
+    return paths.join(findings, "blob", "left").select(F.col("id").alias(id_col), "blob", _or_none(findings))
+
+
+def history(spark: SparkSession, ledger: str, kind: str = "bigint", rules: Sequence[SecretRule] = RULES) -> DataFrame:
+    """Every text that any document ever had when it was scanned: ``id, blob, seen, found``, one row per pair.
+
+    ``seen`` is when the pair was first scanned and ``kind`` the type of the ids. A document whose text has changed
+    keeps the row of its earlier text, with what was found in it; a text that came back has one row. Documents without
+    an id are one document here.
+    """
+    findings = _findings(spark, ledger, rules)
+    pairs = _kept_paths(spark, ledger, kind).groupBy("id", "blob").agg(F.min("seen").alias("seen"))
+    return pairs.join(findings, "blob", "left").select("id", "blob", "seen", _or_none(findings))
+
+
+def _or_none(findings: DataFrame) -> F.Column:
+    return F.coalesce("found", F.expr("array()").cast(findings.schema["found"].dataType)).alias("found")
+
+
+def _findings(spark: SparkSession, ledger: str, rules: Sequence[SecretRule]) -> DataFrame:
+    """``blob, found`` of the blobs in which these versions of the rules found something."""
+    versions = [r.version for r in rules]
     spans = _ledger(spark, ledger).select("blob", F.explode("spans").alias("s")).where(F.col("s.version").isin(versions))
     # Kinds are numbered as listed here and now, whatever the list was when the blob was read.
     number = F.create_map(*(F.lit(x) for v, r in enumerate(versions) for x in (r, v)))
     numbered = spans.select("blob", F.struct(F.col("s.start").alias("start"), number[F.col("s.version")].alias("kind"), F.col("s.version").alias("version"), F.col("s.end").alias("end")).alias("s"))
-    findings = numbered.groupBy("blob").agg(F.sort_array(F.collect_set("s")).alias("found"))
-    return paths.join(findings, "blob", "left").select(F.col("id").alias(id_col), "blob", F.coalesce("found", F.expr("array()").cast(findings.schema["found"].dataType)).alias("found"))
+    return numbered.groupBy("blob").agg(F.sort_array(F.collect_set("s")).alias("found"))
+
+
+def _remember(spark: SparkSession, paths: DataFrame, ledger: str) -> None:
+    """Append the pairs of document and blob that were not there yet; a repeated append only repeats rows."""
+    known = _kept_paths(spark, ledger, paths.schema["id"].dataType.simpleString()).alias("k")
+    new = paths.alias("p").join(known, F.col("p.id").eqNullSafe(F.col("k.id")) & (F.col("p.blob") == F.col("k.blob")), "left_anti")
+    new.withColumn("seen", F.current_timestamp()).write.mode("append").parquet(f"{ledger}-paths")
+
+
+def _kept_paths(spark: SparkSession, ledger: str, kind: str) -> DataFrame:
+    schema = f"id {kind}, blob string, seen timestamp"
+    return spark.read.schema(schema).parquet(f"{ledger}-paths") if _exists(spark, f"{ledger}-paths") else spark.createDataFrame([], schema)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
 def _ledger(spark: SparkSession, path: str) -> DataFrame:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    if place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
-        return spark.read.schema(LEDGER).parquet(path)
-    return spark.createDataFrame([], LEDGER)
+    return spark.read.schema(LEDGER).parquet(path) if _exists(spark, path) else spark.createDataFrame([], LEDGER)
 
 
 def report(found: DataFrame, rules: Sequence[SecretRule] = RULES, id_col: str = "doc_id") -> DataFrame:

@@ -282,6 +282,27 @@ def test_secrets_through_the_ledger(spark):
     assert len(new) == held.count()  # blobs that were known met the new rule only
 
 
+def test_findings_of_all_versions_lead_to_all_paths(spark):
+    ledger = scratch_dir(spark, "test-history")
+    secret, other = "token=abcdef123", "password: hunter22"
+    states = [[(1, secret), (2, "plain"), (3, secret), (None, None)], [(1, "clean now"), (3, secret), (4, other), (4, other)], [(1, secret), (2, "plain"), (5, "plain")]]
+    firsts = []
+    for rows in states:
+        current = secret_ledger.scan(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), ledger)
+        assert current.count() == len(rows)
+        firsts.append(secret_ledger.history(spark, ledger).agg({"seen": "max"}).first()[0])
+    got = {(r.id, r.blob): (r.seen, [(s.start, s.end) for s in r.found]) for r in secret_ledger.history(spark, ledger).collect()}
+    want = {}
+    for rows, seen in zip(states, firsts):
+        for i, text in rows:
+            spans = [found for rule in secret_ledger.RULES for found in rule.spans(text or "")]
+            want.setdefault((i, hashlib.sha256((text or "").encode()).hexdigest()), (seen, sorted(spans)))
+    assert got == want
+    assert secret_ledger.history(spark, scratch_dir(spark, "no-history")).count() == 0
+    # A cleaned document still leads to what its earlier text held.
+    assert {i for (i, _), (_, found) in got.items() if found} == {1, 3, 4}
+
+
 def test_redaction_keeps_rows_and_columns(spark, no_docs):
     docs = spark.createDataFrame([(i, t, "k", "b") for i, t in enumerate(SECRETS)] + [(None, SECRETS[0], "k", "b")], "doc_id long, text string, found string, blob string")
     out = secret_ledger.redact(spark, docs, scratch_dir(spark, "ledger"))
