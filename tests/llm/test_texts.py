@@ -111,14 +111,71 @@ def test_quality_odd_rows_and_no_labels(spark, odd_docs, odd_rows, no_docs):
     assert quality.score(no_docs, quality.fit_table(no_docs, labelled)).count() == 0
 
 
-def test_dual_descent_meets_its_conditions():
-    draw = np.random.default_rng(0)
-    rows = [np.unique(draw.integers(0, 50, 8)) + 25 * (i % 2) for i in range(80)]
-    labels = np.arange(80) % 2
-    scale = quality.log_count_ratios([r % 64 for r in rows], labels, 6)
-    weights, bias = quality.dual_descent([r % 64 for r in rows], scale, labels, epochs=200)
-    margin = np.array([(scale[r % 64] * weights[r % 64]).sum() / np.sqrt(len(r)) + bias for r in rows]) * np.where(labels == 1, 1, -1)
-    assert (margin > 0).mean() > 0.9
+def plain_indicators(text: bytes, bits: int) -> set[int]:
+    """The buckets of one text, feature by feature, with whole numbers of Python."""
+    full, base = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+    def mix(value: int) -> int:
+        value = (value ^ (value >> 31)) * 0xBF58476D1CE4E5B9 & full
+        return value ^ (value >> 29)
+
+    words = [mix(sum((byte + 1) * pow(base, k, 1 << 64) for k, byte in enumerate(w)) & full) for w in re.split(rb"[\x20\x09-\x0D]+", text) if w]
+    again = [int(i > 0 and words[i] == words[i - 1]) for i in range(len(words))]
+    found = set(words) | {mix((x * base + y) & full) for x, y in zip(words, words[1:])}
+    found |= {mix(((text[i] + 1) * base * base + (text[i + 1] + 1) * base + text[i + 2] + 1) & full) for i in range(len(text) - 2)}
+    found |= {mix(1000 + int("".join(map(str, again[i : i + 5])), 2)) for i in range(len(words) - 4)}
+    held = max(len(words), 1)
+    size = min(int(np.log2(held)), 6)
+    twice = len(words) - len(set(words))
+    found |= {mix(2000 + int(sum(again) / held * 16)), mix(4000 + size * 100 + int(twice / held * 16))}
+    return {h >> (64 - bits) for h in found}
+
+
+def test_quality_scores_equal_a_plain_restatement(spark, odd_docs, odd_rows):
+    """Log-count ratios, the margin and its chance of every row, from the features of each text alone."""
+    draw, bits = np.random.default_rng(4), 18
+    texts = [(t or "").encode() for _, t in odd_rows]
+    plain = [plain_indicators(t, bits) for t in texts]
+    assert [set(h.tolist()) for h in quality.indicators(texts, bits)] == plain
+    labels = np.arange(len(plain)) % 2
+    ratios = quality.log_count_ratios([np.array(sorted(h)) for h in plain], labels, bits)
+    sums = [sum(len(h) for h, label in zip(plain, labels) if label == k) + (1 << bits) for k in (0, 1)]
+    for feature in sorted(set().union(*plain))[::97]:
+        bad, good = ((sum(feature in h for h, label in zip(plain, labels) if label == k) + 1) / sums[k] for k in (0, 1))
+        assert abs(ratios[feature] - np.log(good / bad)) < 1e-12
+    model = quality.QualityModel(draw.normal(size=1 << bits), 0.3, 0.8, -0.2, bits)
+    want = []
+    for (i, _), held in zip(odd_rows, plain):
+        margin = sum(float(model.weights[h]) for h in held) / np.sqrt(max(len(held), 1)) + model.bias
+        chance = 1 / (1 + np.exp(-(model.slope * margin + model.shift)))
+        want.append((i, round(chance, 9), int(chance >= 0.3)))
+    got = [(r.doc_id, round(r.score, 9), r.predicted) for r in quality.score(odd_docs, model).collect()]
+    assert ordered(got) == ordered(want)
+
+
+@pytest.mark.parametrize("rare", [2, 5])
+def test_dual_descent_meets_its_conditions(rare):
+    """No dual solution may lie above the primal value, so a small gap proves the optimum; 5: classes of unequal size."""
+    draw = np.random.default_rng(rare)
+    rows = [np.unique((draw.integers(0, 50, 8) + 25 * (i % rare == 0)) % 64) for i in range(80)]
+    labels = (np.arange(80) % rare == 0).astype(int)
+    scale = quality.log_count_ratios(rows, labels, 6)
+    weights, bias = quality.dual_descent(rows, scale, labels, epochs=2_000)
+    values = np.zeros((80, 65))
+    for x, r in zip(values, rows):
+        x[r], x[64] = scale[r] / np.sqrt(len(r)), 1.0
+    side, limit = np.where(labels == 1, 1.0, -1.0), np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
+    whole = np.append(weights, bias)
+    primal = whole @ whole / 2 + (limit * np.maximum(0, 1 - side * (values @ whole))).sum()
+    signed = values * side[:, None]
+    quadratic, alpha = signed @ signed.T, np.zeros(80)
+    step = 1 / np.linalg.eigvalsh(quadratic)[-1]
+    for _ in range(40_000):
+        alpha = np.clip(alpha + step * (1 - quadratic @ alpha), 0, limit)
+    dual = alpha.sum() - alpha @ quadratic @ alpha / 2
+    assert 0 <= primal - dual + 1e-9 < 1e-2 * primal, (primal, dual)
+    margin = side * (values @ whole)
+    assert (margin > 0).mean() > 0.8
 
 
 @pytest.mark.parametrize("shape, block, bucket, ranges", [((12, 14), 8_000_000, 8_000_000, 256), ((64, 64), 8_000_000, 8_000_000, 256), ((64, 64), 2_000, 1_000, 4)])
