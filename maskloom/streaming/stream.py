@@ -14,6 +14,7 @@ from maskloom.operators.policies import rotate_columns
 from maskloom.plans import rulebook as rb
 from maskloom.plans.mask import build_plan, require_salt, rewrite_table, table_key
 from maskloom.plans.strategies import MaskError
+from maskloom.sources import bundle
 
 
 def mask_stream(stream: DataFrame, table: str, book: rb.Rulebook, salt: str = "") -> DataFrame:
@@ -41,10 +42,12 @@ def mask_available(
 ) -> StreamingQuery:
     """Mask the files present in a folder into ``target`` and stop; rerun to pick up new files.
 
-    ``glob`` narrows the files by name.
+    ``glob`` narrows the files by name; where a folder of that name is in ``source``, its files are meant.
 
     Progress lives in ``checkpoint``, so a restarted run writes nothing twice.
     """
+    if glob and bundle._is_folder(spark, f"{source.rstrip('/')}/{glob}"):
+        source, glob = f"{source.rstrip('/')}/{glob}", None
     options = {"pathGlobFilter": glob} if glob else {}
     schema = spark.read.options(**options).parquet(source).schema
     stream = spark.readStream.schema(schema).options(**options).parquet(source)

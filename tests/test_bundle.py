@@ -188,3 +188,17 @@ def test_a_failed_write_counts_nothing_twice(spark, tmp_path):
     found = bundle.write_observed(spark, frame, f"{tmp_path}/t", [F.sum("id").alias("sum")], attempts=3)
     assert found == {"rows": 40, "sum": 780} and spark.read.parquet(f"{tmp_path}/t").count() == 40
     assert bundle.merged([found, {"rows": 2}]) == {"rows": 42, "sum": 780}
+
+
+@pytest.mark.parametrize("name", ["events.parquet", "events*.parquet"])
+def test_a_stream_of_a_table_that_is_a_folder_or_files_beside_others(spark, tmp_path, name):
+    rows = spark.createDataFrame([(i, "click", "p") for i in range(6)], "event_id long, event_type string, props string")
+    rows.repartition(3).write.parquet(f"{tmp_path}/folder/events.parquet")
+    spark.range(4).write.parquet(f"{tmp_path}/folder/other.parquet")
+    pq = pytest.importorskip("pyarrow.parquet")
+    (tmp_path / "file").mkdir()
+    pq.write_table(rows.toArrow(), f"{tmp_path}/file/events.parquet")
+    pq.write_table(spark.range(4).toArrow(), f"{tmp_path}/file/other.parquet")
+    for kind in ("file", "folder") if name == "events.parquet" else ("file",):
+        mask_available(spark, f"{tmp_path}/{kind}", f"{tmp_path}/out-{kind}", f"{tmp_path}/progress-{kind}", "events", rulebook_from({"00_strategies": {"strategies": {"keep": None}}}), glob=name).awaitTermination()
+        assert sorted(r.event_id for r in spark.read.parquet(f"{tmp_path}/out-{kind}").collect()) == list(range(6))
