@@ -9,8 +9,10 @@ come out as it was, as one text in so many of its form does in any permutation.
 from __future__ import annotations
 
 from collections.abc import Callable
-from string import ascii_lowercase
+from hashlib import md5
+from string import ascii_lowercase, ascii_uppercase, digits
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -106,6 +108,75 @@ def permute_in_place(value: Column, tag: str = "", salt: str = "") -> Column:
     return F.when(value.isNotNull(), bind(value.cast("string"), whole))
 
 
+def permuter(tag: str = "", salt: str = "") -> Callable[[str], str]:
+    """:func:`permute_in_place` for a worker: the same permutation of one text, at a few microseconds.
+
+    All it needs travels inside it, so workers need not have this package.
+    """
+    key, rounds, width_of, signs = (salt + tag).encode(), ROUNDS, dict(WIDTH), SIGNS
+    form_of = str.maketrans(digits + ascii_lowercase + ascii_uppercase, "0" * 10 + "a" * 26 + "A" * 26)
+    to_signs, to_letters = str.maketrans(ascii_lowercase + ascii_uppercase, signs * 2), str.maketrans(signs, ascii_lowercase)
+    known: dict[tuple, list[tuple[bytes, bytes]]] = {}
+
+    def starts(kind: bytes, n: int, tweak: str) -> list[tuple[bytes, bytes]]:
+        """What is hashed with the other half, two rounds at a time; forms are few."""
+        if (kind, n, tweak) not in known:
+            if len(known) >= 1000:
+                known.clear()
+            each = [b"%s%s:%d:%d:%s:" % (key, kind, n, i, tweak.encode()) for i in range(rounds)]
+            each = [start.replace(b"%", b"%%") + b"%d" for start in each]
+            known[kind, n, tweak] = list(zip(each[::2], each[1::2]))
+        return known[kind, n, tweak]
+
+    def spelled(value: int, radix: int, length: int) -> str:
+        if radix == 10:
+            return str(value).zfill(length) if length else ""
+        out = ""
+        for _ in range(length):
+            value, rest = divmod(value, radix)
+            out = signs[rest] + out
+        return out
+
+    def network(text: str, radix: int, kind: bytes, tweak: str) -> str:
+        n = len(text)
+        left = n // 2
+        u, v = int(text[:left] or "0", radix), int(text[left:], radix)
+        low, high = radix**left, radix ** (n - left)
+        for even, odd in starts(kind, n, tweak):
+            u = (u + (int.from_bytes(md5(even % v).digest()[:8]) >> 4)) % low
+            v = (v + (int.from_bytes(md5(odd % u).digest()[:8]) >> 4)) % high
+        return spelled(u, radix, left) + spelled(v, radix, n - left)
+
+    def windows(text: str, radix: int, kind: bytes, tweak: str) -> str:
+        width = width_of[radix]
+        step = width // 2
+        for k in range(max(0, -(-(len(text) - width) // step)) + 1 if text else 0):
+            at = k * step
+            text = text[:at] + network(text[at : at + width], radix, kind, f"{tweak}:{k}") + text[at + width :]
+        return text
+
+    def permuted(text: str) -> str:
+        if text.isascii() and text.isdigit():
+            return windows(text, 10, b"d", "0" * len(text))
+        form = text.translate(form_of)
+        numbers = windows("".join([c for c, f in zip(text, form) if f == "0"]), 10, b"d", form)
+        letters = windows("".join([c for c, f in zip(text, form) if f == "a" or f == "A"]).translate(to_signs), 26, b"l", f"{form}:{numbers}")
+        number, letter = iter(numbers), iter(letters.translate(to_letters))
+        return "".join([next(number) if f == "0" else next(letter) if f == "a" else next(letter).upper() if f == "A" else f for f in form])
+
+    return permuted
+
+
+def on_workers(value: Column, each: Callable[[str], str | None], otherwise: Column) -> Column:
+    """``each`` text by a function on the workers; where that gives none, and for a text that is no UTF-8, ``otherwise``."""
+
+    @F.arrow_udf("string")
+    def mapped(texts: pa.Array) -> pa.Array:
+        return pa.array([None if text is None else each(text) for text in texts.to_pylist()], pa.string())
+
+    return F.coalesce(mapped(F.when(F.is_valid_utf8(value), value)), otherwise)
+
+
 def walk(value: Column, permute: Callable[[Column], Column], inside: Callable[[Column], Column], otherwise: Column, limit: int = 12) -> Column:
     """Cycle walking: permute until ``inside`` holds again, so that the texts inside are permuted among themselves.
 

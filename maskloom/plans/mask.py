@@ -358,20 +358,20 @@ def rewrite_table(frame: DataFrame, plan: TablePlan, keys: Sequence[str] = (), s
     for f in frame.schema.fields:
         value: Column = F.col(f"`{f.name}`")
         for rest, rule in by_column.get(f.name, []):
-            value = rewrite_path(value, f.dataType, rest, _rewriter(rule, f.name, keys, salt))
+            value = rewrite_path(value, f.dataType, rest, _rewriter(rule, f.name, keys, salt, bool(rest)))
         columns.append(value.alias(f.name))
     return frame.select(*columns)
 
 
-def _rewriter(rule: rb.FieldRule, column: str, keys: Sequence[str], salt: str):
+def _rewriter(rule: rb.FieldRule, column: str, keys: Sequence[str], salt: str, below: bool):
     chosen = st.strategy(rule.strategy)
     params = dict(rule.params)
     salt = str(params.pop("salt", salt))
 
-    def rewrite(value: Column, dtype: T.DataType) -> Column:
+    def rewrite(value: Column, dtype: T.DataType, nested: bool = below) -> Column:
         key = row_key(keys) if keys else value.cast("string")
         if not chosen.accepts(dtype) and _leafwise(chosen, dtype):
-            return rewrite_strings(value, dtype, lambda text: rewrite(text, T.StringType()))
-        return chosen.apply(st.Target(value, dtype, column, key, salt, params))
+            return rewrite_strings(value, dtype, lambda text: rewrite(text, T.StringType(), True))
+        return chosen.apply(st.Target(value, dtype, column, key, salt, params, nested))
 
     return rewrite

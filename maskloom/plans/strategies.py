@@ -20,7 +20,7 @@ class MaskError(Exception):
 
 @dataclass(frozen=True)
 class Target:
-    """The column a strategy is applied to."""
+    """The column a strategy is applied to; ``nested`` where the value may stand inside a lambda, which runs no Python."""
 
     value: Column
     dtype: T.DataType
@@ -28,6 +28,7 @@ class Target:
     row_key: Column
     salt: str = ""
     params: dict = field(default_factory=dict)
+    nested: bool = False
 
     @property
     def seed_text(self) -> Column:
@@ -77,13 +78,14 @@ def _from_seed(fake: Callable[..., Column], apart: Callable[[Target], Column] |
 
 
 def _same_form(tag: str) -> Callable[[Target], Column]:
-    return lambda target: accounts.unique_text(target.seed_text, tag, target.salt)
+    return lambda target: accounts.unique_text(target.seed_text, tag, target.salt, target.nested)
 
 
 def _format_preserving(fake: Callable[..., Column], apart: Callable[..., Column] | None = None) -> Callable[[Target], Column]:
     def apply(target: Target) -> Column:
-        chosen = apart if apart is not None and target.params.get("unique") else fake
-        return chosen(target.value, seed_text=target.seed_text, salt=target.salt)
+        if apart is not None and target.params.get("unique"):
+            return apart(target.value, seed_text=target.seed_text, salt=target.salt, nested=target.nested)
+        return fake(target.value, seed_text=target.seed_text, salt=target.salt)
 
     return apply
 

@@ -1111,7 +1111,7 @@ def bijective_summary(spark, folder):
     items = table(spark, folder, "lineitem")
     account, iban = line_accounts(items)
     phone = F.concat(F.lpad((F.col("l_orderkey") % 90 + 10).cast("string"), 2, "0"), F.lit("-"), F.substr(account, F.lit(5), F.lit(3)), F.lit("-"), F.substr(account, F.lit(8)))
-    values = items.select(F.posexplode(F.array(account, iban, phone, F.substr(account, F.lit(10)))).alias("kind", "original"))
+    originals = [account, iban, phone, F.substr(account, F.lit(10))]
     fakes = [
         ("account", accounts.unique_bank_account(F.col("original"), salt="p-"), r"^[0-9]{14}\z"),
         ("iban", accounts.unique_iban(F.col("original"), salt="p-"), r"^DE[0-9]{16}\z"),
@@ -1119,8 +1119,8 @@ def bijective_summary(spark, folder):
         ("zip", accounts.unique_text(F.col("original"), "zip:", "p-"), r"^[0-9]{5}\z"),
     ]
     parts = []
-    for at, (kind, fake, form) in enumerate(fakes):
-        distinct = values.where(F.col("kind") == at).groupBy("original").agg(F.count(F.lit(1)).alias("n")).withColumn("fake", fake)
+    for original, (kind, fake, form) in zip(originals, fakes):
+        distinct = items.select(original.alias("original")).groupBy("original").agg(F.count(F.lit(1)).alias("n")).withColumn("fake", fake)
         counted = distinct.groupBy("fake").agg(F.count(F.lit(1)).alias("originals"), F.sum("n").alias("rows"))
         holds = F.col("fake").rlike(form) & (accounts.valid_iban(F.col("fake")) if kind == "iban" else F.lit(True))
         parts.append(counted.agg(F.lit(kind).alias("kind"), F.sum("rows").alias("rows"), F.sum("originals").alias("originals"), F.count(F.lit(1)).alias("fakes"), F.count_if(holds).alias("in_form")))
