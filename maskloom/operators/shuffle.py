@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 # enough a set that the running bucket table stays tiny.
 BUCKET_DIGITS = 4
 
+# So many classes are sent to every task, which then tells by a place which of them stands there.
+FEW_CLASSES = 64
+# Types whose equal values are the same.
+PLAIN = (T.StringType, T.IntegralType, T.BooleanType, T.DateType)
+
 
 def row_key(keys: Sequence[str]) -> Column:
     """One text per row from its key columns."""
@@ -94,9 +99,17 @@ def shuffle_columns(
 
 def derangement_bounds(frame: DataFrame, column: str) -> tuple[int, int, int]:
     """(rows, rows of the commonest value, rows that must keep their value whatever the permutation)."""
-    classes = frame.groupBy(_class_of(column, "").alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    rows, largest = (x or 0 for x in classes.agg(F.sum("n"), F.max("n")).first())
-    return rows, largest, max(0, 2 * largest - rows)
+    return _bounds(frame, column)[:3]
+
+
+def _bounds(frame: DataFrame, column: str) -> tuple[int, int, int, int]:
+    """:func:`derangement_bounds`, and the number of classes where each is known to be one value, else 0."""
+    plain = isinstance(frame.schema[column].dataType, PLAIN)
+    # Plain values are counted as they are, and only the different ones are digested.
+    values = frame.groupBy(F.col(f"`{column}`").alias("v")).agg(F.count(F.lit(1)).alias("n")) if plain else frame.select(F.col(f"`{column}`").alias("v"), F.lit(1).alias("n"))
+    classes = values.groupBy(_class_of("v", "").alias("c")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("values"))
+    rows, largest, count, most = (x or 0 for x in classes.agg(F.sum("n"), F.max("n"), F.count(F.lit(1)), F.max("values")).first())
+    return rows, largest, max(0, 2 * largest - rows), count if plain and most == 1 else 0
 
 
 def _class_of(column: str, salt: str) -> Column:
@@ -114,27 +127,33 @@ def derange_column(frame: DataFrame, column: str, keys: Sequence[str], salt: str
 
     Places come from counts per value and digest prefix, summed up in buckets; a value with very many rows is
     spread over its keys' prefixes. Two numbers go to the driver. The outcome depends on neither partitioning nor
-    ``bucket_digits``; NULL is a value.
+    ``bucket_digits``; NULL is a value. The value at a place is found by the place, or from the few classes there are.
     """
-    rows, largest, _ = derangement_bounds(frame, column)
+    rows, largest, _, count = _bounds(frame, column)
     if rows < 2:
         return frame
     spread = frame.withColumns({"__class": _class_of(column, salt), "__order": F.md5(F.concat(F.lit(salt), row_key(keys))), "__whole": row_hash(frame)})
     spread = spread.withColumn("__part", F.substring("__order", 1, bucket_digits))
-    parts = spread.groupBy("__class", "__part").agg(F.count(F.lit(1)).alias("__n"))
-    classes = parts.groupBy("__class").agg(F.sum("__n").alias("__n")).withColumn("__bucket", F.substring("__class", 1, bucket_digits))
+    value = F.col(f"`{column}`") if 0 < count <= FEW_CLASSES else F.lit(None)
+    parts = spread.groupBy("__class", "__part").agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(value.alias("v"))).alias("__given"))
+    classes = parts.groupBy("__class").agg(F.sum("__n").alias("__n"), F.first("__given").alias("__given")).withColumn("__bucket", F.substring("__class", 1, bucket_digits))
     before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     # At most 16 ** bucket_digits rows, whatever the table.
     buckets = classes.groupBy("__bucket").agg(F.sum("__n").alias("__n"))
     buckets = buckets.select("__bucket", F.coalesce(F.sum("__n").over(before(F.lit(0)).orderBy("__bucket")), F.lit(0)).alias("__low"))
     starts = classes.withColumn("__in", F.coalesce(F.sum("__n").over(before("__bucket").orderBy("__class")), F.lit(0))).join(buckets, "__bucket")
-    starts = starts.select("__class", (F.col("__low") + F.col("__in")).alias("__first"))
+    starts = starts.select("__class", (F.col("__low") + F.col("__in")).alias("__first"), "__n", "__given")
     inside = parts.withColumn("__in", F.coalesce(F.sum("__n").over(before("__class").orderBy("__part")), F.lit(0)))
-    first = inside.join(starts, "__class").select("__class", "__part", (F.col("__first") + F.col("__in")).alias("__first"))
+    first = inside.drop("__given").join(starts.drop("__n", "__given"), "__class").select("__class", "__part", (F.col("__first") + F.col("__in")).alias("__first"))
     rank = F.row_number().over(Window.partitionBy("__class", "__part").orderBy("__order", "__whole"))
     placed = spread.join(first, ["__class", "__part"]).withColumn("__at", F.col("__first") + rank - 1)
-    given = placed.select(F.col("__at").alias("__from"), F.struct(F.col(f"`{column}`").alias("v")).alias("__given"))
-    joined = placed.withColumn("__from", (F.col("__at") + largest) % rows).join(given, "__from")
+    placed = placed.withColumn("__from", (F.col("__at") + largest) % rows)
+    if 0 < count <= FEW_CLASSES:
+        given = starts.select(F.col("__first").alias("__begin"), (F.col("__first") + F.col("__n")).alias("__end"), "__given")
+        joined = placed.join(F.broadcast(given), (F.col("__from") >= F.col("__begin")) & (F.col("__from") < F.col("__end")))
+    else:
+        given = placed.select(F.col("__at").alias("__from"), F.struct(F.col(f"`{column}`").alias("v")).alias("__given"))
+        joined = placed.join(given, "__from")
     return joined.select(*[F.col("__given")["v"].alias(c) if c == column else F.col(f"`{c}`") for c in frame.columns])
 
 

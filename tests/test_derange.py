@@ -70,3 +70,15 @@ def test_shuffled_columns_of_repeated_keys_are_numbered_by_content(spark):
         out = shuffle_columns(source, source.withColumn("__row", row_key(["k"])), {"v": "s:"}, ["k"])
         found.append(Counter((r.k, r.i, r.v) for r in out.collect()))
     assert found[0] == found[1] and Counter(v for _, _, v in found[0].elements()) == Counter(r.v for r in frame.collect())
+
+
+def test_few_classes_are_told_by_place(spark, monkeypatch):
+    """Rows of a column of few values do not meet each other, and take what they would take from another row."""
+    from maskloom.operators import shuffle
+
+    frame = spark.createDataFrame([(i % 50, None if i % 9 == 0 else "abcde"[i % 5], i) for i in range(300)], "k int, v string, w int")
+    told = shuffle.derange_column(frame, "v", ["k"], salt="z")
+    assert told._jdf.queryExecution().optimizedPlan().toString().count("Window [row_number") == 1
+    monkeypatch.setattr(shuffle, "FEW_CLASSES", 0)
+    met = shuffle.derange_column(frame, "v", ["k"], salt="z")
+    assert Counter(map(tuple, told.collect())) == Counter(map(tuple, met.collect()))
