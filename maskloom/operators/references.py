@@ -53,11 +53,9 @@ def _inclusions(dataset: Mapping[str, DataFrame], chosen: Sequence[tuple[str, st
     by_table: dict[str, list[str]] = {}
     for table, column in chosen:
         by_table.setdefault(table, []).append(column)
-    # values of one column collapse inside each task, so a hot value costs one row per task
-    counted = reduce(
-        DataFrame.unionByName, [_value_counts(table, dataset[table], names, number) for table, names in by_table.items()]
-    )
-    children = _included(counted, len(chosen))
+    values = reduce(DataFrame.unionByName, [_values(dataset[table], names, table, number) for table, names in by_table.items()])
+    rows = reduce(DataFrame.unionByName, [_rows(dataset[table], {number[(table, c)]: [c] for c in names}) for table, names in by_table.items()])
+    children = _included(values, rows, len(chosen))
     names = spark.createDataFrame([(i, t, c) for (t, c), i in number.items()], "id int, table string, column string")
     pairs = children.select("child", "child_values", F.explode(_ids(len(chosen), "in")).alias("parent")).where(
         F.col("child") != F.col("parent")
@@ -73,21 +71,28 @@ def _inclusions(dataset: Mapping[str, DataFrame], chosen: Sequence[tuple[str, st
     )
 
 
-def _included(counted: DataFrame, count: int) -> DataFrame:
-    """``child, child_values, in…, repeats`` from ``id, value, n``: the bits left are the columns that hold all of the child's values."""
+def _included(values: DataFrame, rows: DataFrame, count: int) -> DataFrame:
+    """``child, child_values, in…, repeats`` from ``id, value`` and ``id, rows``: the bits left are the columns that hold all of the child's values.
+
+    Values of one column collapse inside each task, so a hot value costs one row per task, and cross the network once. A
+    column repeats a value when it has more rows than values.
+    """
     words = range(-(-count // WORD))
-    values = counted.groupBy("value").agg(
-        *[F.bit_or(_bits(F.col("id"), w)).alias(f"in{w}") for w in words],
-        *[F.bit_or(F.when(F.col("n") > 1, _bits(F.col("id"), w)).otherwise(F.lit(0))).alias(f"rep{w}") for w in words],
-    )
-    masks = [f"{kind}{w}" for kind in ("in", "rep") for w in words]
+    masks = [f"in{w}" for w in words]
+    found = values.groupBy("value").agg(*[F.bit_or(_bits(F.col("id"), w)).alias(f"in{w}") for w in words])
     # few distinct column sets remain, whatever the number of values
-    sets = values.groupBy(*masks).agg(F.count(F.lit(1)).alias("n"))
-    return sets.select("*", F.explode(_ids(count, "in")).alias("child")).groupBy("child").agg(
-        F.sum("n").alias("child_values"),
-        *[F.bit_and(f"in{w}").alias(f"in{w}") for w in words],
-        F.max(_has_bit(F.col("child"), "rep", words)).alias("repeats"),
+    sets = found.groupBy(*masks).agg(F.count(F.lit(1)).alias("n"))
+    children = sets.select("*", F.explode(_ids(count, "in")).alias("child")).groupBy("child").agg(
+        F.sum("n").alias("child_values"), *[F.bit_and(mask).alias(mask) for mask in masks]
     )
+    return children.join(rows.withColumnRenamed("id", "child"), "child").select("child", "child_values", *masks, (F.col("rows") > F.col("child_values")).alias("repeats"))
+
+
+def _rows(frame: DataFrame, sides: Mapping[int, Sequence[str]]) -> DataFrame:
+    """``id, rows``: the rows of one table in which no column of a side is null."""
+    whole = lambda columns: reduce(Column.__and__, [F.col(f"`{c}`").isNotNull() for c in columns])
+    counts = frame.agg(*[F.count_if(whole(columns)).alias(str(i)) for i, columns in sides.items()])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(i).alias("id"), F.col(f"`{i}`").alias("rows")) for i in sides])))
 
 
 #: A table and some of its columns, in order.
@@ -152,12 +157,12 @@ def _held(dataset: Mapping[str, DataFrame], sides: Sequence[Columns]) -> dict[tu
 
     def tuples(table: str, numbers: Sequence[int]) -> DataFrame:
         frame = dataset[table]
-        entries = [F.struct(F.lit(i).alias("id"), F.md5(F.concat(*[told(frame, c) for c in sides[i][1]])).alias("value")) for i in numbers]
-        rows = frame.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
-        return rows.groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
+        entries = [F.struct(F.lit(i).alias("id"), _short(F.concat(*[told(frame, c) for c in sides[i][1]])).alias("value")) for i in numbers]
+        return frame.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
 
-    counted = reduce(DataFrame.unionByName, [tuples(t, numbers) for t, numbers in by_table.items()])
-    children = _included(counted, len(sides)).select("child", "child_values", "repeats", _ids(len(sides), "in").alias("parents")).collect()
+    values = reduce(DataFrame.unionByName, [tuples(t, numbers) for t, numbers in by_table.items()])
+    rows = reduce(DataFrame.unionByName, [_rows(dataset[t], {i: sides[i][1] for i in numbers}) for t, numbers in by_table.items()])
+    children = _included(values, rows, len(sides)).select("child", "child_values", "repeats", _ids(len(sides), "in").alias("parents")).collect()
     unique = {row.child: not row.repeats for row in children}
     return {
         (sides[row.child], sides[parent]): (row.child_values, unique[parent])
@@ -167,6 +172,11 @@ def _held(dataset: Mapping[str, DataFrame], sides: Sequence[Columns]) -> dict[tu
     }
 
 
+def _short(text: Column) -> Column:
+    """The digest of a text, in 16 bytes."""
+    return F.unhex(F.md5(text))
+
+
 def _bits(identifier: Column, word: int) -> Column:
     """The bit of a column number within one word of the mask, 0 in all other words."""
     inside = F.floor(identifier / WORD) == word
@@ -185,21 +195,11 @@ def _ids(count: int, kind: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: _has_bit(i, kind, words))
 
 
-def _value_counts(table: str, frame: DataFrame, names: Sequence[str], number: Mapping[tuple[str, str], int]) -> DataFrame:
-    """``id, value, n`` for the columns of one table, read once; a text stands as its digest."""
+def _values(frame: DataFrame, names: Sequence[str], table: str, number: Mapping[tuple[str, str], int]) -> DataFrame:
+    """``id, value`` for the columns of one table, read once; a text stands as its digest."""
     text = isinstance(frame.schema[names[0]].dataType, T.StringType)
-    entries = F.array(
-        *[
-            F.struct(F.lit(number[(table, c)]).alias("id"), (F.md5(F.col(f"`{c}`")) if text else F.col(f"`{c}`").cast("bigint")).alias("value"))
-            for c in names
-        ]
-    )
-    return (
-        frame.select(F.inline(entries))
-        .where(F.col("value").isNotNull())
-        .groupBy("id", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    entries = [F.struct(F.lit(number[(table, c)]).alias("id"), (_short(F.col(f"`{c}`")) if text else F.col(f"`{c}`").cast("bigint")).alias("value")) for c in names]
+    return frame.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
 
 
 def with_references(columns: DataFrame, references: DataFrame) -> DataFrame:

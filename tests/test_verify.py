@@ -159,3 +159,12 @@ def test_inferred_references_equal_brute_force(spark):
     assert {tuple(r) for r in got.collect()} == want and want
     filled = references.with_references(schema.scan_schema(spark, data).drop("shape"), got)
     assert filled.where("table = 'q' and column = 'p_id'").first()["fk_target"] == "p.id"
+
+
+def test_values_cross_the_network_once(spark):
+    """One exchange of values by value; repeats are told by counts, nulls and repeated rows included."""
+    rows = [(1, 1), (1, 2), (2, None), (2, None), (None, 3)]
+    data = {"t": spark.createDataFrame(rows, "a long, b long"), "u": spark.createDataFrame([(i,) for i in (1, 2, 3)], "c long")}
+    got = references.infer_references(data)
+    assert sorted(map(tuple, got.collect())) == [("t", "a", "t", "b", 2), ("t", "a", "u", "c", 2), ("t", "b", "u", "c", 3), ("u", "c", "t", "b", 3)]
+    assert "hashpartitioning(id" not in got._jdf.queryExecution().executedPlan().toString()
