@@ -118,8 +118,9 @@ def infer_composite_references(
         candidates = _grown({pair for pair, (_, unique) in open_ends.items() if not unique}, place)
         if not candidates:
             break
-        held = _held(dataset, sorted({side for pair in candidates for side in pair}))
-        open_ends = {pair: held[pair] for pair in candidates if pair in held}
+        read = {pair: _aligned(pair, place) for pair in candidates}
+        held = _held(dataset, sorted({side for pair in read.values() for side in pair}))
+        open_ends = {pair: held[read[pair]] for pair in candidates if read[pair] in held}
         found += [(ct, list(cc), pt, list(pc), n) for ((ct, cc), (pt, pc)), (n, unique) in open_ends.items() if unique]
     return spark.createDataFrame(
         found, "child_table string, child_columns array<string>, parent_table string, parent_columns array<string>, child_values bigint"
@@ -143,6 +144,14 @@ def _grown(held: set[tuple[Columns, Columns]], place: Mapping[tuple[str, str], i
     return out
 
 
+def _aligned(pair: tuple[Columns, Columns], place: Mapping[tuple[str, str], int]) -> tuple[Columns, Columns]:
+    """The same inclusion with the columns of the side that comes first in their order, so that few orders of a tuple are read."""
+    table, columns = min(pair, key=lambda side: min(place[side[0], c] for c in side[1]))
+    order = sorted(range(len(columns)), key=lambda i: place[table, columns[i]])
+    (child, cc), (parent, pc) = pair
+    return (child, tuple(cc[i] for i in order)), (parent, tuple(pc[i] for i in order))
+
+
 def _held(dataset: Mapping[str, DataFrame], sides: Sequence[Columns]) -> dict[tuple[Columns, Columns], tuple[int, bool]]:
     """The inclusions among ``sides``, with the child's different tuples and whether the parent is unique."""
     by_table: dict[str, list[int]] = {}

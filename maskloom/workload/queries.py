@@ -712,6 +712,11 @@ def infer_composite_references(spark, folder):
             F.col("l_suppkey").alias("numbered_supplier"), F.col("l_partkey").alias("numbered_part"), F.col("l_linenumber").alias("number")
         ).distinct(),
     }
+    # Every level reads the lots twice, so they are made once.
+    run = scratch_dir(spark, "lots")
+    for name in ("lots", "numbered_lots"):
+        data[name].write.parquet(f"{run}/{name}")
+        data[name] = spark.read.parquet(f"{run}/{name}")
     found = references.infer_composite_references(data, COMPOSITE_COLUMNS)
     return found.withColumns({c: F.array_join(c, ",") for c in ("child_columns", "parent_columns")})
 

@@ -168,3 +168,23 @@ def test_values_cross_the_network_once(spark):
     got = references.infer_references(data)
     assert sorted(map(tuple, got.collect())) == [("t", "a", "t", "b", 2), ("t", "a", "u", "c", 2), ("t", "b", "u", "c", 3), ("u", "c", "t", "b", 3)]
     assert "hashpartitioning(id" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lots_are_made_once(spark, tmp_path, monkeypatch):
+    """The levels read the different lots as written, and do not make them anew each time."""
+    from maskloom.workload import queries
+
+    lines = [(1, 5, 7, 1), (1, 5, 7, 2), (2, 6, 7, 1), (2, None, 8, 1), (2, None, 8, 1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    seen, infer = {}, references.infer_composite_references
+    monkeypatch.setattr(queries.references, "infer_composite_references", lambda data, columns: seen.update(data) or infer(data, columns))
+    queries.QUERIES["infer_composite_references"](spark, str(tmp_path)).collect()
+    assert {name: frame.count() for name, frame in seen.items()} == {"lineitem": 5, "lots": 3, "numbered_lots": 4}
+    assert all("Aggregate" not in frame._jdf.queryExecution().optimizedPlan().toString() for frame in seen.values())
+
+
+def test_a_tuple_is_read_in_one_order():
+    """Both directions of an inclusion read the same two tuples."""
+    place = {column: i for i, column in enumerate([("t", "a"), ("t", "b"), ("u", "y"), ("u", "x")])}
+    down, up = (("t", ("a", "b")), ("u", ("x", "y"))), (("u", ("y", "x")), ("t", ("b", "a")))
+    assert references._aligned(down, place) == down and references._aligned(up, place) == (down[1], down[0])
