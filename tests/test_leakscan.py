@@ -6,6 +6,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,44 @@ def test_by_joins_alone(spark):
     assert scan(spark, rows, needles, automaton=False) == brute_force(rows, needles)
 
 
+def test_only_cells_with_a_beginning_meet_the_joins(spark, monkeypatch):
+    """Beyond the budget clean cells are neither cut into grams nor shuffled, and every cell is worked out once."""
+    met, read, by_grams = [], spark.sparkContext.accumulator(0), leakscan._by_grams
+
+    def counted(text_cells, *rest):
+        met.append(sorted(r.value for r in text_cells.collect()))
+        return by_grams(text_cells, *rest)
+
+    def reading(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(leakscan, "_by_grams", counted)
+    values = [f"1998-01-01 00:00:{i:02}.{i}" for i in range(60)] + ["call Customer#000000007.", "Customer#000000008", "Customer#0000001"]
+    frame = spark.createDataFrame([("t", "a", v) for v in values], "table string, column string, value string")
+    wanted = spark.createDataFrame([(f"Customer#{i:09}",) for i in range(20)] + [("p" * 30 + str(i),) for i in range(20)], "n string")
+    found = find_values(frame.mapInArrow(reading, frame.schema), wanted, max_needles=0).collect()
+    assert {tuple(r) for r in found} == {("Customer#000000007", "t", "a", 1), ("Customer#000000008", "t", "a", 1)}
+    assert met == [["Customer#000000008", "call Customer#000000007."]] * 2 and read.value == len(values)
+
+
+@pytest.mark.parametrize("low, alphabet", [(4, "ab"), (8, "abé漢 "), (16, "abc"), (32, "a漢🙂"), (300, "xyz ")])
+def test_no_row_with_a_needle_is_ruled_out(low, alphabet):
+    rng = random.Random(low)
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 3 * low))) for _ in range(300)]
+    needles = {text[i : i + low + rng.randint(0, 5)] for text in texts if len(text) > low for i in [rng.randint(0, len(text) - low)]}
+    needles = sorted(n for n in rng.sample(sorted(needles), 20) if len(n) >= low)
+    beginnings = leakscan._Beginnings(low, len(needles))
+    beginnings.BLOCK = 64
+    maps = [np.zeros(1 << (beginnings.bits - 6), np.uint64) for _ in beginnings.offsets]
+    for hit in beginnings.of(pa.array(["", *needles]).slice(1)).to_pylist():
+        maps[hit["word"]][hit["place"] >> 6] |= np.uint64(1 << (hit["place"] & 63))
+    kept = set((beginnings.rows(pa.array(texts).slice(3), maps) + 3).tolist())
+    holding = {i for i, text in enumerate(texts) if i >= 3 and any(n in text for n in needles)}
+    assert holding and holding <= kept
+
+
 def test_candidates_joined_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(leakscan, "MAX_BROADCAST_PLACES", 0)
     rows, needles = sample(6, "ab ", 300)
