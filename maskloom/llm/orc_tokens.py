@@ -23,6 +23,9 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 CACHE_LIMIT = 1_000_000
 #: Outside this range a letter's normal form or lower case may depend on its neighbours.
 _beyond_simple = re.compile("[^\x00-įı-ɏ]").search
+#: Byte-level files write some bytes, those that cannot be printed, as letters from 256 on.
+_plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = dict(zip([b for b in range(256) if b not in _plain], range(256, 512)))
 
 
 class _Chunks(dict):
@@ -32,16 +35,25 @@ class _Chunks(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.by_words = all(self.word(w) == self.whole(w) for w in ("a", "Wort", "zqxjk", "niñoõ", "ªłſ"))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
+    def word(self, letters: str) -> bytes:
+        """The same for a run of simple letters: one piece, so the model's merges are all that is left to do."""
+        written = letters.lower().encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
+        return np.array([token.id for token in self.model.tokenize(written)], "<u4").tobytes()
+
     def __missing__(self, chunk: str) -> bytes:
         if len(chunk) > 64:
             return self.whole(chunk)
         base = chunk.rstrip(PUNCTUATION)
         if base and len(base) < len(chunk) and base[-1].isalpha():
             ids = self[base] + self[chunk[len(base) :]]  # a run of letters ends where punctuation starts
+        elif self.by_words and chunk.isalpha() and not _beyond_simple(chunk):
+            ids = self.word(chunk)
         else:
             ids = self.whole(chunk)
         self[chunk] = ids

@@ -77,6 +77,21 @@ def test_token_ids_in_orc(spark, odd_docs, odd_rows, no_docs):
     assert orc_tokens.read_ids(spark, empty).count() == 0
 
 
+def test_runs_of_letters_need_the_merges_only(monkeypatch):
+    """Every simple letter alone and in runs, upper case included, has the library's ids, and no call of the whole library."""
+    from tokenizers import Tokenizer
+
+    file = f"{TOKENIZERS}/word_bpe_49k.json"
+    tokenizer, chunks = Tokenizer.from_file(file), orc_tokens._Chunks(file)
+    assert chunks.by_words
+    monkeypatch.setattr(chunks, "whole", lambda text: pytest.fail(f"{text!r} went to the library whole"))
+    letters = [c for c in map(chr, range(0x250)) if c.isalpha() and c != "İ" and c.lower() < "\u0250"]
+    rng = random.Random(5)
+    runs = letters + ["".join(rng.choices(letters, k=rng.randint(2, 60))) for _ in range(2_000)] + ["s", "re", "endoftext", "O" * 64]
+    for run in runs:
+        assert list(np.frombuffer(chunks.encode(run), "<u4")) == tokenizer.encode(run, add_special_tokens=False).ids, run
+
+
 def test_chunked_encoding_equals_the_library():
     from tokenizers import Tokenizer
 
