@@ -37,6 +37,10 @@ GRAM_SALT = 16
 MAX_FILTER_BITS = 26
 FILTER_WORDS = 3
 
+# Needles below this length are cut out where one may begin; a cell with more than so many such places is cut into grams.
+MAX_CUT = 64
+MAX_BEGINNINGS = 64
+
 # Largest number of candidate places sent to every task; more are joined with a shuffle.
 MAX_BROADCAST_PLACES = 1_000_000
 
@@ -198,7 +202,8 @@ def find_values(
         wanted = wanted.where(F.length("needle") >= min_length)
 
     sizes = {row["class"]: row for row in wanted.groupBy(_class_number().alias("class")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("needle")).alias("chars"), F.max(F.length("needle")).alias("longest")).collect()}
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("needle")).alias("chars"), F.max(F.length("needle")).alias("longest"),
+        F.collect_set(F.when(F.length("needle") < MAX_CUT, F.length("needle"))).alias("lengths")).collect()}
     small, large = [], []
     count = chars = 0
     for number in sorted(sizes, key=lambda k: sizes[k]["n"]):
@@ -213,9 +218,11 @@ def find_values(
     for numbers in ([n for n in large if GRAM_CLASSES[n].low >= 8], [n for n in large if GRAM_CLASSES[n].low == 4]):
         if numbers:
             low, n = min(GRAM_CLASSES[n].low for n in numbers), sum(sizes[n]["n"] for n in numbers)
-            near |= dict.fromkeys(numbers, _near_cells(text_cells, wanted.where(_class_number().isin(numbers)), low, n))
+            lengths = [length for number in numbers for length in sizes[number]["lengths"]]
+            near |= dict.fromkeys(numbers, _near_cells(text_cells, wanted.where(_class_number().isin(numbers)), low, n, lengths))
     for number in sorted(set(large).difference(long)):
-        parts.append(_by_grams(near.get(number, text_cells), wanted.where(_class_number() == number), GRAM_CLASSES[number], sizes[number]["longest"]))
+        chosen, lengths = wanted.where(_class_number() == number), sizes[number]["lengths"] if number in near else []
+        parts.append(_by_grams(near.get(number, text_cells), chosen, GRAM_CLASSES[number], sizes[number]["longest"], lengths))
     if long:
         parts.append(_by_heads(near[long[0]], wanted.where(_class_number().isin(long)), {number: sizes[number]["longest"] for number in long}))
     if not parts:
@@ -381,16 +388,76 @@ class _Beginnings:
     def rows(self, texts: pa.Array, maps: list[np.ndarray]) -> np.ndarray:
         """Rows in which some needle may begin."""
         bounds, data = _utf8(texts)
+        return np.unique(np.searchsorted(bounds, self._places(bounds, data, maps), side="right") - 1)
+
+    def _places(self, bounds: np.ndarray, data: np.ndarray, maps: list[np.ndarray]) -> np.ndarray:
+        """Bytes at which some needle may begin, in order."""
         words = self._words(data)
         last = len(words) - self.offsets[-1]
+        # A look into large bitmaps misses the caches, and in short cells few places have room for a needle.
+        room = np.maximum(0, np.diff(bounds) - (self.offsets[-1] + words.itemsize - 1))
+        if 2 * room.sum() < last:
+            return self._near(words, _ranges(bounds[:-1], room), maps)
         places = [np.zeros(0, np.int64)]
         for start in range(0, last, self.BLOCK):
-            near = np.arange(start, min(start + self.BLOCK, last))
-            for offset, bitmap in zip(self.offsets, maps):
-                hashed = self._hashed(words[near + offset])
-                near = near[(bitmap[hashed >> np.uint64(6)] >> (hashed & np.uint64(63)) & np.uint64(1)).astype(bool)]
-            places.append(near)
-        return np.unique(np.searchsorted(bounds, np.concatenate(places), side="right") - 1)
+            places.append(self._near(words, np.arange(start, min(start + self.BLOCK, last)), maps))
+        return np.concatenate(places)
+
+    def _near(self, words: np.ndarray, near: np.ndarray, maps: list[np.ndarray]) -> np.ndarray:
+        for offset, bitmap in zip(self.offsets, maps):
+            hashed = self._hashed(words[near + offset])
+            near = near[(bitmap[hashed >> np.uint64(6)] >> (hashed & np.uint64(63)) & np.uint64(1)).astype(bool)]
+        return near
+
+    def cells(self, batch: pa.RecordBatch, maps: list[np.ndarray], lengths: list[int]) -> pa.RecordBatch | None:
+        """The cells of ``table, column, value`` in which some needle may begin, with the texts from there on.
+
+        The texts are cut behind ``max(lengths)`` characters at the earliest. They are null where they would make more
+        candidates than the cell has grams, and in texts that are no UTF-8, whose characters only the JVM counts.
+        """
+        texts = batch.column(2)
+        bounds, data = _utf8(texts)
+        places = self._places(bounds, data, maps)
+        at = np.searchsorted(bounds, places, side="right") - 1
+        rows, counts = np.unique(at, return_counts=True)
+        if not len(rows):
+            return None
+        kept = batch.take(pa.array(rows))
+        few = np.zeros(len(rows), bool)
+        if lengths:
+            few = counts <= np.minimum(4 + (bounds[rows + 1] - bounds[rows]) // (4 * len(lengths)), MAX_BEGINNINGS)
+        ascii_only = not (data & 0x80).any()
+        if not ascii_only:
+            try:
+                kept.column(2).validate(full=True)
+            except pa.ArrowInvalid:
+                few[:] = False
+        chosen = np.repeat(few, counts)
+        chosen &= (data[places] & 0xC0) != 0x80  # no character begins there
+        places, at = places[chosen], at[chosen]
+        ends = np.minimum(places + max(lengths, default=0) * (1 if ascii_only else 4), bounds[at + 1])
+        for _ in range(3):  # back to the first byte of a character that would be cut
+            inside = (ends < bounds[at + 1]) & ((data[np.minimum(ends, len(data) - 1)] & 0xC0) == 0x80)
+            ends = ends - inside
+        begins = _list_of_texts(data, places, ends, np.searchsorted(at, rows), few)
+        return pa.RecordBatch.from_arrays([*kept.columns, begins], ["table", "column", "value", "begins"])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, so many of them."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _list_of_texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray, valid: np.ndarray) -> pa.ListArray:
+    """Slices of a buffer as texts, in lists that begin at the slices ``first``; null where not ``valid``."""
+    sizes = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    raw = data.tobytes()
+    taken = b"".join([raw[start:end] for start, end in zip(starts.tolist(), ends.tolist())])
+    texts = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(taken))
+    bounds = pa.array(np.append(first, len(starts)).astype(np.int32))
+    return pa.ListArray.from_arrays(bounds, texts, mask=pa.array(~valid))
 
 
 def _utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -401,8 +468,8 @@ def _utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return bounds - bounds[0], data
 
 
-def _near_cells(text_cells: DataFrame, needles: DataFrame, low: int, count: int) -> DataFrame:
-    """The cells in which a needle of ``low`` characters or more may begin, written once.
+def _near_cells(text_cells: DataFrame, needles: DataFrame, low: int, count: int, lengths: list[int]) -> DataFrame:
+    """The cells in which a needle of ``low`` characters or more may begin, and ``begins``, the texts there, written once.
 
     The texts, which may be whole masked tables, are worked out once, and only such cells meet the joins.
     """
@@ -422,10 +489,10 @@ def _near_cells(text_cells: DataFrame, needles: DataFrame, low: int, count: int)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and len(rows := beginnings.rows(batch.column(2), shared.value)):
-                yield batch.take(pa.array(rows))
+            if batch.num_rows and (near := beginnings.cells(batch, shared.value, lengths)):
+                yield near
 
-    schema = "table string, column string, value string"
+    schema = "table string, column string, value string, begins array<string>"
     path = scratch_dir(spark, "near-cells")
     text_cells.where(F.length("value") >= low).select("table", "column", "value").mapInArrow(keep, schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)
@@ -450,7 +517,31 @@ def _by_heads(text_cells: DataFrame, needles: DataFrame, longest: dict[int, int]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _by_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass, longest: int) -> DataFrame:
+def _by_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass, longest: int, lengths: Sequence[int] = ()) -> DataFrame:
+    """One class of needles in any number: cut out at the few places where one may begin, by sampled grams elsewhere.
+
+    ``lengths`` holds the lengths of the needles if the cells are those of :func:`_near_cells`.
+    """
+    if not lengths:
+        return _by_sampled_grams(text_cells, needles, cls, longest)
+    found = _at_beginnings(text_cells.where(F.col("begins").isNotNull()), needles, lengths)
+    crowded = text_cells.where(F.col("begins").isNull())
+    if not crowded.limit(1).count():
+        return found
+    both = found.unionByName(_by_sampled_grams(crowded, needles, cls, longest))
+    return both.groupBy("needle", "table", "column").agg(F.sum("cells").alias("cells"))
+
+
+def _at_beginnings(near: DataFrame, needles: DataFrame, lengths: Sequence[int]) -> DataFrame:
+    """The texts at the places of a cell, cut to every length a needle has, meet the needles by equality."""
+    sizes = F.array(*[F.lit(n) for n in sorted(lengths)])
+    cut = F.flatten(F.transform("begins", lambda text: F.transform(sizes, lambda n: F.substr(text, F.lit(1), n))))
+    candidates = near.select("table", "column", F.explode(F.array_distinct(cut)).alias("candidate"))
+    counted = candidates.groupBy("candidate", "table", "column").agg(F.count(F.lit(1)).alias("cells"))
+    return counted.join(needles, counted["candidate"] == needles["needle"]).select("needle", "table", "column", "cells")
+
+
+def _by_sampled_grams(text_cells: DataFrame, needles: DataFrame, cls: GramClass, longest: int) -> DataFrame:
     """Sampled-gram join for a needle set of any size.
 
     1. Texts are cut into overlapping chunks, so later cuts inside them are cheap.

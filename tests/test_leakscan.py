@@ -131,6 +131,40 @@ def test_no_row_with_a_needle_is_ruled_out(low, alphabet):
     assert holding and holding <= kept
 
 
+def test_few_beginnings_are_cut_out_without_grams(spark, capsys):
+    """Short needles beyond the budget: a cell with few places meets the needles at once, every cell counted once."""
+    rows = [("t", "note", f"call Customer#{i % 40:09} or Customer#{i % 40:09}.") for i in range(120)]
+    rows += [("t", "name", "é漢🙂Customer#000000003"), ("t", "name", "Customer#00000000"), ("u", "a", "Älteste Straße 🙂🙂🙂 7")]
+    needles = [f"Customer#{i:09}" for i in range(0, 60, 3)] + ["Straße 🙂🙂🙂", "Straße 🙂🙂🙂 8", "Customer#000000003!"]
+    frame = spark.createDataFrame(rows, "table string, column string, value string")
+    found = find_values(frame, spark.createDataFrame([(n,) for n in needles], "n string"), max_needles=0)
+    found.explain()
+    assert "regexp_extract_all" not in capsys.readouterr().out
+    assert {tuple(r) for r in found.collect()} == brute_force(rows, needles)
+
+
+@pytest.mark.parametrize("most", [0, 2, 64])
+def test_cells_with_many_and_few_beginnings_add_up(spark, monkeypatch, most):
+    monkeypatch.setattr(leakscan, "MAX_BEGINNINGS", most)
+    rng = random.Random(most)
+    letters = "abcdefghijklmnopqrstuvwxyzäß漢🙂 "
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 400))) for _ in range(80)]
+    texts += ["name-000" * n + "x🙂y" for n in (1, 5, 40)] + [texts[0]] * 3
+    needles = {"name-000", "name-000name-000", "name-000x🙂", "name-000x🙂z", "name"}
+    for _ in range(150):
+        text = rng.choice(texts)
+        start = rng.randint(0, len(text))
+        needles.add(text[start : start + rng.choice([4, 5, 7, 8, 12, 15, 16, 18, 31, 32, 50, 63, 64, 90, 300])])
+    rows = [("t", rng.choice("ab"), text) for text in texts]
+    assert scan(spark, rows, needles, max_needles=0) == brute_force(rows, needles)
+
+
+def test_texts_that_are_no_utf8_keep_their_needles(spark):
+    frame = spark.sql("select 't' as table, 'c' as column, cast(value as string) as value from values (X'8080C3' || cast('Customer#000000001' as binary)), (cast('Customer#000000001ü' as binary)) as v(value)")
+    wanted = spark.createDataFrame([("Customer#000000001",)], "n string")
+    assert [tuple(r) for r in find_values(frame, wanted, max_needles=0).collect()] == [("Customer#000000001", "t", "c", 2)]
+
+
 def test_candidates_joined_by_shuffle(spark, monkeypatch):
     monkeypatch.setattr(leakscan, "MAX_BROADCAST_PLACES", 0)
     rows, needles = sample(6, "ab ", 300)
