@@ -115,6 +115,55 @@ def test_only_cells_with_a_beginning_meet_the_joins(spark, monkeypatch):
     assert met == [["Customer#000000008", "call Customer#000000007."]] * 2 and read.value == len(values)
 
 
+@pytest.mark.parametrize("figures", [[], ["5.0"], ["1998-01-01", "0"]])
+def test_listed_and_joined_needles_share_one_pass(spark, figures):
+    """Every cell is worked out once for all needles, and cells of figures alone meet only needles of figures."""
+    read = spark.sparkContext.accumulator(0)
+
+    def reading(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rng = random.Random(len(figures))
+    values = [f"{rng.choice('+-')}{rng.randrange(10**6) / 100}" for _ in range(60)] + [f"1998-01-0{i % 9 + 1} 00:00:0{i % 10}" for i in range(30)]
+    values += [f"Mr. A. Name-{i:08} é." for i in range(30)] + ["", "é", "A", "A.", "漢.A", "x" * 80, "7" * 90, "LEAK", "a LEAK é LEAK", "Name-00000099"]
+    rows = [(rng.choice("TU"), rng.choice("ab"), value) for value in values]
+    needles = ["A.", "é", "漢.", "LEAK", "LEA", *figures] + [f"Name-{i:08}" for i in range(0, 60, 2)] + ["x" * 70]
+    frame = spark.createDataFrame(rows, "table string, column string, value string")
+    wanted = spark.createDataFrame([(n,) for n in needles], "n string")
+    found = find_values(frame.mapInArrow(reading, frame.schema), wanted, max_needles=12).collect()
+    assert {tuple(r) for r in found} == brute_force(rows, needles) and len(found) > 10
+    assert read.value == len(rows)
+
+
+def test_needles_of_few_bytes_are_counted_by_words(monkeypatch):
+    monkeypatch.setattr(leakscan._Finder, "BLOCK", 64)
+    rows, needles = sample(11, "abé漢🙂 ", 90)
+    needles = sorted({n for n in needles if n} | {"a", "b ", "é", "ab", "aba", "zz"})
+    finder = leakscan._Finder(needles, filtered=True)
+    assert {width for width, *_ in finder.whole} == {1, 2, 3}
+    batch = pa.RecordBatch.from_pydict({c: [row[i] for row in [("x", "y", "aba"), *rows]] for i, c in enumerate(("table", "column", "value"))}).slice(1)
+    assert {tuple(hit.values()) for hit in finder.count(batch).to_pylist()} == brute_force(rows, needles)
+    short = leakscan._Finder(["a"], filtered=True)
+    assert {tuple(hit.values()) for hit in short.count(batch).to_pylist()} == brute_force(rows, ["a"])
+
+
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_only_grams_that_the_cells_hold_are_dealt_out(spark, monkeypatch, most):
+    """A needle's gram costs a row only if one of the few cells holds it; the results are the same."""
+    monkeypatch.setattr(leakscan, "MAX_BROADCAST_PLACES", most)
+    rng = random.Random(1)
+    needles = ["".join(rng.choice("abcdefgh") for _ in range(100)) for _ in range(50)]
+    rows = [("t", "a", f"-{needles[0]}-"), ("t", "a", needles[1][:99]), ("t", "b", needles[0] * 3), ("t", "b", "z" * 200)]
+    found = scan(spark, rows, needles, max_needles=0)
+    assert found == brute_force(rows, needles)
+    near = spark.createDataFrame([(*row, None) for row in rows], "table string, column string, value string, begins array<string>")
+    wanted = spark.createDataFrame([(n,) for n in needles], "needle string")
+    joined = leakscan._by_grams(near, wanted, next(c for c in GRAM_CLASSES if c.low == 64), 100)
+    assert {tuple(r) for r in joined.collect()} == brute_force(rows, needles)
+
+
 @pytest.mark.parametrize("low, alphabet", [(4, "ab"), (8, "abé漢 "), (16, "abc"), (32, "a漢🙂"), (300, "xyz ")])
 def test_no_row_with_a_needle_is_ruled_out(low, alphabet):
     rng = random.Random(low)
