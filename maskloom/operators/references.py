@@ -4,12 +4,14 @@ Tables on Spark carry no foreign keys. One pass finds every inclusion: each dist
 bit mask of the columns it occurs in, and a column's possible parents are the bits left when the
 masks of all its values are and-ed. Work is linear in the distinct values per column; pairs of
 columns are written out only where the inclusion holds. References of several columns are searched
-level by level: only tuples whose parts are all included, in parents that are not unique yet, are read.
+level by level: only tuples whose parts are all included, in parents that are not unique yet, are read. One
+tuple in :data:`PARTS` is compared first, as most false inclusions show there; the others are then compared whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
 
@@ -77,15 +79,21 @@ def _included(values: DataFrame, rows: DataFrame, count: int) -> DataFrame:
     Values of one column collapse inside each task, so a hot value costs one row per task, and cross the network once. A
     column repeats a value when it has more rows than values.
     """
+    children = _holders(values, count)
+    masks = [c for c in children.columns if c.startswith("in")]
+    return children.join(rows.withColumnRenamed("id", "child"), "child").select("child", "child_values", *masks, (F.col("rows") > F.col("child_values")).alias("repeats"))
+
+
+def _holders(values: DataFrame, count: int) -> DataFrame:
+    """``child, child_values, in…`` of :func:`_included`."""
     words = range(-(-count // WORD))
     masks = [f"in{w}" for w in words]
     found = values.groupBy("value").agg(*[F.bit_or(_bits(F.col("id"), w)).alias(f"in{w}") for w in words])
     # few distinct column sets remain, whatever the number of values
     sets = found.groupBy(*masks).agg(F.count(F.lit(1)).alias("n"))
-    children = sets.select("*", F.explode(_ids(count, "in")).alias("child")).groupBy("child").agg(
+    return sets.select("*", F.explode(_ids(count, "in")).alias("child")).groupBy("child").agg(
         F.sum("n").alias("child_values"), *[F.bit_and(mask).alias(mask) for mask in masks]
     )
-    return children.join(rows.withColumnRenamed("id", "child"), "child").select("child", "child_values", *masks, (F.col("rows") > F.col("child_values")).alias("repeats"))
 
 
 def _rows(frame: DataFrame, sides: Mapping[int, Sequence[str]]) -> DataFrame:
@@ -98,6 +106,9 @@ def _rows(frame: DataFrame, sides: Mapping[int, Sequence[str]]) -> DataFrame:
 #: A table and some of its columns, in order.
 Columns = tuple[str, tuple[str, ...]]
 
+#: One tuple in so many is compared first.
+PARTS = 64
+
 
 def infer_composite_references(
     dataset: Mapping[str, DataFrame], columns: Sequence[tuple[str, str]] | None = None, arity: int = 3
@@ -108,20 +119,30 @@ def infer_composite_references(
     all tuples of the child without a null occur in the parent, the same holds for every part of it, and the parent's
     columns are unique together and no part of them is. ``child_values`` counts the child's different tuples. Numbers
     are compared with numbers and text with text; a column never refers to itself. Each level reads every table once
-    for all its candidates; what the driver keeps is names of columns.
+    for all its candidates to compare a part of the tuples, and once more for those that are left; what the driver keeps is names of columns and their least and greatest numbers.
     """
     chosen = list(columns if columns is not None else key_like_columns(dataset))
     spark = next(iter(dataset.values())).sparkSession
     place = {column: i for i, column in enumerate(chosen)}
-    found, open_ends = [], _held(dataset, [(t, (c,)) for t, c in chosen])
+    told = _compared(dataset, {(t, (c,)): _single(dataset, t, c) for t, c in chosen})
+    found, ranges = [], {}
+    open_ends = {
+        (child, parent): told[parent].unique
+        for child, side in told.items()
+        for parent in side.parents
+        if (child[0], child[1][0]) != (parent[0], parent[1][0])
+    }
     for _ in range(2, arity + 1):
-        candidates = _grown({pair for pair, (_, unique) in open_ends.items() if not unique}, place)
+        candidates = _grown({pair for pair, unique in open_ends.items() if not unique}, place)
         if not candidates:
             break
+        ranges = ranges or _ranges(dataset, chosen)
         read = {pair: _aligned(pair, place) for pair in candidates}
-        held = _held(dataset, sorted({side for pair in read.values() for side in pair}))
-        open_ends = {pair: held[read[pair]] for pair in candidates if read[pair] in held}
-        found += [(ct, list(cc), pt, list(pc), n) for ((ct, cc), (pt, pc)), (n, unique) in open_ends.items() if unique]
+        for part in (PARTS, 1):
+            told = _compared(dataset, _codes(dataset, set(read.values()), ranges), part)
+            read = {pair: (c, p) for pair, (c, p) in read.items() if (p in told[c].parents if c in told else part > 1)}
+        open_ends = {pair: told[p].unique for pair, (_, p) in read.items()}
+        found += [(ct, list(cc), pt, list(pc), told[read[pair][0]].values) for pair, unique in open_ends.items() if unique for (ct, cc), (pt, pc) in [pair]]
     return spark.createDataFrame(
         found, "child_table string, child_columns array<string>, parent_table string, parent_columns array<string>, child_values bigint"
     )
@@ -152,33 +173,125 @@ def _aligned(pair: tuple[Columns, Columns], place: Mapping[tuple[str, str], int]
     return (child, tuple(cc[i] for i in order)), (parent, tuple(pc[i] for i in order))
 
 
-def _held(dataset: Mapping[str, DataFrame], sides: Sequence[Columns]) -> dict[tuple[Columns, Columns], tuple[int, bool]]:
-    """The inclusions among ``sides``, with the child's different tuples and whether the parent is unique."""
-    by_table: dict[str, list[int]] = {}
-    for i, (table, _) in enumerate(sides):
-        by_table.setdefault(table, []).append(i)
-
-    def told(frame: DataFrame, column: str) -> Column:
-        """A value that no other list of values, and no number as text, can be mistaken for."""
-        text = isinstance(frame.schema[column].dataType, T.StringType)
-        value = F.col(f"`{column}`") if text else F.col(f"`{column}`").cast("bigint").cast("string")
-        return F.concat(F.lit("t" if text else "n"), F.octet_length(value).cast("string"), F.lit(":"), value)
-
-    def tuples(table: str, numbers: Sequence[int]) -> DataFrame:
-        frame = dataset[table]
-        entries = [F.struct(F.lit(i).alias("id"), _short(F.concat(*[told(frame, c) for c in sides[i][1]])).alias("value")) for i in numbers]
-        return frame.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
-
-    values = reduce(DataFrame.unionByName, [tuples(t, numbers) for t, numbers in by_table.items()])
-    rows = reduce(DataFrame.unionByName, [_rows(dataset[t], {i: sides[i][1] for i in numbers}) for t, numbers in by_table.items()])
-    children = _included(values, rows, len(sides)).select("child", "child_values", "repeats", _ids(len(sides), "in").alias("parents")).collect()
-    unique = {row.child: not row.repeats for row in children}
-    return {
-        (sides[row.child], sides[parent]): (row.child_values, unique[parent])
-        for row in children
-        for parent in row.parents
-        if all((sides[row.child][0], c) != (sides[parent][0], p) for c, p in zip(sides[row.child][1], sides[parent][1]))
-    }
+@dataclass(frozen=True)
+class _Side:
+    """How many different tuples a side has, whether it repeats none, and the sides that hold them all."""
+
+    values: int
+    unique: bool
+    parents: frozenset[Columns]
+
+
+#: A column whose values stand for tuples, and whether it is a whole number.
+Code = tuple[Column, bool]
+
+
+def _compared(dataset: Mapping[str, DataFrame], codes: Mapping[Columns, Code], part: int = 1) -> dict[Columns, _Side]:
+    """The sides that have tuples, compared by one tuple in ``part``; whether one is unique is told by the whole only."""
+    out = {}
+    for number in (True, False):
+        sides = sorted(side for side, code in codes.items() if code[1] == number)
+        by_table: dict[str, list[int]] = {}
+        for i, (table, _) in enumerate(sides):
+            by_table.setdefault(table, []).append(i)
+        if not sides:
+            continue
+
+        def tuples(table: str, numbers: Sequence[int]) -> DataFrame:
+            frame = dataset[table]
+            entries = [F.struct(F.lit(i).alias("id"), _in_part(frame, sides[i][1], codes[sides[i]][0], part).alias("value")) for i in numbers]
+            return frame.select(F.inline(F.array(*entries))).where(F.col("value").isNotNull())
+
+        values = reduce(DataFrame.unionByName, [tuples(t, numbers) for t, numbers in by_table.items()])
+        if part == 1:
+            rows = reduce(DataFrame.unionByName, [_rows(dataset[t], {i: sides[i][1] for i in numbers}) for t, numbers in by_table.items()])
+            children = _included(values, rows, len(sides))
+        else:
+            children = _holders(values, len(sides)).withColumn("repeats", F.lit(True))
+        for row in children.select("child", "child_values", "repeats", _ids(len(sides), "in").alias("parents")).collect():
+            out[sides[row.child]] = _Side(row.child_values, not row.repeats, frozenset(sides[p] for p in row.parents))
+    return out
+
+
+def _in_part(frame: DataFrame, columns: Sequence[str], code: Column, part: int) -> Column:
+    """A code, null but for one tuple in ``part``."""
+    if part == 1:
+        return code
+    return F.when(F.pmod(F.xxhash64(*[_plain(frame, c) for c in columns]), F.lit(part)) == 0, code)
+
+
+def _is_text(frame: DataFrame, column: str) -> bool:
+    return isinstance(frame.schema[column].dataType, T.StringType)
+
+
+def _plain(frame: DataFrame, column: str) -> Column:
+    return F.col(f"`{column}`") if _is_text(frame, column) else F.col(f"`{column}`").cast("bigint")
+
+
+def _single(dataset: Mapping[str, DataFrame], table: str, column: str) -> Code:
+    value, text = _plain(dataset[table], column), _is_text(dataset[table], column)
+    return (_short(value) if text else value), not text
+
+
+def _ranges(dataset: Mapping[str, DataFrame], chosen: Sequence[tuple[str, str]]) -> dict[tuple[str, str], tuple[int, int]]:
+    """The least and the greatest number of every column that has numbers."""
+    numbers = [(t, c) for t, c in chosen if not _is_text(dataset[t], c)]
+    out = {}
+    for table in dict.fromkeys(t for t, _ in numbers):
+        columns = [c for t, c in numbers if t == table]
+        ends = [end(_plain(dataset[table], c)) for c in columns for end in (F.min, F.max)]
+        row = dataset[table].agg(*[end.alias(str(i)) for i, end in enumerate(ends)]).first()
+        out |= {(table, c): (row[2 * i], row[2 * i + 1]) for i, c in enumerate(columns) if row[2 * i] is not None}
+    return out
+
+
+def _codes(dataset: Mapping[str, DataFrame], pairs: set[tuple[Columns, Columns]], ranges: Mapping[tuple[str, str], tuple[int, int]]) -> dict[Columns, Code]:
+    """A code for the tuples of every side, the same for equal tuples of sides that are compared.
+
+    Tuples of numbers are packed into one where the numbers' ranges leave room, which takes half the bytes of a digest.
+    Sides that are not compared, not even over others, may use one number for different tuples.
+    """
+    codes: dict[Columns, Code] = {}
+    for sides in _linked(pairs):
+        numbers = all(not _is_text(dataset[t], c) for t, columns in sides for c in columns)
+        places = []
+        for columns in zip(*[[(t, c) for c in columns] for t, columns in sides]):
+            known = [ranges[column] for column in columns if column in ranges]
+            low, high = min([r[0] for r in known], default=0), max([r[1] for r in known], default=0)
+            places.append((low, (high - low).bit_length()))
+        packs = numbers and sum(bits for _, bits in places) < 64
+        codes |= {(t, columns): (_packed(dataset[t], columns, places) if packs else _digest(dataset[t], columns), packs) for t, columns in sides}
+    return codes
+
+
+def _linked(pairs: set[tuple[Columns, Columns]]) -> list[list[Columns]]:
+    """The sides in groups, such that pairs lie within a group."""
+    group: dict[Columns, list[Columns]] = {}
+    for pair in sorted(pairs):
+        one, other = [group.setdefault(side, [side]) for side in pair]
+        if one is not other:
+            one += other
+            group |= dict.fromkeys(other, one)
+    return list({id(sides): sides for sides in group.values()}.values())
+
+
+def _packed(frame: DataFrame, columns: Sequence[str], places: Sequence[tuple[int, int]]) -> Column:
+    """Numbers side by side in one, each less the least at its place and in that many bits."""
+    code, shift = None, 0
+    for column, (low, bits) in reversed(list(zip(columns, places))):
+        part = F.call_function("shiftleft", _plain(frame, column) - F.lit(low).cast("bigint"), F.lit(shift))
+        code, shift = part if code is None else code.bitwiseOR(part), shift + bits
+    return code
+
+
+def _digest(frame: DataFrame, columns: Sequence[str]) -> Column:
+    """The digest of values as a text that no other list of values, and no number as text, can be mistaken for."""
+
+    def told(column: str) -> Column:
+        value = _plain(frame, column).cast("string")
+        return F.concat(F.lit("t" if _is_text(frame, column) else "n"), F.octet_length(value).cast("string"), F.lit(":"), value)
+
+    return _short(F.concat(*[told(c) for c in columns]))
 
 
 def _short(text: Column) -> Column:

@@ -183,6 +183,49 @@ def test_lots_are_made_once(spark, tmp_path, monkeypatch):
     assert all("Aggregate" not in frame._jdf.queryExecution().optimizedPlan().toString() for frame in seen.values())
 
 
+@pytest.mark.parametrize("low, high", [(-3, 4), (2**40, 2**40 + 9), (-(2**63), 2**63 - 1)])
+@pytest.mark.parametrize("parts", [1, 2, 64])
+def test_tuples_of_numbers_are_compared_as_one_number(spark, monkeypatch, low, high, parts):
+    """Narrow and wide ranges give what sets give, and what a part of the tuples refutes is not read whole."""
+    read, included = [], references._included
+
+    def seen(values, rows, count):
+        read.append((values.schema["value"].dataType.typeName(), count))
+        return included(values, rows, count)
+
+    monkeypatch.setattr(references, "_included", seen)
+    monkeypatch.setattr(references, "PARTS", parts)
+    rng = random.Random(parts)
+    numbers = sorted({low, high, *[rng.randint(low, high) for _ in range(6)]})
+    lots = sorted({(rng.choice(numbers), rng.choice(numbers)) for _ in range(30)} | {(n, n) for n in numbers})
+    rows = {"lots": lots, "lines": [rng.choice(lots) for _ in range(90)] + [(None, low), (high, None)], "other": [(b, a) for a, b in lots if a != b] + [(n, n) for n in numbers]}
+    data = {t: spark.createDataFrame([(a, b) for a, b in r], f"{t}_a long, {t}_b long") for t, r in rows.items()}
+    tuples = {t: {r for r in rs if None not in r} for t, rs in rows.items()}
+    want = set()
+    for child, parent, turned in product(rows, rows, [False, True]):
+        there = {(b, a) for a, b in tuples[parent]} if turned else tuples[parent]
+        pairs = zip("ab", "ba" if turned else "ab")
+        single = all({r["ab".index(c)] for r in tuples[child]} <= {r["ab".index(p)] for r in tuples[parent]} for c, p in pairs)
+        if tuples[child] <= there and single and (child != parent) and len(tuples[parent]) == len([r for r in rows[parent] if None not in r]):
+            want.add((child, parent, turned, len(tuples[child])))
+    want |= {(t, t, True, len(tuples[t])) for t in rows if {(b, a) for a, b in tuples[t]} == tuples[t] and t != "lines"}
+    found = references.infer_composite_references(data).collect()
+    got = {(r.child_table, r.parent_table, [c[-1] for c in r.child_columns] != [c[-1] for c in r.parent_columns], r.child_values) for r in found}
+    assert got == want and {("lots", "other"), ("lines", "lots")} <= {w[:2] for w in want}
+    assert {kind for kind, _ in read[1:]} == {"binary" if high - low > 2**62 else "long"}
+
+
+def test_a_part_of_the_tuples_refutes_most_pairs(spark, monkeypatch):
+    """Sides that a part of the tuples shows not to be included are left out of the whole comparison."""
+    read, included = [], references._included
+    monkeypatch.setattr(references, "_included", lambda values, rows, count: read.append(count) or included(values, rows, count))
+    rows = spark.range(4096).select((F.col("id") % 64).alias("a"), F.floor(F.col("id") / 64).alias("b")).where((F.col("a") + 2 * F.col("b")) % 5 == 0)
+    data = {"t": rows.union(rows), "u": rows.select(F.col("a").alias("x"), F.col("b").alias("y"))}
+    found = references.infer_composite_references(data).collect()
+    assert [(r.child_table, r.child_columns, r.parent_table, r.parent_columns, r.child_values) for r in found] == [("t", ["a", "b"], "u", ["x", "y"], rows.count())]
+    assert read == [4, 2]
+
+
 def test_a_tuple_is_read_in_one_order():
     """Both directions of an inclusion read the same two tuples."""
     place = {column: i for i, column in enumerate([("t", "a"), ("t", "b"), ("u", "y"), ("u", "x")])}
