@@ -152,7 +152,7 @@ def test_needles_of_few_bytes_are_counted_by_words(monkeypatch):
 @pytest.mark.parametrize("most", [1_000_000, 0])
 def test_only_grams_that_the_cells_hold_are_dealt_out(spark, monkeypatch, most):
     """A needle's gram costs a row only if one of the few cells holds it; the results are the same."""
-    monkeypatch.setattr(leakscan, "MAX_BROADCAST_PLACES", most)
+    monkeypatch.setattr(leakscan, "MAX_BROADCAST_GRAMS", most)
     rng = random.Random(1)
     needles = ["".join(rng.choice("abcdefgh") for _ in range(100)) for _ in range(50)]
     rows = [("t", "a", f"-{needles[0]}-"), ("t", "a", needles[1][:99]), ("t", "b", needles[0] * 3), ("t", "b", "z" * 200)]
